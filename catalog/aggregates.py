@@ -50,5 +50,5 @@ def conditional_distinct_of(t):
 )
 def conditional_distinct_wide(t):
     """As many counts as the trend has."""
-    marks = {name: F.col(column) == value for name, (column, value) in WIDE.items()}
+    marks = {name: f"{column} = {value}" for name, (column, value) in WIDE.items()}
     return conditional_distinct(t.lineitem, "l_orderkey", {"all_orders": None, **marks})

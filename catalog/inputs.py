@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.registry import Tables
 from rosterlane import fixed_values as V
 from rosterlane.plans import CampaignInputs, webinar_participation
-from rosterlane.schemas import ANSWERS, INGEST_SEQ
+from rosterlane.schemas import INGEST_SEQ
 
 PAGE_ROWS = 100
 
@@ -25,137 +25,128 @@ def topics() -> list[str]:
     return exact + exact[:6] + [t + " " for t in exact[6:]]
 
 
-def tax_id(column: str | Column) -> Column:
-    key = F.col(column) if isinstance(column, str) else column
-    return (key + 100000000).cast("string")
+def tax_id(column: str) -> str:
+    return f"cast({column} + 100000000 as string)"
 
 
-def dashed(text: Column) -> Column:
-    return F.concat(F.left(text, F.lit(2)), F.lit("-"), F.substring(text, 3, 20))
+def dashed(text: str) -> str:
+    return f"concat(left({text}, 2), '-', substring({text}, 3))"
 
 
 def roster(t: Tables) -> DataFrame:
     """Customers, and those of the first nations a second time in the last wave."""
-    segment, balance = F.col("c_mktsegment"), F.col("c_acctbal")
-    key = F.when(F.col("c_nationkey") < 24, tax_id("c_custkey"))
-    text = F.when(segment == "BUILDING", F.concat(F.lit(" "), key, F.lit("\t"))).otherwise(key)
-    wave = F.when(segment == "BUILDING", V.WAVE_HELP).when(segment == "MACHINERY", V.WAVE_HEALTH)
-    email = F.concat(F.lit("c"), "c_custkey", F.lit("@x.org"))
+    key = f"if(c_nationkey < 24, {tax_id('c_custkey')}, null)"
+    wave = (
+        f"case when c_mktsegment = 'BUILDING' then '{V.WAVE_HELP}'"
+        f" when c_mktsegment = 'MACHINERY' then '{V.WAVE_HEALTH}' else '{V.WAVE_PCS}' end"
+    )
     values = {
-        "Provider TAX ID": text,
-        "Provider Name": F.col("c_name"),
-        "Provider NPI Number": F.col("c_nationkey").cast("string"),
-        "Tax ID+NPI": F.concat(key, F.col("c_nationkey").cast("string")),
-        "Provider Address 1": F.lit(None).cast("string"),
-        "Provider City": segment,
-        "Provider State": F.when(balance > 0, "MI"),
-        "Provider Zip Code": F.lpad(F.col("c_nationkey").cast("string"), 5, "0"),
-        "Provider Contact Name": F.lit(None).cast("string"),
-        "Provider Email Address": F.when(balance >= 5000, email).when(balance >= 2000, "  "),
-        "Provider Phone Number ": F.lit(None).cast("string"),
-        "In HHAX": F.when(balance > 5000, "Yes"),
-        "Wave": F.coalesce(wave, F.lit(V.WAVE_PCS)),
-        INGEST_SEQ: F.col("c_custkey"),
+        "Provider TAX ID": f"if(c_mktsegment = 'BUILDING', concat(' ', {key}, '\t'), {key})",
+        "Provider Name": "c_name",
+        "Provider NPI Number": "cast(c_nationkey as string)",
+        "Tax ID+NPI": f"concat({key}, c_nationkey)",
+        "Provider Address 1": "cast(null as string)",
+        "Provider City": "c_mktsegment",
+        "Provider State": "if(c_acctbal > 0, 'MI', null)",
+        "Provider Zip Code": "lpad(c_nationkey, 5, '0')",
+        "Provider Contact Name": "cast(null as string)",
+        "Provider Email Address": "case when c_acctbal >= 5000 then concat('c', c_custkey, '@x.org')"
+        " when c_acctbal >= 2000 then '  ' end",
+        "Provider Phone Number ": "cast(null as string)",
+        "In HHAX": "if(c_acctbal > 5000, 'Yes', null)",
+        "Wave": wave,
+        INGEST_SEQ: "c_custkey",
     }
-    first = t.customer.select(*(c.alias(n) for n, c in values.items()))
     again = values | {
-        "Provider Name": F.concat("c_name", F.lit(" bis")),
-        "Wave": F.lit(V.WAVE_PCS),
-        INGEST_SEQ: F.col("c_custkey") + 1000000000,
+        "Provider Name": "concat(c_name, ' bis')",
+        "Wave": f"'{V.WAVE_PCS}'",
+        INGEST_SEQ: "c_custkey + 1000000000",
     }
-    second = t.customer.where("c_nationkey < 5").select(*(c.alias(n) for n, c in again.items()))
-    return first.unionByName(second)
+    second = t.customer.where("c_nationkey < 5")
+    return _columns(t.customer, values).unionByName(_columns(second, again))
+
+
+def _columns(df: DataFrame, values: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*(f"{value} as `{name}`" for name, value in values.items()))
 
 
 def form(t: Tables) -> DataFrame:
     """Four orders in a row are the forms of one submitter."""
-    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
-    key = F.when(~priority.isin("1-URGENT", "4-NOT SPECIFIED"), F.col("o_custkey") + 100000000)
-    choice = F.when(status == "F", V.CHOICE_LABELS["YES_INTEGRATE_EDI"]).when(
-        status == "O", V.CHOICE_LABELS["NO_EVV_SYSTEM"]
-    )
-    return t.orders.select(
-        F.floor(F.col("o_orderkey") / 4).alias(V.FORM_GROUP),
-        key.alias(V.FORM_TAX_ID),
-        F.when(status == "F", F.col("o_orderkey")).alias(V.FORM_NPI),
-        choice.alias(V.FORM_CHOICE),
-        F.col("o_orderkey").alias(INGEST_SEQ),
-    )
+    values = {
+        V.FORM_GROUP: "floor(o_orderkey / 4)",
+        V.FORM_TAX_ID: "if(o_orderpriority in ('1-URGENT', '4-NOT SPECIFIED'), null,"
+        " o_custkey + 100000000)",
+        V.FORM_NPI: "if(o_orderstatus = 'F', o_orderkey, null)",
+        V.FORM_CHOICE: f"case o_orderstatus when 'F' then '{V.CHOICE_LABELS['YES_INTEGRATE_EDI']}'"
+        f" when 'O' then '{V.CHOICE_LABELS['NO_EVV_SYSTEM']}' end",
+        INGEST_SEQ: "o_orderkey",
+    }
+    return _columns(t.orders, values)
 
 
 def payers(t: Tables) -> DataFrame:
     key = tax_id("o_custkey")
-    return t.orders.select(
-        F.when(F.col("o_orderstatus") == "F", dashed(key)).otherwise(key).alias(V.ROSTER_TAX_ID),
-        F.col("o_orderpriority").alias("Payer"),
-        F.when(F.col("o_totalprice") > 470000, V.WAVE_HELP)
-        .otherwise(V.WAVE_PCS)
-        .alias(V.ROSTER_WAVE),
-    )
+    values = {
+        V.ROSTER_TAX_ID: f"if(o_orderstatus = 'F', {dashed(key)}, {key})",
+        "Payer": "o_orderpriority",
+        V.ROSTER_WAVE: f"if(o_totalprice > 470000, '{V.WAVE_HELP}', '{V.WAVE_PCS}')",
+    }
+    return _columns(t.orders, values)
 
 
 def contact(t: Tables) -> DataFrame:
-    priority = F.col("o_orderpriority")
-    role = (
-        F.when(priority == "1-URGENT", "Administrator")
-        .when(priority == "2-HIGH", "Owner")
-        .when(priority == "3-MEDIUM", "Care Coordinator")
-        .when(priority == "5-LOW", "Nurse")
-    )
-    email = F.concat(F.lit("o"), "o_orderkey", F.lit("@crm.org"))
-    return t.orders.select(
-        F.concat(F.lit("A"), "o_custkey").alias("account_id"),
-        role.alias("CONTACT_ROLE_C"),
-        F.when(F.col("o_orderstatus") != "P", email).alias("email"),
-    )
+    values = {
+        "account_id": "concat('A', o_custkey)",
+        "CONTACT_ROLE_C": "case o_orderpriority when '1-URGENT' then 'Administrator'"
+        " when '2-HIGH' then 'Owner' when '3-MEDIUM' then 'Care Coordinator'"
+        " when '5-LOW' then 'Nurse' end",
+        "email": "if(o_orderstatus <> 'P', concat('o', o_orderkey, '@crm.org'), null)",
+    }
+    return _columns(t.orders, values)
 
 
 def account(t: Tables) -> DataFrame:
-    return t.customer.select(
-        F.concat(F.lit("A"), "c_custkey").alias("ID"), tax_id("c_custkey").alias("TAX_ID_C")
+    return _columns(
+        t.customer, {"ID": "concat('A', c_custkey)", "TAX_ID_C": tax_id("c_custkey")}
     )
 
 
 def enrolments(t: Tables) -> DataFrame:
-    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
-    plan = F.when(priority == "1-URGENT", V.PLAN_HEALTH).when(priority == "2-HIGH", V.PLAN_HELP)
-    return t.orders.select(
-        F.when(F.col("o_totalprice") > 50000, tax_id("o_custkey")).alias("AGENCY_TAX_ID"),
-        F.coalesce(plan, F.lit("Another Plan")).alias("LEARNING_PLAN_NAME"),
-        F.when(status == "F", V.ENROLMENT_LABELS["COMPLETED"])
-        .when(status == "O", V.ENROLMENT_LABELS["INPROGRESS"])
-        .otherwise(V.ENROLMENT_LABELS["ENROLLED"])
-        .alias("LEARNING_PLAN_ENROLLMENT_STATUS"),
-        F.col("o_orderkey").alias(INGEST_SEQ),
-    )
+    labels = V.ENROLMENT_LABELS
+    values = {
+        "AGENCY_TAX_ID": f"if(o_totalprice > 50000, {tax_id('o_custkey')}, null)",
+        "LEARNING_PLAN_NAME": f"case o_orderpriority when '1-URGENT' then '{V.PLAN_HEALTH}'"
+        f" when '2-HIGH' then '{V.PLAN_HELP}' else 'Another Plan' end",
+        "LEARNING_PLAN_ENROLLMENT_STATUS": f"case o_orderstatus when 'F' then"
+        f" '{labels['COMPLETED']}' when 'O' then '{labels['INPROGRESS']}'"
+        f" else '{labels['ENROLLED']}' end",
+        INGEST_SEQ: "o_orderkey",
+    }
+    return _columns(t.orders, values)
 
 
 def engagements(t: Tables) -> DataFrame:
-    event, value = F.col("event_type"), F.col("value")
-    return t.events.select(
-        F.when(event == "purchase", "Detroit MI Roadshow")
-        .when(event == "view", "mi ROADSHOW north")
-        .otherwise("Webinar")
-        .alias("EVENT_NAME"),
-        F.when(value > 100, V.EVENT_REGISTRATION)
-        .when(value < 5, V.EVENT_ATTENDANCE)
-        .otherwise("email-open")
-        .alias("MARKETING_ENGAGEMENT_TYPE"),
-        dashed(tax_id("user_id")).alias("TAX_ID"),
-    )
+    values = {
+        "EVENT_NAME": "case event_type when 'purchase' then 'Detroit MI Roadshow'"
+        " when 'view' then 'mi ROADSHOW north' else 'Webinar' end",
+        "MARKETING_ENGAGEMENT_TYPE": f"case when value > 100 then '{V.EVENT_REGISTRATION}'"
+        f" when value < 5 then '{V.EVENT_ATTENDANCE}' else 'email-open' end",
+        "TAX_ID": dashed(tax_id("user_id")),
+    }
+    return _columns(t.events, values)
 
 
 def portal_dim(t: Tables) -> DataFrame:
     """Two suppliers in a row are portals of one provider."""
-    nation = F.col("s_nationkey")
-    return t.supplier.select(
-        tax_id(F.floor(F.col("s_suppkey") / 2)).alias("Federal Tax Number"),
-        F.when(F.col("s_acctbal") > 5000, "Paid").otherwise("Free").alias("Platform Type"),
-        F.col("s_suppkey").alias("Application Provider Id"),
-        F.when(nation == 3, "TRUE").otherwise("FALSE").alias("Is Demo"),
-        F.when(nation < 18, "Cloud").otherwise("Legacy").alias("Environemnt"),
-        F.col("s_suppkey").alias(INGEST_SEQ),
-    )
+    values = {
+        "Federal Tax Number": tax_id("floor(s_suppkey / 2)"),
+        "Platform Type": "if(s_acctbal > 5000, 'Paid', 'Free')",
+        "Application Provider Id": "s_suppkey",
+        "Is Demo": "if(s_nationkey = 3, 'TRUE', 'FALSE')",
+        "Environemnt": "if(s_nationkey < 18, 'Cloud', 'Legacy')",
+        INGEST_SEQ: "s_suppkey",
+    }
+    return _columns(t.supplier, values)
 
 
 @dataclass(frozen=True)
@@ -167,11 +158,11 @@ class WebinarPages:
     upcoming: DataFrame
 
 
-def in_pages(df: DataFrame, parent: str, number: str, records: str, record: Column) -> DataFrame:
-    """Records put on pages of their parent: at most PAGE_ROWS distinct numbers are on a page."""
+def in_pages(df: DataFrame, parent: str, records: str, record: str) -> DataFrame:
+    """Events put on pages of their parent: an event id is unique, so a page has at most PAGE_ROWS."""
     return (
-        df.groupBy(parent, F.floor(F.col(number) / PAGE_ROWS).alias("page"))
-        .agg(F.collect_list(record).alias(records))
+        df.groupBy(parent, F.expr(f"floor(event_id / {PAGE_ROWS})").alias("page"))
+        .agg(F.expr(f"collect_list({record})").alias(records))
         .select(parent, records)
     )
 
@@ -179,52 +170,44 @@ def in_pages(df: DataFrame, parent: str, number: str, records: str, record: Colu
 def webinar_pages(t: Tables) -> WebinarPages:
     """Webinars are the hours of the day, their instances the days; signups are registrants and
     clicks those of webinars still to come; who has more than 20 was in the meeting."""
-    events = t.events.withColumns(
-        {
-            "webinar_id": F.hour("ts").cast("string"),
-            "uuid": F.concat_ws("/", F.hour("ts"), F.date_format("ts", "yyyyMMdd")),
-            "number": F.col("event_id"),
-        }
+    events = t.events.selectExpr(
+        "event_id",
+        "event_type",
+        "value",
+        "user_id",
+        "cast(hour(ts) as string) as webinar_id",
+        "concat(hour(ts), '/', date_format(ts, 'yyyyMMdd')) as uuid",
+    )
+    texts = ", ".join(f"'{topic}'" for topic in topics())
+    hours = events.select(F.col("webinar_id").cast("bigint").alias("id")).distinct()
+    catalogue = hours.selectExpr(
+        f"array(named_struct('id', id, 'topic', array({texts})[cast(id as int)])) as webinars"
     )
-    hours = events.select(F.hour("ts").alias("id")).distinct()
-    topic = F.element_at(F.array(*map(F.lit, topics())), F.col("id") + 1)
-    webinar = F.struct(F.col("id").cast("bigint").alias("id"), topic.alias("topic"))
-    catalogue = hours.select(F.array(webinar).alias("webinars"))
-
     instances = (
         events.select("webinar_id", "uuid")
         .distinct()
-        .select("webinar_id", F.array(F.struct("uuid")).alias("webinars"))
-    )
-
-    status = F.when(F.col("value") > 20, V.IN_MEETING).otherwise("in_waiting_room")
-    participant = F.struct(
-        F.col("event_id").cast("string").alias("registrant_id"), status.alias("status")
-    )
-    present = events.where(F.col("event_type").isin("signup", "view"))
-    participants = in_pages(present, "uuid", "number", "participants", participant)
-
-    def answer(title: str, value: Column) -> Column:
-        return F.struct(F.lit(title).alias("title"), value.alias("value"))
-
-    questions = F.array(
-        answer("Agency name", F.lit("x")),
-        answer(V.TAX_ID_QUESTION, F.lit("unknown")),
-        answer(V.TAX_ID_QUESTION, dashed(tax_id("user_id"))),
-    ).cast(ANSWERS)
-    registrant = F.struct(
-        F.col("event_id").cast("string").alias("id"),
-        F.lit("approved").alias("status"),
-        questions.alias("custom_questions"),
-    )
-    signups = events.where(F.col("event_type") == "signup")
-    clicks = events.where((F.col("event_type") == "click") & (F.col("value") > 40))
+        .selectExpr("webinar_id", "array(named_struct('uuid', uuid)) as webinars")
+    )
+    participant = (
+        "named_struct('registrant_id', cast(event_id as string), 'status',"
+        f" if(value > 20, '{V.IN_MEETING}', 'in_waiting_room'))"
+    )
+    question = f"'title', '{V.TAX_ID_QUESTION}', 'value'"
+    registrant = (
+        "named_struct('id', cast(event_id as string), 'status', 'approved', 'custom_questions',"
+        " array(named_struct('title', 'Agency name', 'value', 'x'),"
+        f" named_struct({question}, 'unknown'),"
+        f" named_struct({question}, {dashed(tax_id('user_id'))})))"
+    )
+    present = events.where("event_type in ('signup', 'view')")
+    signups = events.where("event_type = 'signup'")
+    clicks = events.where("event_type = 'click' and value > 40")
     return WebinarPages(
         catalogue,
         instances,
-        participants,
-        in_pages(signups, "webinar_id", "number", "registrants", registrant),
-        in_pages(clicks, "webinar_id", "number", "registrants", registrant),
+        in_pages(present, "uuid", "participants", participant),
+        in_pages(signups, "webinar_id", "registrants", registrant),
+        in_pages(clicks, "webinar_id", "registrants", registrant),
     )
 
 

@@ -42,8 +42,8 @@ EVENT_DATE = "01/02/2025"
 # On the tables as they are.
 
 
-def event_mark(kind: str):
-    return (F.col("event_type") == kind) & (F.col("value") > 20)
+def event_mark(kind: str) -> str:
+    return f"event_type = '{kind}' and value > 20"
 
 
 @query(
@@ -306,7 +306,7 @@ def webinar_flags(t):
     """All 26 flags; one session has no webinar at all and is False for everybody."""
     inperson = inperson_participation(inperson_engagements(inputs.engagements(t)))
     flags = participation_flags(inputs.participation(t).unionByName(inperson))
-    roster = t.customer.select("c_custkey", inputs.tax_id("c_custkey").alias("id"))
+    roster = t.customer.selectExpr("c_custkey", f"{inputs.tax_id('c_custkey')} as id")
     return attach_flags(roster, flags, "id", "TAX_ID").drop("id")
 
 

@@ -22,8 +22,8 @@ def fresh_folder(spark, name: str) -> str:
 
 
 def event_pages(t):
-    record = F.struct("event_id", "event_type")
-    return inputs.in_pages(t.events, "user_id", "event_id", "records", record)
+    record = "struct(event_id, event_type)"
+    return inputs.in_pages(t.events, "user_id", "records", record)
 
 
 @query("select user_id, event_id, event_type from events")

@@ -35,7 +35,7 @@ def any_of(column: Column, values: Iterable[str]) -> Column:
 def python_text(column: Column, data_type: T.DataType, null_text: str = "nan") -> Column:
     """Text as ``str`` prints the value: True/False, 1234567890.0, 1e+16; null becomes a label."""
     if isinstance(data_type, T.BooleanType):
-        text = F.when(column, "True").when(~column, "False")
+        text = F.initcap(column.cast("string"))
     elif isinstance(data_type, (T.DoubleType, T.FloatType)):
         text = _double_text(column.cast("double"))
     else:

@@ -9,53 +9,51 @@ from pyspark.sql import functions as F
 
 from rosterlane.operators.columns import quoted
 
-# Marks packed into one BIGINT; the sign bit stays free.
-MARKS_PER_WORD = 62
+# Marks packed into one number. More would fit, but the generated code that updates a word has to
+# stay small enough for the JVM to compile it: 45 marks took 1 s with 8 per word, 5 s in one.
+MARKS_PER_WORD = 8
 
 
-def marks_by_key(df: DataFrame, key: str, marks: Mapping[str, Column]) -> DataFrame:
-    """One row per non-null key; per predicate a boolean: does it hold for any row of the key?
+def marks_by_key(df: DataFrame, key: str, marks: Mapping[str, Column | str]) -> DataFrame:
+    """One row per non-null key; per predicate (a column or SQL text) a boolean: does it hold for
+    any row of the key?
 
-    The predicates are packed into the bits of a BIGINT, so that each row updates one number and
-    a (key, number) pair per task is all that is shuffled, however many marks there are.
+    The predicates are packed into the bits of a few numbers, which is all that is kept and shuffled
+    per key and task, however many marks there are.
     """
     names = list(marks)
     words = [names[i : i + MARKS_PER_WORD] for i in range(0, len(names), MARKS_PER_WORD)]
     packed = [
-        F.bit_or(_word([marks[n] for n in word])).alias(f"word_{i}") for i, word in enumerate(words)
+        F.expr("bit_or(" + " | ".join(f"if({quoted(n)}, {1 << j}, 0)" for j, n in enumerate(word)) + ")")
+        for word in words
     ]
-    bits = {n: (i, j) for i, word in enumerate(words) for j, n in enumerate(word)}
+    predicates = (F.expr(p) if isinstance(p, str) else p for p in marks.values())
     return (
         df.where(F.col(quoted(key)).isNotNull())
+        .select(F.col(quoted(key)), *(p.alias(n) for n, p in zip(names, predicates)))
         .groupBy(F.col(quoted(key)))
-        .agg(*packed)
-        .select(
-            F.col(quoted(key)),
+        .agg(*(word.alias(f"word_{i}") for i, word in enumerate(packed)))
+        .selectExpr(
+            quoted(key),
             *(
-                (F.col(f"word_{i}").bitwiseAND(F.lit(1 << j)) != 0).alias(n)
-                for n, (i, j) in bits.items()
+                f"word_{i} & {1 << j} <> 0 as {quoted(n)}"
+                for i, word in enumerate(words)
+                for j, n in enumerate(word)
             ),
         )
     )
 
 
-def _word(predicates: Sequence[Column]) -> Column:
-    word = F.lit(0).cast("bigint")
-    for j, predicate in enumerate(predicates):
-        word = word.bitwiseOR(F.when(predicate, F.lit(1 << j).cast("bigint")).otherwise(0))
-    return word
-
-
 def conditional_distinct(
-    df: DataFrame, key: str, metrics: Mapping[str, Column | None]
+    df: DataFrame, key: str, metrics: Mapping[str, Column | str | None]
 ) -> DataFrame:
     """One row: per metric the number of distinct non-null keys with a row for which it holds.
 
     None counts all keys. Exact, with one shuffle of one row per key and task.
     """
-    marks = {n: F.lit(True) if p is None else p for n, p in metrics.items()}
-    return marks_by_key(df, key, marks).agg(
-        *(F.count_if(quoted(name)).alias(name) for name in metrics)
+    marks = {n: "true" if p is None else p for n, p in metrics.items()}
+    return marks_by_key(df, key, marks).selectExpr(
+        *(f"count_if({quoted(name)}) as {quoted(name)}" for name in metrics)
     )
 
 

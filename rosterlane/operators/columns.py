@@ -35,15 +35,15 @@ def stringify_all(
     df: DataFrame, null_text: str = MISSING_TEXT, keep: Iterable[str] = ()
 ) -> DataFrame:
     """Every column as text (see ``python_text``), except those in ``keep``."""
-    kept = set(keep)
-    return df.select(
-        *(
-            F.col(quoted(f.name))
-            if f.name in kept
-            else python_text(F.col(quoted(f.name)), f.dataType, null_text).alias(f.name)
-            for f in df.schema
-        )
-    )
+    converted = [f for f in df.schema if f.name not in set(keep)]
+    texts = [f.name for f in converted if isinstance(f.dataType, T.StringType)]
+    others = {
+        f.name: python_text(F.col(quoted(f.name)), f.dataType, null_text)
+        for f in converted
+        if f.name not in texts
+    }
+    df = df.withColumns(others) if others else df
+    return df.fillna(null_text, subset=texts) if texts else df
 
 
 def questions_to_columns(

@@ -26,11 +26,8 @@ def _names(keys: Keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def _equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    condition = F.lit(True)
-    for one, other in pairs:
-        condition = condition & (left[quoted(one)] == right[quoted(other)])
-    return condition
+def _equal(lefts: Sequence[str], rights: Sequence[str]) -> Column:
+    return F.expr(" and ".join(f"{quoted(l)} = {quoted(r)}" for l, r in zip(lefts, rights)))
 
 
 def left_join(
@@ -48,30 +45,20 @@ def left_join(
     with many rows on the right.
     """
     lefts, rights = _names(left_on), _names(right_on or left_on)
-    shared = [r for l, r in zip(lefts, rights) if l == r]
-    # Key columns of the right side get names of their own, the others must not clash.
-    keys = [f"right_key_{i}" for i in range(len(rights))]
-    side = right.select(
-        *(F.col(quoted(r)).alias(k) for r, k in zip(rights, keys)),
-        *(F.col(quoted(c)) for c in right.columns if c not in shared),
-    )
-    pairs = list(zip(lefts, keys))
+    shared = {r: f"right {r}" for l, r in zip(lefts, rights) if l == r}
+    right, rights = right.withColumnsRenamed(shared), [shared.get(r, r) for r in rights]
+    on = _equal(lefts, rights)
     if unique:
-        return left.join(side, _equal(left, side, pairs), "left").drop(*keys)
-
-    hot = F.broadcast(
-        hot_keys(side, keys, hot_rows).select(*(F.col(k).alias(f"hot_{k}") for k in keys))
-    )
-    hot_names = [f"hot_{k}" for k in keys]
-    of_left, of_right = list(zip(lefts, hot_names)), list(zip(keys, hot_names))
-    usual_left = left.join(hot, _equal(left, hot, of_left), "left_anti")
-    usual_side = side.join(hot, _equal(side, hot, of_right), "left_anti")
-    usual = usual_left.join(usual_side, _equal(usual_left, usual_side, pairs), "left")
+        return left.join(right, on, "left").drop(*shared.values())
+
+    names = [f"hot {r}" for r in rights]
+    keys = hot_keys(right, rights, hot_rows).select(*map(quoted, rights)).toDF(*names)
+    hot, of_left, of_right = F.broadcast(keys), _equal(lefts, names), _equal(rights, names)
+    usual_left, usual_right = left.join(hot, of_left, "anti"), right.join(hot, of_right, "anti")
+    usual = usual_left.join(usual_right, on, "left")
     # A hot key is by definition present on the right: no left row goes without a match.
-    hot_left = left.join(hot, _equal(left, hot, of_left), "left_semi")
-    hot_side = side.join(hot, _equal(side, hot, of_right), "left_semi")
-    heavy = hot_left.join(hot_side, _equal(hot_left, hot_side, pairs), "inner")
-    return usual.unionByName(heavy).drop(*keys)
+    heavy = left.join(hot, of_left, "semi").join(right.join(hot, of_right, "semi"), on, "inner")
+    return usual.unionByName(heavy).drop(*shared.values())
 
 
 def merge_suffixed(
@@ -104,17 +91,16 @@ def exists_flag(
 
     Null never occurs; rows of ``df`` are never multiplied.
     """
-    marks = _distinct_keys(ref, [ref_on or on], ["mark_key"]).withColumn("mark", F.lit(True))
-    joined = df.join(marks, df[quoted(on)] == marks["mark_key"], "left")
-    return joined.withColumn(flag, F.coalesce("mark", F.lit(False))).drop("mark_key", "mark")
+    marks = _distinct_keys(ref, _names(ref_on or on)).withColumn(flag, F.lit(True))
+    kept = [c for c in df.columns if c != flag]
+    joined = df.select(*map(quoted, kept)).join(marks, _equal([on], ["match 0"]), "left")
+    return joined.drop("match 0").fillna(False, subset=[flag])
 
 
 def keep_matching(df: DataFrame, ref: DataFrame, on: Keys, ref_on: Keys | None = None) -> DataFrame:
     """Rows whose key occurs in ``ref`` (semi-join)."""
-    keys = _names(on)
-    names = [f"match_{i}" for i in range(len(keys))]
-    marks = _distinct_keys(ref, _names(ref_on or on), names)
-    return df.join(marks, _equal(df, marks, list(zip(keys, names))), "left_semi")
+    marks = _distinct_keys(ref, _names(ref_on or on))
+    return df.join(marks, _equal(_names(on), marks.columns), "semi")
 
 
 def lookup_override(
@@ -130,19 +116,17 @@ def lookup_override(
 
     ``mapping`` has one row per key. With ``only_blank`` present values are kept.
     """
-    side = mapping.select(
-        F.col(quoted(mapping_on or on)).alias("lookup_key"),
-        F.col(quoted(value)).alias("lookup_value"),
-    )
+    names = ["lookup key", "lookup value"]
+    side = mapping.select(quoted(mapping_on or on), quoted(value)).toDF(*names)
     old = F.col(quoted(column))
-    new = F.coalesce(F.col("lookup_value"), old)
-    joined = df.join(side, df[quoted(on)] == side["lookup_key"], "left")
+    new = F.coalesce(F.col(quoted(names[1])), old)
     if only_blank:
         new = F.when(is_blank(old), new).otherwise(old)
-    return joined.withColumn(column, new).select(*(F.col(quoted(c)) for c in df.columns))
+    joined = df.join(side, _equal([on], names[:1]), "left")
+    return joined.withColumn(column, new).drop(*names)
 
 
-def _distinct_keys(ref: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
-    return (
-        ref.select(*(F.col(quoted(k)).alias(n) for k, n in zip(keys, names))).dropna().distinct()
-    )
+def _distinct_keys(ref: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys that occur, made unique before (and after) they are shuffled."""
+    names = [f"match {i}" for i in range(len(keys))]
+    return ref.select(*map(quoted, keys)).toDF(*names).dropna().distinct()

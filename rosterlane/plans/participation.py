@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlane import fixed_values as V
 from rosterlane.functions.ids import normalize_id
 from rosterlane.functions.text import trim_ws
 from rosterlane.operators.aggregates import marks_by_key
-from rosterlane.operators.columns import questions_to_columns, quoted, union_ragged
+from rosterlane.operators.columns import questions_to_columns, union_ragged
 from rosterlane.operators.joins import left_join
 from rosterlane.schemas import FLAG_SUFFIXES, FLAGS
 from rosterlane.sources.pages import explode_records
@@ -114,14 +114,13 @@ def inperson_participation(engagements: DataFrame, suffix: str = V.INPERSON_SUFF
     )
 
 
-def session_marks(suffixes: Sequence[str] = FLAG_SUFFIXES) -> dict[str, Column]:
+def session_marks(suffixes: Sequence[str] = FLAG_SUFFIXES) -> dict[str, str]:
     """Predicates of the flag pairs over the participation relation."""
-    marks = {}
-    for suffix in suffixes:
-        of_session = F.col("SESSION") == suffix
-        marks[f"ATTENDED_{suffix}"] = of_session & F.col("ATTENDED")
-        marks[f"REGISTERED_{suffix}"] = of_session & F.col("REGISTERED")
-    return marks
+    return {
+        f"{mark}_{suffix}": f"SESSION = '{suffix}' and {mark}"
+        for suffix in suffixes
+        for mark in ("ATTENDED", "REGISTERED")
+    }
 
 
 def participation_flags(
@@ -138,4 +137,4 @@ def attach_flags(
     joined = left_join(df, flags, on, flags_on, unique=True)
     if flags_on != on:
         joined = joined.drop(flags_on)
-    return joined.withColumns({n: F.coalesce(F.col(quoted(n)), F.lit(False)) for n in names})
+    return joined.fillna(False, subset=list(names))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlane import fixed_values as V
@@ -89,25 +89,21 @@ def build_detail(base: DataFrame, forms: DataFrame, event_date: str) -> DataFram
     return text.withColumn(EVENT_DATE, F.lit(event_date)).select(*DETAIL)
 
 
-def trend_metrics() -> dict[str, Column | None]:
-    """The 45 counts: predicate over the rows, or None for all providers."""
-    choice, portal = F.col(CHOICE), F.col(PORTAL_CREATED) == "True"
-
-    def wave(name: str) -> Column:
-        return F.col(WAVE) == name
-
+def trend_metrics() -> dict[str, str | None]:
+    """The 45 counts: SQL predicate over the rows, or None for all providers."""
+    portal = f"{PORTAL_CREATED} = 'True'"
     return {
         "PROVIDER_COUNT": None,
-        "HH_PROVIDER_COUNT": wave(V.WAVE_HELP),
-        "HEALTH_PROVIDER_COUNT": wave(V.WAVE_HEALTH),
-        "COMPLETED_ONBOARDING_FORM": choice != V.MISSING_FORM,
-        **{flag: F.col(flag) for flag in FLAGS},
-        **{name: choice == label for name, label in V.CHOICE_LABELS.items()},
-        **{f"LMS_{n}": F.col(STATUS) == label for n, label in V.ENROLMENT_LABELS.items()},
-        **{f"LMS_HH_{n}": F.col(STATUS_HELP) == label for n, label in V.ENROLMENT_LABELS.items()},
-        "HH_PORTALS_CREATED": wave(V.WAVE_HELP) & portal,
-        "HEALTH_PORTALS_CREATED": wave(V.WAVE_HEALTH) & portal,
-        "PCS_PORTALS_CREATED": wave(V.WAVE_PCS) & portal,
+        "HH_PROVIDER_COUNT": f"{WAVE} = '{V.WAVE_HELP}'",
+        "HEALTH_PROVIDER_COUNT": f"{WAVE} = '{V.WAVE_HEALTH}'",
+        "COMPLETED_ONBOARDING_FORM": f"{CHOICE} <> '{V.MISSING_FORM}'",
+        **{flag: flag for flag in FLAGS},
+        **{name: f"{CHOICE} = '{label}'" for name, label in V.CHOICE_LABELS.items()},
+        **{f"LMS_{n}": f"{STATUS} = '{label}'" for n, label in V.ENROLMENT_LABELS.items()},
+        **{f"LMS_HH_{n}": f"{STATUS_HELP} = '{label}'" for n, label in V.ENROLMENT_LABELS.items()},
+        "HH_PORTALS_CREATED": f"{WAVE} = '{V.WAVE_HELP}' and {portal}",
+        "HEALTH_PORTALS_CREATED": f"{WAVE} = '{V.WAVE_HEALTH}' and {portal}",
+        "PCS_PORTALS_CREATED": f"{WAVE} = '{V.WAVE_PCS}' and {portal}",
         "PORTALS_CREATED": portal,
     }
 
