@@ -160,25 +160,25 @@ def detail_report(t):
     count(distinct case when c_mktsegment='BUILDING' and s_suppkey is not null then c_custkey end)
       as building_portals from d""")
 def trend_snapshot(t):
-    choices = (
-        t.orders.where(F.col("o_orderpriority") == "3-MEDIUM")
-        .select("o_custkey", F.col("o_orderstatus").alias("choice"))
-        .distinct()
-    )
+    medium = t.orders.where(F.col("o_orderpriority") == "3-MEDIUM")
+    marks = {
+        "completed_form": "o_orderstatus <> 'Missing'",
+        "choice_f": "o_orderstatus = 'F'",
+        "choice_o": "o_orderstatus = 'O'",
+    }
+    choices = marks_by_key(medium, "o_custkey", marks)
     roster = t.customer.select("c_custkey", "c_mktsegment")
     rows = portal_state(roster, supplier_portals(t), "c_custkey")
-    rows = left_join(rows, choices, "c_custkey", "o_custkey").fillna("Missing", ["choice"])
-    building, choice = F.col("c_mktsegment") == "BUILDING", F.col("choice")
+    rows = left_join(rows, choices, "c_custkey", "o_custkey", unique=True)
+    building = "c_mktsegment = 'BUILDING'"
     return conditional_distinct(
         rows,
         "c_custkey",
         {
             "provider_count": None,
             "building_count": building,
-            "completed_form": choice != "Missing",
-            "choice_f": choice == "F",
-            "choice_o": choice == "O",
-            "building_portals": building & (F.col("PORTAL_CREATED") == "True"),
+            **{name: name for name in marks},
+            "building_portals": f"{building} and PORTAL_CREATED = 'True'",
         },
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterlane.operators.columns import quoted
+from rosterlane.operators.skew import not_null
 
 # Marks packed into one number. More would fit, but the generated code that updates a word has to
 # stay small enough for the JVM to compile it: 45 marks took 1 s with 8 per word, 5 s in one.
@@ -29,7 +30,7 @@ def marks_by_key(df: DataFrame, key: str, marks: Mapping[str, Column | str]) ->
     ]
     predicates = (F.expr(p) if isinstance(p, str) else p for p in marks.values())
     return (
-        df.where(F.col(quoted(key)).isNotNull())
+        df.where(not_null([key]))
         .select(F.col(quoted(key)), *(p.alias(n) for n, p in zip(names, predicates)))
         .groupBy(F.col(quoted(key)))
         .agg(*(word.alias(f"word_{i}") for i, word in enumerate(packed)))
@@ -62,10 +63,12 @@ def distinct_concat(
 ) -> DataFrame:
     """Per non-null key the distinct values of each column, sorted and joined to one text.
 
-    ``columns`` maps column to result name. Values are made distinct before they are gathered, so
-    only the distinct ones of a key ever meet in one task. Nulls are left out.
+    ``columns`` maps column to result name. Values are made distinct before they are gathered, with
+    the work of a hot key spread over its values; only what its text has to hold meets in one task.
+    Nulls are left out.
     """
-    keys = [F.col(quoted(k)) for k in ([key] if isinstance(key, str) else key)]
+    names = [key] if isinstance(key, str) else list(key)
+    keys = [F.col(quoted(k)) for k in names]
     values = F.array(
         *(
             F.struct(F.lit(name).alias("name"), F.col(quoted(column)).alias("value"))
@@ -73,7 +76,7 @@ def distinct_concat(
         )
     )
     distinct = (
-        df.dropna(subset=key)
+        df.where(not_null(names))
         .select(*keys, F.explode(values).alias("entry"))
         .select(*keys, "entry.name", "entry.value")
         .distinct()

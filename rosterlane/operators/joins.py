@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from rosterlane.functions.text import is_blank
 from rosterlane.operators.columns import quoted
-from rosterlane.operators.skew import HOT_ROWS, hot_keys
+from rosterlane.operators.skew import HOT_ROWS, hot_keys, not_null
 
 Keys = str | Sequence[str]
 
@@ -129,4 +129,4 @@ def lookup_override(
 def _distinct_keys(ref: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The keys that occur, made unique before (and after) they are shuffled."""
     names = [f"match {i}" for i in range(len(keys))]
-    return ref.select(*map(quoted, keys)).toDF(*names).dropna().distinct()
+    return ref.where(not_null(keys)).select(*map(quoted, keys)).toDF(*names).distinct()

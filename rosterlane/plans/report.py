@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rosterlane import fixed_values as V
 from rosterlane.functions.text import trim_ws
-from rosterlane.operators.aggregates import conditional_distinct
+from rosterlane.operators.aggregates import conditional_distinct, marks_by_key
 from rosterlane.operators.columns import rename_columns, stringify_all, union_ragged
 from rosterlane.operators.joins import left_join
 from rosterlane.operators.ordered import first_per_key
@@ -27,7 +27,7 @@ from rosterlane.plans.steps import (
     status_by_plan,
 )
 from rosterlane.schemas import DETAIL, FLAGS, INGEST_SEQ
-from rosterlane.sinks.files import EVENT_DATE, export_report, write_snapshot
+from rosterlane.sinks.files import EVENT_DATE, export_report, shared_folder, write_snapshot
 from rosterlane.sources.tables import inperson_engagements, portals
 
 ID = V.ROSTER_COLUMNS[V.ROSTER_TAX_ID]
@@ -90,15 +90,15 @@ def build_detail(base: DataFrame, forms: DataFrame, event_date: str) -> DataFram
 
 
 def trend_metrics() -> dict[str, str | None]:
-    """The 45 counts: SQL predicate over the rows, or None for all providers."""
+    """The 45 counts: SQL predicate over the base with form marks, or None for all providers."""
     portal = f"{PORTAL_CREATED} = 'True'"
     return {
         "PROVIDER_COUNT": None,
         "HH_PROVIDER_COUNT": f"{WAVE} = '{V.WAVE_HELP}'",
         "HEALTH_PROVIDER_COUNT": f"{WAVE} = '{V.WAVE_HEALTH}'",
-        "COMPLETED_ONBOARDING_FORM": f"{CHOICE} <> '{V.MISSING_FORM}'",
+        "COMPLETED_ONBOARDING_FORM": "COMPLETED_ONBOARDING_FORM",
         **{flag: flag for flag in FLAGS},
-        **{name: f"{CHOICE} = '{label}'" for name, label in V.CHOICE_LABELS.items()},
+        **{name: name for name in V.CHOICE_LABELS},
         **{f"LMS_{n}": f"{STATUS} = '{label}'" for n, label in V.ENROLMENT_LABELS.items()},
         **{f"LMS_HH_{n}": f"{STATUS_HELP} = '{label}'" for n, label in V.ENROLMENT_LABELS.items()},
         "HH_PORTALS_CREATED": f"{WAVE} = '{V.WAVE_HELP}' and {portal}",
@@ -108,16 +108,24 @@ def trend_metrics() -> dict[str, str | None]:
     }
 
 
+def form_marks(forms: DataFrame) -> DataFrame:
+    """Per tax id: has any of its forms a choice, and which of the counted ones occur?"""
+    marks = {
+        "COMPLETED_ONBOARDING_FORM": f"{CHOICE} <> '{V.MISSING_FORM}'",
+        **{name: f"{CHOICE} = '{label}'" for name, label in V.CHOICE_LABELS.items()},
+    }
+    choices = forms.selectExpr(f"{V.FORM_TAX_ID} as {FORM_KEY}", f"{V.FORM_CHOICE} as {CHOICE}")
+    return marks_by_key(choices, FORM_KEY, marks)
+
+
 def build_trend(base: DataFrame, forms: DataFrame, event_date: str) -> DataFrame:
     """One row: the date and the 45 distinct counts of providers.
 
-    A provider with several form choices counts under each of them, unlike in the detail; so the
-    base is joined to all distinct choices of an id, not to the first.
+    A provider with several form choices counts under each of them, unlike in the detail. The
+    choices are reduced to marks per id before the join, which counts the same as joining all of
+    them and keeps one row per provider and wave.
     """
-    choices = forms.select(
-        F.col(V.FORM_TAX_ID).alias(FORM_KEY), F.col(V.FORM_CHOICE).alias(CHOICE)
-    ).distinct()
-    rows = left_join(base, choices, ID, FORM_KEY).fillna(V.MISSING_FORM, subset=[CHOICE])
+    rows = left_join(base, form_marks(forms), ID, FORM_KEY, unique=True)
     counts = conditional_distinct(rows, ID, trend_metrics())
     return counts.select(F.to_date(F.lit(event_date), V.REPORT_DATE).alias(EVENT_DATE), "*")
 
@@ -135,6 +143,7 @@ def run_report(
 
     What both share is computed once and checkpointed to the shared folder of the session.
     """
+    shared_folder(inputs.roster.sparkSession)
     base = build_base(inputs).checkpoint()
     forms = form_choice(inputs.form).checkpoint()
     write_snapshot(build_trend(base, forms, event_date), trend_path)
