@@ -63,30 +63,14 @@ def distinct_concat(
 ) -> DataFrame:
     """Per non-null key the distinct values of each column, sorted and joined to one text.
 
-    ``columns`` maps column to result name. Values are made distinct before they are gathered, with
+    ``columns`` maps column to result name. Rows are made distinct before they are gathered, with
     the work of a hot key spread over its values; only what its text has to hold meets in one task.
     Nulls are left out.
     """
-    names = [key] if isinstance(key, str) else list(key)
-    keys = [F.col(quoted(k)) for k in names]
-    values = F.array(
-        *(
-            F.struct(F.lit(name).alias("name"), F.col(quoted(column)).alias("value"))
-            for column, name in columns.items()
-        )
-    )
-    distinct = (
-        df.where(not_null(names))
-        .select(*keys, F.explode(values).alias("entry"))
-        .select(*keys, "entry.name", "entry.value")
-        .distinct()
-    )
-    return distinct.groupBy(*keys).agg(
-        *(
-            F.array_join(
-                F.sort_array(F.collect_list(F.when(F.col("name") == name, F.col("value")))),
-                separator,
-            ).alias(name)
-            for name in columns.values()
-        )
+    keys = [quoted(k) for k in ([key] if isinstance(key, str) else key)]
+    texts = (
+        F.array_join(F.sort_array(F.collect_set(quoted(column))), separator).alias(name)
+        for column, name in columns.items()
     )
+    known = df.where(not_null([key] if isinstance(key, str) else key))
+    return known.select(*keys, *map(quoted, columns)).distinct().groupBy(*keys).agg(*texts)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterlane.operators.columns import quoted
-from rosterlane.operators.skew import HOT_ROWS, hot_keys, not_null
+from rosterlane.operators.skew import HOT_ROWS, hot_keys
 
 FORWARD = "ffill_bfill"
 BACKWARD = "bfill_ffill"
@@ -70,87 +70,82 @@ def fill_within_group(
     keys = [group] if isinstance(group, str) else list(group)
     cut = _cut_into_runs(df, keys, order, hot_rows)
 
-    filled = cut
+    values = []
     for column, mode in columns.items():
-        span = Window.partitionBy(*map(quoted, keys), "run").orderBy(*_sorted(order, mode))
-        near = span.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        whole = span.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        filled = filled.withColumns(
-            {
-                f"near {column}": F.last(quoted(column), ignorenulls=True).over(near),
-                f"far {column}": F.first(quoted(column), ignorenulls=True).over(whole),
-            }
-        )
-    seeds = _seeds(cut, keys, columns, order)
-    same = [filled[quoted(k)] == seeds[f"seed_key_{i}"] for i, k in enumerate(keys)]
-    joined = filled.join(seeds, [*same, filled["run"] == seeds["seed_run"]], "left")
-
-    def result(name: str) -> Column:
+        span = f"partition by {_list(keys)}, `fill run` order by {_sorted(order, mode)} rows"
+        start = "between unbounded preceding and"
+        near = f"last({quoted(column)}, true) over ({span} {start} current row)"
+        far = f"first({quoted(column)}, true) over ({span} {start} unbounded following)"
+        values += [f"{near} as `near {column}`", f"{far} as `far {column}`"]
+    same = [f"{quoted(k)} = `seed key {i}`" for i, k in enumerate(keys)]
+    filled = cut.selectExpr("*", *values)
+    joined = filled.join(
+        _seeds(cut, keys, columns, order), F.expr(" and ".join([*same, "`fill run` = `seed run`"])), "left"
+    )
+    known = " and ".join(f"{quoted(k)} is not null" for k in keys)
+
+    def result(name: str) -> str:
         if name not in columns:
-            return F.col(quoted(name))
-        beyond = F.when(F.col("is_hot"), F.col(quoted(f"seed {name}"))).otherwise(
-            F.col(quoted(f"far {name}"))
-        )
-        value = F.coalesce(F.col(quoted(f"near {name}")), beyond)
-        return F.when(not_null(keys), value).alias(name)
+            return quoted(name)
+        beyond = f"if(`fill hot`, `seed {name}`, `far {name}`)"
+        return f"if({known}, coalesce(`near {name}`, {beyond}), null) as {quoted(name)}"
+
+    return joined.selectExpr(*map(result, df.columns))
 
-    return joined.select(*map(result, df.columns))
 
+def _list(columns: Sequence[str]) -> str:
+    return ", ".join(map(quoted, columns))
 
-def _sorted(columns: Sequence[str], mode: str) -> list[Column]:
-    # Descending puts nulls last: the exact reverse of ascending.
-    return [F.asc(quoted(c)) if mode == FORWARD else F.desc(quoted(c)) for c in columns]
+
+def _sorted(columns: Sequence[str], mode: str) -> str:
+    # Nulls last when descending: the exact reverse of ascending.
+    way = "asc nulls first" if mode == FORWARD else "desc nulls last"
+    return ", ".join(f"{quoted(c)} {way}" for c in columns)
 
 
 def _cut_into_runs(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int
 ) -> DataFrame:
-    """Add ``run``, which never decreases along the order within a group, and ``is_hot``."""
-    place = _number_line(F.col(quoted(order[0])), df.schema[order[0]].dataType)
-    slim = df.select(
-        *(F.col(quoted(k)).alias(f"hot_key_{i}") for i, k in enumerate(keys)), place.alias("at")
-    )
+    """Add the run, which never decreases along the order within a group, and whether it is one of
+    a hot group."""
+    kind = df.schema[order[0]].dataType
+    place = _number_line(quoted(order[0]), kind)
+    names = [f"hot key {i}" for i in range(len(keys))]
     hot = hot_keys(
-        slim,
-        [f"hot_key_{i}" for i in range(len(keys))],
+        df.selectExpr(*map(quoted, keys), f"{place} as at").toDF(*names, "at"),
+        names,
         hot_rows,
         hot_from=F.min("at"),
         hot_to=F.max("at"),
     )
     # Runs are of equal width. With distinct whole numbers a run of width hot_rows cannot hold more
-    # rows; the second bound keeps the table of runs small when the numbers are sparse.
-    width = F.col("hot_to") - F.col("hot_from") + 1
-    runs = F.least(
-        F.ceil(width / hot_rows), F.ceil(F.col("hot_count") / hot_rows) * RUNS_PER_HOT_ROWS
+    # rows; the other bound keeps the table of runs small when the numbers are sparse.
+    runs = f"ceil(hot_count / {hot_rows}) * {RUNS_PER_HOT_ROWS}"
+    if isinstance(kind, T.IntegralType):
+        runs = f"least({runs}, ceil((hot_to - hot_from + 1) / {hot_rows}))"
+    hot = hot.selectExpr(
+        *map(quoted, names), "hot_from", f"(hot_to - hot_from + 1) / ({runs}) as hot_width"
     )
-    if not isinstance(df.schema[order[0]].dataType, T.IntegralType):
-        runs = F.ceil(F.col("hot_count") / hot_rows) * RUNS_PER_HOT_ROWS
-    hot = hot.withColumn("hot_width", width / runs).drop("hot_count", "hot_to")
-
-    same = [df[quoted(k)] == hot[f"hot_key_{i}"] for i, k in enumerate(keys)]
-    run = (
-        F.when(~not_null(keys), F.xxhash64(*map(quoted, order)))
-        .when(F.col("hot_width").isNull(), 0)
-        .otherwise(F.coalesce(F.floor((place - F.col("hot_from")) / F.col("hot_width")), F.lit(-1)))
-    )
-    return (
-        df.join(F.broadcast(hot), same, "left")
-        .withColumns({"run": run, "is_hot": F.col("hot_width").isNotNull()})
-        .select(*(F.col(quoted(c)) for c in df.columns), "run", "is_hot")
+    same = " and ".join(f"{quoted(k)} = {quoted(n)}" for k, n in zip(keys, names))
+    loose = " or ".join(f"{quoted(k)} is null" for k in keys)
+    return df.join(F.broadcast(hot), F.expr(same), "left").selectExpr(
+        *map(quoted, df.columns),
+        # Rows without a group need no neighbours and are spread over all tasks.
+        f"case when {loose} then xxhash64({_list(order)}) when hot_width is null then 0"
+        f" else coalesce(floor(({place} - hot_from) / hot_width), -1) end as `fill run`",
+        "hot_width is not null as `fill hot`",
     )
 
 
-def _number_line(column: Column, kind: T.DataType) -> Column:
-    """A double that never decreases where the column increases."""
-    if isinstance(kind, T.NumericType):
-        return column.cast("double")
-    if isinstance(kind, T.TimestampType):
-        return column.cast("double")
+def _number_line(column: str, kind: T.DataType) -> str:
+    """A double that never decreases where the column increases, in any session time zone."""
+    if isinstance(kind, (T.NumericType, T.TimestampType)):
+        return f"cast({column} as double)"
     if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("double")
+        return f"cast(unix_date({column}) as double)"
     if isinstance(kind, T.TimestampNTZType):
-        seconds = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
-        return F.unix_date(column.cast("date")) * F.lit(86400.0) + seconds
+        seconds = f"hour({column}) * 3600 + minute({column}) * 60 + second({column})"
+        return f"cast(unix_date(cast({column} as date)) * 86400L + {seconds} as double)"
     raise ValueError(f"the first order column must be a number, date or timestamp, not {kind}")
 
 
@@ -158,28 +153,22 @@ def _seeds(
     cut: DataFrame, keys: Sequence[str], columns: Mapping[str, str], order: Sequence[str]
 ) -> DataFrame:
     """Per run of a hot group: the value that reaches into it from the other runs."""
-    at = F.struct(*map(quoted, order))
-    ends = {}
+    at = f"struct({_list(order)})"
+    ends, seeds = [], []
     for column, mode in columns.items():
-        where = F.when(F.col(quoted(column)).isNotNull(), at)
-        low, high = F.min_by(quoted(column), where), F.max_by(quoted(column), where)
-        first, last = (low, high) if mode == FORWARD else (high, low)
-        ends |= {f"first {column}": first, f"last {column}": last}
-    names = [f"seed_key_{i}" for i in range(len(keys))]
-    runs = (
-        cut.where("is_hot")
-        .groupBy(*(F.col(quoted(k)).alias(n) for k, n in zip(keys, names)), "run")
-        .agg(*(c.alias(n) for n, c in ends.items()))
-        .withColumnRenamed("run", "seed_run")
+        first, last = ("min_by", "max_by") if mode == FORWARD else ("max_by", "min_by")
+        known = f"{quoted(column)}, if({quoted(column)} is not null, {at}, null)"
+        ends += [
+            F.expr(f"{first}({known})").alias(f"first {column}"),
+            F.expr(f"{last}({known})").alias(f"last {column}"),
+        ]
+        span = f"partition by {_list(keys)} order by {_sorted(['fill run'], mode)} rows"
+        start = "between unbounded preceding and"
+        before = f"last(`last {column}`, true) over ({span} {start} 1 preceding)"
+        nearest = f"first(`first {column}`, true) over ({span} {start} unbounded following)"
+        seeds.append(f"coalesce({before}, {nearest})")
+    runs = cut.where("`fill hot`").groupBy(*map(quoted, keys), "fill run").agg(*ends)
+    names = [f"seed key {i}" for i in range(len(keys))]
+    return runs.selectExpr(*map(quoted, keys), "`fill run`", *seeds).toDF(
+        *names, "seed run", *(f"seed {c}" for c in columns)
     )
-
-    def seed(column: str, mode: str) -> Column:
-        span = Window.partitionBy(*names).orderBy(*_sorted(["seed_run"], mode))
-        before = span.rowsBetween(Window.unboundedPreceding, -1)
-        whole = span.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return F.coalesce(
-            F.last(quoted(f"last {column}"), ignorenulls=True).over(before),
-            F.first(quoted(f"first {column}"), ignorenulls=True).over(whole),
-        ).alias(f"seed {column}")
-
-    return runs.select(*names, "seed_run", *(seed(c, m) for c, m in columns.items()))

@@ -76,7 +76,7 @@ def test_hot_groups_are_cut(spark):
     df = spark.range(1000).selectExpr("id % 3 as g", "if(id % 50 = 0, id, null) as v", "id as i")
     from rosterlane.operators.ordered import _cut_into_runs
 
-    runs = _cut_into_runs(df, ["g"], ["i"], 100).groupBy("g", "run").count()
+    runs = _cut_into_runs(df, ["g"], ["i"], 100).groupBy("g", "fill run").count()
     assert runs.agg(F.max("count")).first()[0] <= 100
     assert runs.count() >= 10
 
@@ -87,6 +87,12 @@ def test_fill_needs_an_order_that_can_be_cut(spark):
         fill_within_group(df, "g", {"v": FORWARD}, ["o"])
 
 
+def test_fill_keeps_columns_with_any_name(spark):
+    df = spark.createDataFrame([("a", None, 0, 9), ("a", 1, 1, 8)], "run string, at int, seq int, is_hot int")
+    filled = fill_within_group(df, "run", {"at": FORWARD}, ["seq"], hot_rows=1)
+    assert rows(filled) == [("a", 1, 0, 9), ("a", 1, 1, 8)]
+
+
 def test_fill_by_two_group_columns(spark):
     data = [("a", 1, None, 0), ("a", 1, 5, 1), ("a", 2, None, 2), (None, 1, 7, 3)]
     df = spark.createDataFrame(data, "g string, h int, v int, i int")
