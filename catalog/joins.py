@@ -68,10 +68,10 @@ def left_join_plans(t):
         F.col("c_custkey").alias("tax_id"), F.col("c_mktsegment").alias("status")
     )
     first = merge_suffixed(
-        roster, plan("1-URGENT"), "tax_id", "agency", suffixes=("_roster", "_plan"), unique=True
+        roster, plan("1-URGENT"), "tax_id", "agency", suffixes=("_roster", "_plan"), unique=True, even=True
     )
     return merge_suffixed(
-        first, plan("2-HIGH"), "tax_id", "agency", suffixes=("", "_help"), unique=True
+        first, plan("2-HIGH"), "tax_id", "agency", suffixes=("", "_help"), unique=True, even=True
     )
 
 

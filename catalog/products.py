@@ -138,8 +138,8 @@ def detail_report(t):
         {"o_orderpriority": "payers"},
     )
     rows = attach_flags(roster, flags, key, "user_id", list(marks))
-    rows = left_join(rows, choice, key, "o_custkey", unique=True).fillna("Missing", ["choice"])
-    rows = left_join(rows, payers, key, "payer_id", unique=True).drop("o_custkey", "payer_id")
+    rows = left_join(rows, choice, key, "o_custkey", unique=True, even=True).fillna("Missing", ["choice"])
+    rows = left_join(rows, payers, key, "payer_id", unique=True, even=True).drop("o_custkey", "payer_id")
     rows = portal_state(rows, supplier_portals(t), key)
     return stringify_all(
         rows.drop("PROVIDER_ID", "PORTAL_TYPE").withColumnRenamed(
@@ -169,7 +169,7 @@ def trend_snapshot(t):
     choices = marks_by_key(medium, "o_custkey", marks)
     roster = t.customer.select("c_custkey", "c_mktsegment")
     rows = portal_state(roster, supplier_portals(t), "c_custkey")
-    rows = left_join(rows, choices, "c_custkey", "o_custkey", unique=True)
+    rows = left_join(rows, choices, "c_custkey", "o_custkey", unique=True, even=True)
     building = "c_mktsegment = 'BUILDING'"
     return conditional_distinct(
         rows,

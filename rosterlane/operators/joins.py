@@ -1,11 +1,16 @@
-"""Equi-joins.
+"""Equi-joins that stand a key (or null) with a great share of the rows.
 
-Skew: adaptive execution splits a hot partition on the left of a left join, and on either side of
-an inner join, but never on the right of a left join. So the right side is made unique before it is
-shuffled where the operator allows it (``exists_flag``, ``keep_matching``); where every match has to
-be kept, keys that are hot on the right are joined apart, as an inner join.
+Adaptive execution can split a hot partition of a join only when both sides come straight from a
+shuffle, which an aggregated side does not, and never on the right of a left join. So hot keys are
+taken out before the shuffle:
 
-No side is broadcast by hint: whether one is small enough is decided by its size at run time.
+* hot on the left, unique on the right: at most HOT_KEYS rows of the right side concern them, a
+  bounded number, which are broadcast. The hot rows, and those with a null key, are not shuffled.
+* hot on the right of a join that keeps every match: they are joined apart by an inner join, which
+  adaptive execution splits on both sides.
+
+Beyond that no side is broadcast by hint: whether one is small enough is decided by its size at run
+time. Where the left side is known to have few rows per key, ``even`` leaves out the search.
 """
 
 from __future__ import annotations
@@ -36,29 +41,49 @@ def left_join(
     left_on: Keys,
     right_on: Keys | None = None,
     unique: bool = False,
+    even: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join that keeps every match; null keys match nothing.
 
     Column names of the sides must differ, but for key columns of the same name, which are kept
-    once. ``unique`` says that ``right`` has at most one row per key and saves the search for keys
-    with many rows on the right.
+    once. ``unique``: ``right`` has at most one row per key. ``even``: ``left`` has few rows per key
+    and few without one. Joins in a row should be ``even`` (make the left side unique first), since
+    otherwise each of them reads its left side once per kind of key.
     """
     lefts, rights = _names(left_on), _names(right_on or left_on)
     shared = {r: f"right {r}" for l, r in zip(lefts, rights) if l == r}
     right, rights = right.withColumnsRenamed(shared), [shared.get(r, r) for r in rights]
     on = _equal(lefts, rights)
-    if unique:
+    if unique and even:
         return left.join(right, on, "left").drop(*shared.values())
 
-    names = [f"hot {r}" for r in rights]
-    keys = hot_keys(right, rights, hot_rows).select(*map(quoted, rights)).toDF(*names)
-    hot, of_left, of_right = F.broadcast(keys), _equal(lefts, names), _equal(rights, names)
-    usual_left, usual_right = left.join(hot, of_left, "anti"), right.join(hot, of_right, "anti")
-    usual = usual_left.join(usual_right, on, "left")
-    # A hot key is by definition present on the right: no left row goes without a match.
-    heavy = left.join(hot, of_left, "semi").join(right.join(hot, of_right, "semi"), on, "inner")
-    return usual.unionByName(heavy).drop(*shared.values())
+    known = left if even else left.where(not_null(lefts))
+    if unique:
+        hot, of_left, of_right = _hot(known, lefts, hot_rows, lefts, rights)
+        hot_right = F.broadcast(right.join(hot, of_right, "semi"))
+        usual = known.join(hot, of_left, "anti").join(right, on, "left")
+        heavy = known.join(hot, of_left, "semi").join(hot_right, on, "left")
+    else:
+        hot, of_left, of_right = _hot(right, rights, hot_rows, lefts, rights)
+        usual_right = right.join(hot, of_right, "anti")
+        usual = known.join(hot, of_left, "anti").join(usual_right, on, "left")
+        # A hot key is by definition present on the right: no left row goes without a match.
+        hot_right = right.join(hot, of_right, "semi")
+        heavy = known.join(hot, of_left, "semi").join(hot_right, on, "inner")
+    joined = usual.unionByName(heavy)
+    if not even:
+        joined = joined.unionByName(left.where(~not_null(lefts)), allowMissingColumns=True)
+    return joined.drop(*shared.values())
+
+
+def _hot(
+    df: DataFrame, keys: Sequence[str], hot_rows: int, lefts: Sequence[str], rights: Sequence[str]
+) -> tuple[DataFrame, Column, Column]:
+    """The hot keys of ``df`` for a broadcast, and the conditions to match them on both sides."""
+    names = [f"hot {k}" for k in keys]
+    hot = hot_keys(df, keys, hot_rows).select(*map(quoted, keys)).toDF(*names)
+    return F.broadcast(hot), _equal(lefts, names), _equal(rights, names)
 
 
 def merge_suffixed(
@@ -67,8 +92,7 @@ def merge_suffixed(
     left_on: Keys,
     right_on: Keys | None = None,
     suffixes: tuple[str, str] = ("_x", "_y"),
-    unique: bool = False,
-    hot_rows: int = HOT_ROWS,
+    **options,
 ) -> DataFrame:
     """``left_join`` of sides whose column names clash; both get a suffix, which may be empty."""
     lefts, rights = _names(left_on), _names(right_on or left_on)
@@ -81,26 +105,40 @@ def merge_suffixed(
 
     one, one_on = suffixed(left, lefts, suffixes[0])
     other, other_on = suffixed(right, rights, suffixes[1])
-    return left_join(one, other, one_on, other_on, unique=unique, hot_rows=hot_rows)
+    return left_join(one, other, one_on, other_on, **options)
 
 
 def exists_flag(
-    df: DataFrame, ref: DataFrame, on: str, ref_on: str | None = None, flag: str = "exists"
+    df: DataFrame,
+    ref: DataFrame,
+    on: str,
+    ref_on: str | None = None,
+    flag: str = "exists",
+    **options,
 ) -> DataFrame:
     """All rows of ``df`` with a boolean column: does the key occur in ``ref``?
 
     Null never occurs; rows of ``df`` are never multiplied.
     """
     marks = _distinct_keys(ref, _names(ref_on or on)).withColumn(flag, F.lit(True))
-    kept = [c for c in df.columns if c != flag]
-    joined = df.select(*map(quoted, kept)).join(marks, _equal([on], ["match 0"]), "left")
+    kept = df.select(*(quoted(c) for c in df.columns if c != flag))
+    joined = left_join(kept, marks, on, "match 0", unique=True, **options)
     return joined.drop("match 0").fillna(False, subset=[flag])
 
 
-def keep_matching(df: DataFrame, ref: DataFrame, on: Keys, ref_on: Keys | None = None) -> DataFrame:
-    """Rows whose key occurs in ``ref`` (semi-join)."""
-    marks = _distinct_keys(ref, _names(ref_on or on))
-    return df.join(marks, _equal(_names(on), marks.columns), "semi")
+def keep_matching(
+    df: DataFrame,
+    ref: DataFrame,
+    on: Keys,
+    ref_on: Keys | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Rows whose key occurs in ``ref`` (semi-join); hot keys of ``df`` are not shuffled."""
+    lefts, marks = _names(on), _distinct_keys(ref, _names(ref_on or on))
+    hot, of_left, of_right = _hot(df, lefts, hot_rows, lefts, marks.columns)
+    occur = _equal(lefts, marks.columns)
+    usual = df.join(hot, of_left, "anti").join(marks, occur, "semi")
+    return usual.unionByName(df.join(F.broadcast(marks.join(hot, of_right, "semi")), occur, "semi"))
 
 
 def lookup_override(
@@ -111,6 +149,7 @@ def lookup_override(
     value: str,
     mapping_on: str | None = None,
     only_blank: bool = False,
+    **options,
 ) -> DataFrame:
     """Replace ``column`` by the mapped value where the key is mapped, else keep it.
 
@@ -122,7 +161,7 @@ def lookup_override(
     new = F.coalesce(F.col(quoted(names[1])), old)
     if only_blank:
         new = F.when(is_blank(old), new).otherwise(old)
-    joined = df.join(side, _equal([on], names[:1]), "left")
+    joined = left_join(df, side, on, names[0], unique=True, **options)
     return joined.withColumn(column, new).drop(*names)
 
 

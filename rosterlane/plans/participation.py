@@ -133,8 +133,11 @@ def participation_flags(
 def attach_flags(
     df: DataFrame, flags: DataFrame, on: str, flags_on: str, names: Sequence[str] = FLAGS
 ) -> DataFrame:
-    """Left join of unique flag rows; a key without a row has every flag False."""
-    joined = left_join(df, flags, on, flags_on, unique=True)
+    """Left join of unique flag rows; a key without a row has every flag False.
+
+    ``df`` has few rows per key, as the roster after it was made unique.
+    """
+    joined = left_join(df, flags, on, flags_on, unique=True, even=True)
     if flags_on != on:
         joined = joined.drop(flags_on)
     return joined.fillna(False, subset=list(names))

@@ -81,7 +81,7 @@ def build_detail(base: DataFrame, forms: DataFrame, event_date: str) -> DataFram
     first = first_per_key(forms, [V.FORM_TAX_ID], [INGEST_SEQ]).select(
         F.col(V.FORM_TAX_ID).alias(FORM_KEY), F.col(V.FORM_CHOICE).alias(CHOICE)
     )
-    rows = left_join(base, first, ID, FORM_KEY, unique=True).fillna(
+    rows = left_join(base, first, ID, FORM_KEY, unique=True, even=True).fillna(
         V.MISSING_FORM, subset=[CHOICE]
     )
     # Portal columns are not labelled when missing: they keep their type and stay null.
@@ -125,7 +125,7 @@ def build_trend(base: DataFrame, forms: DataFrame, event_date: str) -> DataFrame
     choices are reduced to marks per id before the join, which counts the same as joining all of
     them and keeps one row per provider and wave.
     """
-    rows = left_join(base, form_marks(forms), ID, FORM_KEY, unique=True)
+    rows = left_join(base, form_marks(forms), ID, FORM_KEY, unique=True, even=True)
     counts = conditional_distinct(rows, ID, trend_metrics())
     return counts.select(F.to_date(F.lit(event_date), V.REPORT_DATE).alias(EVENT_DATE), "*")
 

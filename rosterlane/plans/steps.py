@@ -1,4 +1,7 @@
-"""The enrichment steps between the roster and the detail rows."""
+"""The enrichment steps between the roster and the detail rows.
+
+The roster they add to has few rows per id: ``build_base`` makes it unique per wave and id first.
+"""
 
 from __future__ import annotations
 
@@ -48,6 +51,7 @@ def enrich_contacts(
         value="email",
         mapping_on="TAX_ID_C",
         only_blank=only_blank,
+        even=True,
     )
 
 
@@ -87,7 +91,8 @@ def status_by_plan(
             )
         )
     )
-    joined = left_join(df, side_by_side, on, "AGENCY_TAX_ID", unique=True).drop("AGENCY_TAX_ID")
+    joined = left_join(df, side_by_side, on, "AGENCY_TAX_ID", unique=True, even=True)
+    joined = joined.drop("AGENCY_TAX_ID")
     return joined.fillna(label, subset=list(plans.values()))
 
 
@@ -106,7 +111,7 @@ def attach_payers(df: DataFrame, payers: DataFrame, on: str, wave: str) -> DataF
     A payer row is unique by id alone, so the join is on the id (which keeps the partitioning of
     the joins around it) and the wave is compared afterwards: the same as joining on both.
     """
-    joined = left_join(df, payers, on, "PAYER_TAX_ID", unique=True)
+    joined = left_join(df, payers, on, "PAYER_TAX_ID", unique=True, even=True)
     agree = F.col(quoted(wave)) == F.col("PAYER_WAVE")
     return joined.withColumn("PAYERS", F.when(agree, F.col("PAYERS"))).drop(
         "PAYER_TAX_ID", "PAYER_WAVE"
@@ -123,6 +128,6 @@ def portal_state(
         "PROVIDER_ID",
         F.col("PLATFORM_TAG").alias("PORTAL_TYPE"),
     )
-    joined = left_join(df, first, on, "PORTAL_TAX_ID", unique=True)
+    joined = left_join(df, first, on, "PORTAL_TAX_ID", unique=True, even=True)
     created = F.when(F.col("PORTAL_TAX_ID").isNotNull(), "True").otherwise("False")
     return joined.withColumn("PORTAL_CREATED", created).drop("PORTAL_TAX_ID")

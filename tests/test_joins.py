@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from helpers import plan, rows
@@ -29,10 +30,21 @@ def test_exists_flag_replaces_a_flag_of_the_same_name(spark):
 def test_reference_is_made_unique_before_the_shuffle(spark):
     ref = spark.range(100).select((F.col("id") % 3).alias("key"))
     df = spark.range(10)
-    for got in (exists_flag(df, ref, "id", "key"), keep_matching(df, ref, "id", "key")):
-        text = plan(got)
-        aggregate = text.index("HashAggregate(keys=[match 0")
-        assert "Exchange" in text[aggregate:] and text.count("HashAggregate(keys=[match 0") == 2
+    text = plan(exists_flag(df, ref, "id", "key", even=True))
+    first = text.index("HashAggregate(keys=[match 0")
+    shuffle = text.index("Exchange", first)
+    assert text.index("HashAggregate(keys=[match 0", first + 1) > shuffle
+
+
+def test_hot_rows_and_rows_without_key_are_not_shuffled(spark):
+    df = spark.range(100).selectExpr("case when id % 3 = 0 then 7 when id % 5 = 0 then id end as k", "id as n")
+    unique = spark.range(50).selectExpr("id as key", "id * 2 as v")
+    joined = left_join(df, unique, "k", "key", unique=True)
+    usual, heavy, loose = re.split(r"\n   [:+]- ", plan(joined).split("Union", 1)[1])[1:]
+    assert "LeftOuter" in usual and "LeftAnti" in usual
+    # The hot rows meet the hot keys, and their one match each, by broadcast.
+    assert heavy.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in heavy
+    assert "Exchange" not in loose and "Join" not in loose
 
 
 def test_keep_matching(spark):
@@ -83,7 +95,8 @@ def test_join_of_a_frame_with_itself(spark):
 
 @pytest.mark.parametrize("hot_rows", [1, 2, 5, 1000])
 @pytest.mark.parametrize("unique", [False, True])
-def test_left_join_equals_brute_force(spark, hot_rows, unique):
+@pytest.mark.parametrize("even", [False, True])
+def test_left_join_equals_brute_force(spark, hot_rows, unique, even):
     pick = random.Random(hot_rows)
     # A third of both sides has one key; nulls and copies of whole rows are among them.
     keys = [None, 0, 1, 2, 3, 4, 5, 6]
@@ -102,11 +115,38 @@ def test_left_join_equals_brute_force(spark, hot_rows, unique):
         "k",
         "rk",
         unique=unique,
+        even=even,
         hot_rows=hot_rows,
     )
     assert rows(joined) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("hot_rows", [1, 5, 1000])
+def test_marks_and_look_ups_equal_brute_force(spark, hot_rows):
+    pick = random.Random(hot_rows)
+    keys, weights = [None, 0, 1, 2, 3, 4, 5, 6], [6, 8, 2, 2, 2, 2, 2, 2]
+    data = [(pick.choices(keys, weights)[0], i, pick.choice([None, " ", "v"])) for i in range(60)]
+    ref = [pick.choice([None, 0, 2, 4, 9]) for _ in range(30)]
+    mapping = {0: "zero", 3: "three", 9: "nine"}
+    df = spark.createDataFrame(data, "k int, n int, v string").repartition(3)
+    ref_df = spark.createDataFrame([(r,) for r in ref], "r int").repartition(3)
+    known = {r for r in ref if r is not None}
+
+    flagged = exists_flag(df, ref_df, "k", "r", flag="f", hot_rows=hot_rows)
+    assert rows(flagged) == sorted([(*d, d[0] in known) for d in data], key=repr)
+    kept = keep_matching(df, ref_df, "k", "r", hot_rows=hot_rows)
+    assert rows(kept) == sorted([d for d in data if d[0] in known], key=repr)
+    table = spark.createDataFrame(list(mapping.items()), "m int, value string")
+    for only_blank in (False, True):
+        got = lookup_override(
+            df, table, "k", "v", "value", "m", only_blank=only_blank, hot_rows=hot_rows
+        )
+        expected = [
+            (k, n, mapping.get(k, v) if not (only_blank and v == "v") else v) for k, n, v in data
+        ]
+        assert rows(got) == sorted(expected, key=repr)
+
+
 def test_composite_key(spark):
     left = spark.createDataFrame([(1, "A"), (1, "B"), (None, "A")], "id int, wave string")
     right = spark.createDataFrame([(1, "A", "p"), (1, "A, B", "q")], "key int, Wave2 string, p string")
