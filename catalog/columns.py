@@ -21,7 +21,10 @@ def select_rename_drop(t):
     return rename_columns(df.drop("c_acctbal"), names)
 
 
-@query("select c_custkey, c_name, cast(null as varchar) as status_y from customer", name="ensure_columns")
+@query(
+    "select c_custkey, c_name, cast(null as varchar) as status_y from customer",
+    name="ensure_columns",
+)
 def ensure_status(t):
     df = t.customer.select("c_custkey", "c_name")
     return ensure_columns(df, {"status_y": "string", "c_name": "string"})
@@ -40,7 +43,8 @@ def fill_label(t):
 
 
 @query("""select o_orderkey, o_totalprice from (select o_orderkey, o_totalprice,
-  case when o_orderstatus<>'P' then o_custkey end as tax_id from orders) where tax_id is not null""")
+  case when o_orderstatus<>'P' then o_custkey end as tax_id from orders)
+  where tax_id is not null""")
 def drop_null_rows(t):
     key = F.when(F.col("o_orderstatus") != "P", F.col("o_custkey"))
     df = t.orders.select("o_orderkey", "o_totalprice", key.alias("tax_id"))

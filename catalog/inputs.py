@@ -50,10 +50,10 @@ def roster(t: Tables) -> DataFrame:
         "Provider State": "if(c_acctbal > 0, 'MI', null)",
         "Provider Zip Code": "lpad(c_nationkey, 5, '0')",
         "Provider Contact Name": "cast(null as string)",
-        "Provider Email Address": "case when c_acctbal >= 5000 then concat('c', c_custkey, '@x.org')"
-        " when c_acctbal >= 2000 then '  ' end",
+        "Provider Email Address": "case when c_acctbal >= 5000 then"
+        " concat('c', c_custkey, '@x.org') when c_acctbal >= 2000 then '  ' end",
         "Provider Phone Number ": "cast(null as string)",
-        "In HHAX": "if(c_acctbal > 5000, 'Yes', null)",
+        V.ROSTER_KNOWN: "if(c_acctbal > 5000, 'Yes', null)",
         "Wave": wave,
         INGEST_SEQ: "c_custkey",
     }
@@ -159,7 +159,7 @@ class WebinarPages:
 
 
 def in_pages(df: DataFrame, parent: str, records: str, record: str) -> DataFrame:
-    """Events put on pages of their parent: an event id is unique, so a page has at most PAGE_ROWS."""
+    """Events put on pages of their parent; ids are unique, so a page has at most PAGE_ROWS."""
     return (
         df.groupBy(parent, F.expr(f"floor(event_id / {PAGE_ROWS})").alias("page"))
         .agg(F.expr(f"collect_list({record})").alias(records))

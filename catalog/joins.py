@@ -27,7 +27,8 @@ def exists_flag_of(t):
   (select l_suppkey from lineitem where l_returnflag='R' and l_quantity>49)""")
 def semi_join(t):
     returned = t.lineitem.where((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 49))
-    return keep_matching(t.supplier.select("s_suppkey", "s_name"), returned, "s_suppkey", "l_suppkey")
+    suppliers = t.supplier.select("s_suppkey", "s_name")
+    return keep_matching(suppliers, returned, "s_suppkey", "l_suppkey")
 
 
 @query("""select o_orderkey as id_x, o_orderstatus as status_x, l_orderkey as registrant_id,
@@ -67,12 +68,11 @@ def left_join_plans(t):
     roster = t.customer.select(
         F.col("c_custkey").alias("tax_id"), F.col("c_mktsegment").alias("status")
     )
+    one_to_one = {"unique": True, "even": True}
     first = merge_suffixed(
-        roster, plan("1-URGENT"), "tax_id", "agency", suffixes=("_roster", "_plan"), unique=True, even=True
-    )
-    return merge_suffixed(
-        first, plan("2-HIGH"), "tax_id", "agency", suffixes=("", "_help"), unique=True, even=True
+        roster, plan("1-URGENT"), "tax_id", "agency", ("_roster", "_plan"), **one_to_one
     )
+    return merge_suffixed(first, plan("2-HIGH"), "tax_id", "agency", ("", "_help"), **one_to_one)
 
 
 @query("""select c_custkey, coalesce(o.p, c_mktsegment) as contact from customer left join

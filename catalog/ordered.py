@@ -36,15 +36,21 @@ def group_fill_back(t):
     return filled.select("event_id", "user_id", "v")
 
 
-@query("""select o_custkey,o_orderstatus,o_orderkey,o_totalprice from orders
-  qualify row_number() over (partition by o_custkey,o_orderstatus order by o_orderkey)=1""", name="first_per_key")
+@query(
+    """select o_custkey,o_orderstatus,o_orderkey,o_totalprice from orders
+  qualify row_number() over (partition by o_custkey,o_orderstatus order by o_orderkey)=1""",
+    name="first_per_key",
+)
 def first_per_key_of(t):
     orders = t.orders.select("o_custkey", "o_orderstatus", "o_orderkey", "o_totalprice")
     return first_per_key(orders, ["o_custkey", "o_orderstatus"], ["o_orderkey"])
 
 
-@query(f"""select o_custkey,o_orderkey,o_orderpriority from orders
-  qualify row_number() over (partition by o_custkey order by {PRIORITY_RANK}, o_orderkey)=1""", name="ranked_first")
+@query(
+    f"""select o_custkey,o_orderkey,o_orderpriority from orders
+  qualify row_number() over (partition by o_custkey order by {PRIORITY_RANK}, o_orderkey)=1""",
+    name="ranked_first",
+)
 def ranked_first_of(t):
     orders = t.orders.select("o_custkey", "o_orderkey", "o_orderpriority")
     return ranked_first(orders, "o_custkey", priority_rank(), ["o_orderkey"])

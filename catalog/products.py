@@ -34,7 +34,7 @@ from rosterlane.plans import (
     status_by_plan,
 )
 from rosterlane.schemas import FLAG_SUFFIXES, FLAGS, INGEST_SEQ, pair
-from rosterlane.sources import inperson_engagements, portals
+from rosterlane.sources import inperson_engagements
 
 EVENT_DATE = "01/02/2025"
 
@@ -138,8 +138,9 @@ def detail_report(t):
         {"o_orderpriority": "payers"},
     )
     rows = attach_flags(roster, flags, key, "user_id", list(marks))
-    rows = left_join(rows, choice, key, "o_custkey", unique=True, even=True).fillna("Missing", ["choice"])
-    rows = left_join(rows, payers, key, "payer_id", unique=True, even=True).drop("o_custkey", "payer_id")
+    rows = left_join(rows, choice, key, "o_custkey", unique=True, even=True)
+    rows = left_join(rows, payers, key, "payer_id", unique=True, even=True)
+    rows = rows.drop("o_custkey", "payer_id").fillna("Missing", ["choice"])
     rows = portal_state(rows, supplier_portals(t), key)
     return stringify_all(
         rows.drop("PROVIDER_ID", "PORTAL_TYPE").withColumnRenamed(
@@ -221,12 +222,12 @@ FORM_SQL = f"""sheet as (
   from orders),
 repaired as (
   select submitter, seq,
-    coalesce(last_value(tax_id ignore nulls) over before, first_value(tax_id ignore nulls) over after)
-      as tax_id,
+    coalesce(last_value(tax_id ignore nulls) over before,
+      first_value(tax_id ignore nulls) over after) as tax_id,
     coalesce(last_value(npi ignore nulls) over before, first_value(npi ignore nulls) over after)
       as npi,
-    coalesce(first_value(choice ignore nulls) over after, last_value(choice ignore nulls) over before)
-      as choice
+    coalesce(first_value(choice ignore nulls) over after,
+      last_value(choice ignore nulls) over before) as choice
   from sheet window before as (partition by submitter order by seq
       rows between unbounded preceding and current row),
     after as (partition by submitter order by seq
@@ -352,7 +353,7 @@ select coalesce(id,'nan') as PROVIDER_TAX_ID, name as PROVIDER_NAME, npi as PROV
   coalesce(id||npi,'nan') as TAX_ID_NPI, 'nan' as PROVIDER_ADDRESS_1, city as PROVIDER_CITY,
   coalesce(state,'nan') as PROVIDER_STATE, zip as PROVIDER_ZIP_CODE, 'nan' as PROVIDER_CONTACT_NAME,
   coalesce(email,'nan') as PROVIDER_EMAIL_ADDRESS, 'nan' as PROVIDER_PHONE_NUMBER,
-  coalesce(known,'nan') as IN_HHAX, wave as WAVE, {", ".join(map(text_flag, FLAGS))},
+  coalesce(known,'nan') as {V.ROSTER_COLUMNS[V.ROSTER_KNOWN]}, wave as WAVE, {", ".join(map(text_flag, FLAGS))},
   health as {V.DETAIL_ENROLMENT[0]}, help as {V.DETAIL_ENROLMENT[1]},
   coalesce(choice, '{V.MISSING_FORM}') as EVV_SYSTEM_CHOICE, coalesce(payers,'nan') as PAYERS,
   case when has_portal then 'True' else 'False' end as PORTAL_CREATED, provider_id as PROVIDER_ID,
@@ -380,7 +381,8 @@ def metric_sql() -> str:
         "PCS_PORTALS_CREATED": "wave='PCS' and has_portal",
         "PORTALS_CREATED": "has_portal",
     }
-    return ", ".join(f"count(distinct case when {p} then id end) as {n}" for n, p in metrics.items())
+    counts = (f"count(distinct case when {p} then id end) as {n}" for n, p in metrics.items())
+    return ", ".join(counts)
 
 
 @query(f"""{BASE_SQL},

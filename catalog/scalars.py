@@ -49,8 +49,11 @@ def id_normalize_number(t):
     return df.select("l_orderkey", "l_linenumber", price.alias("tax_id"))
 
 
-@query("""select c_custkey, cast(cast(lpad(c_custkey::varchar,9,'0') as bigint) as varchar) as tax_id
-  from customer""", name="id_as_int_text")
+@query(
+    """select c_custkey, cast(cast(lpad(c_custkey::varchar,9,'0') as bigint) as varchar) as tax_id
+  from customer""",
+    name="id_as_int_text",
+)
 def id_as_int(t):
     return t.customer.select("c_custkey", id_as_int_text(padded("c_custkey")).alias("tax_id"))
 

@@ -79,9 +79,7 @@ ROLE_PART = "Coordinator"
 FORM_GROUP = "MichiganDepartmentOfHealthAndHu_Id"
 FORM_TAX_ID = "FederalTaxID"
 FORM_NPI = "NPI"
-FORM_CHOICE = (
-    "DoesYourAgencyCurrentlyUseAnEVVSystemToCaptureTheStartTimeEndTimeAndLocationOfTheMembersService"
-)
+FORM_CHOICE = "DoesYourAgencyCurrentlyUseAnEVVSystemToCaptureTheStartTimeEndTimeAndLocationOfTheMembersService"
 MISSING_FORM = "Missing Cognito Form"
 CHOICE_LABELS = {
     "YES_INTEGRATE_EDI": (
@@ -99,6 +97,7 @@ CHOICE_LABELS = {
 ROSTER_TAX_ID = "Provider TAX ID"
 ROSTER_EMAIL = "Provider Email Address"
 ROSTER_WAVE = "Wave"
+ROSTER_KNOWN = "In HHAX"
 ROSTER_COLUMNS = {
     "Provider TAX ID": "PROVIDER_TAX_ID",
     "Provider Name": "PROVIDER_NAME",

@@ -78,10 +78,8 @@ def fill_within_group(
         far = f"first({quoted(column)}, true) over ({span} {start} unbounded following)"
         values += [f"{near} as `near {column}`", f"{far} as `far {column}`"]
     same = [f"{quoted(k)} = `seed key {i}`" for i, k in enumerate(keys)]
-    filled = cut.selectExpr("*", *values)
-    joined = filled.join(
-        _seeds(cut, keys, columns, order), F.expr(" and ".join([*same, "`fill run` = `seed run`"])), "left"
-    )
+    on = F.expr(" and ".join([*same, "`fill run` = `seed run`"]))
+    joined = cut.selectExpr("*", *values).join(_seeds(cut, keys, columns, order), on, "left")
     known = " and ".join(f"{quoted(k)} is not null" for k in keys)
 
     def result(name: str) -> str:

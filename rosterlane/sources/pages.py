@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,11 +41,11 @@ def read_pages(
 
 
 def parse_pages(
-    df: DataFrame, page: str | Column, records: str, record: T.StructType, parents: Sequence[str] = ()
+    df: DataFrame, page: str, records: str, record: T.StructType, parents: Sequence[str] = ()
 ) -> DataFrame:
     """Pages that are a text column of a table instead of files."""
-    text = F.col(quoted(page)) if isinstance(page, str) else page
-    parsed = F.from_json(text, page_schema(records, record, parents), {"mode": "FAILFAST"})
+    schema = page_schema(records, record, parents)
+    parsed = F.from_json(F.col(quoted(page)), schema, {"mode": "FAILFAST"})
     return df.select(parsed.alias("page")).select("page.*")
 
 

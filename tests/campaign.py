@@ -271,9 +271,7 @@ TREND = {
     "ATTENDED_PCS_INFO_SESSION_WEBINAR": 1,
     "REGISTERED_PCS_INFO_SESSION_INPERSON": 1,
     "ATTENDED_PCS_INFO_SESSION_INPERSON": 1,
-    "YES_INTEGRATE_EDI": 1,
-    "YES_USE_HHAX": 1,
-    "NO_EVV_SYSTEM": 1,
+    **dict.fromkeys(V.CHOICE_LABELS, 1),
     "LMS_NOTREGISTERED": 4,
     "LMS_ENROLLED": 1,
     "LMS_HH_NOTREGISTERED": 3,
