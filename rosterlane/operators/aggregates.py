@@ -25,11 +25,14 @@ def marks_by_key(df: DataFrame, key: str, marks: Mapping[str, Column | str]) ->
     names = list(marks)
     words = [names[i : i + MARKS_PER_WORD] for i in range(0, len(names), MARKS_PER_WORD)]
     bits = [[f"if({quoted(n)}, {1 << j}, 0)" for j, n in enumerate(word)] for word in words]
-    predicates = (F.expr(p) if isinstance(p, str) else p for p in marks.values())
+    predicates = (
+        F.expr(f"{p} as {quoted(n)}") if isinstance(p, str) else p.alias(n)
+        for n, p in marks.items()
+    )
     return (
         df.where(not_null([key]))
-        .select(F.col(quoted(key)), *(p.alias(n) for n, p in zip(names, predicates)))
-        .groupBy(F.col(quoted(key)))
+        .select(quoted(key), *predicates)
+        .groupBy(quoted(key))
         .agg(*(F.expr(f"bit_or({' | '.join(b)})").alias(f"word_{i}") for i, b in enumerate(bits)))
         .selectExpr(
             quoted(key),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,35 +18,27 @@ BACKWARD = "bfill_ffill"
 RUNS_PER_HOT_ROWS = 16
 
 
-def first_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
-) -> DataFrame:
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row per key; null keys count as equal.
 
     Ties of ``order`` are broken by the remaining columns, so the pick is always the same. Each
     task keeps one row per key before the shuffle (window group limit), so a hot key is no burden.
     """
-    named = {c for c in order if isinstance(c, str)} | set(keys)
     ties = [
-        F.col(quoted(f.name))
+        f.name
         for f in df.schema
-        if f.name not in named and not isinstance(f.dataType, (T.MapType, T.VariantType))
+        if f.name not in {*keys, *order} and not isinstance(f.dataType, (T.MapType, T.VariantType))
     ]
-    place = Window.partitionBy(*(quoted(k) for k in keys)).orderBy(
-        *(F.col(quoted(c)) if isinstance(c, str) else c for c in order), *ties
-    )
-    return (
-        df.withColumn("row_place", F.row_number().over(place))
-        .where(F.col("row_place") == 1)
-        .drop("row_place")
-    )
+    place = f"row_number() over (partition by {_list(keys)} order by {_list([*order, *ties])})"
+    return df.withColumn("row place", F.expr(place)).where("`row place` = 1").drop("row place")
 
 
 def ranked_first(
-    df: DataFrame, key: str, rank: Column, order: Sequence[str | Column] = ()
+    df: DataFrame, key: str, rank: Column, order: Sequence[str] = ()
 ) -> DataFrame:
     """The row of lowest rank per key; equal ranks by ``order``, then by the remaining columns."""
-    return first_per_key(df, [key], [rank, *order])
+    ranked = df.withColumn("row rank", rank)
+    return first_per_key(ranked, [key], ["row rank", *order]).drop("row rank")
 
 
 def fill_within_group(

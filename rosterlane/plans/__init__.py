@@ -11,6 +11,7 @@ from rosterlane.plans.report import (
     build_base,
     build_detail,
     build_trend,
+    report_day,
     run_report,
 )
 from rosterlane.plans.steps import (
@@ -33,6 +34,7 @@ __all__ = [
     "participation_flags",
     "payer_list",
     "portal_state",
+    "report_day",
     "run_report",
     "status_by_plan",
     "webinar_participation",

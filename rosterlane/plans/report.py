@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlane import fixed_values as V
+from rosterlane.functions.dates import export_stamp, report_date
 from rosterlane.functions.text import trim_ws
 from rosterlane.operators.aggregates import conditional_distinct, marks_by_key
 from rosterlane.operators.columns import rename_columns, stringify_all, union_ragged
@@ -130,20 +132,27 @@ def build_trend(base: DataFrame, forms: DataFrame, event_date: str) -> DataFrame
     return counts.select(F.to_date(F.lit(event_date), V.REPORT_DATE).alias(EVENT_DATE), "*")
 
 
+def report_day(spark: SparkSession, moment: datetime) -> tuple[str, str]:
+    """The date of a run in the report's zone, as the snapshots and as the report's name have it."""
+    instant = F.timestamp_seconds(F.lit(moment.timestamp()))
+    return tuple(spark.range(1).select(report_date(instant), export_stamp(instant)).first())
+
+
 def run_report(
     inputs: CampaignInputs,
-    event_date: str,
-    stamp: str,
+    moment: datetime,
     detail_path: str,
     trend_path: str,
     export_folder: str,
     name: str,
 ) -> None:
-    """Build both products of a day, write their snapshots and export the detail.
+    """Build both products of the day of ``moment``, write their snapshots and export the detail.
 
     What both share is computed once and checkpointed to the shared folder of the session.
     """
-    shared_folder(inputs.roster.sparkSession)
+    spark = inputs.roster.sparkSession
+    shared_folder(spark)
+    event_date, stamp = report_day(spark, moment)
     base = build_base(inputs).checkpoint()
     forms = form_choice(inputs.form).checkpoint()
     write_snapshot(build_trend(base, forms, event_date), trend_path)

@@ -17,6 +17,7 @@ from rosterlane.plans import (
     participation_flags,
     payer_list,
     portal_state,
+    report_day,
     run_report,
     status_by_plan,
     webinar_participation,
@@ -24,6 +25,8 @@ from rosterlane.plans import (
 from rosterlane.plans.report import trend_metrics
 
 DATE = "01/02/2025"
+# Already the next day in UTC.
+MOMENT = datetime.datetime(2025, 1, 3, 3, tzinfo=datetime.timezone.utc)
 
 
 @pytest.fixture(scope="module")
@@ -145,12 +148,14 @@ def test_results_do_not_depend_on_the_partitioning(spark, folder, detail, trend,
     assert rows(build_trend(base, forms, DATE)) == rows(trend)
 
 
+def test_report_day(spark):
+    assert report_day(spark, MOMENT) == (DATE, "2025-01-02")
+
+
 def test_run_report_twice(spark, inputs, tmp_path, detail, trend):
     paths = {name: str(tmp_path / name) for name in ("detail", "trend", "export")}
     for _ in range(2):
-        run_report(
-            inputs, DATE, "2025-01-02", paths["detail"], paths["trend"], paths["export"], "Report"
-        )
+        run_report(inputs, MOMENT, paths["detail"], paths["trend"], paths["export"], "Report")
     written = spark.read.schema(detail.schema).parquet(paths["detail"])
     assert rows(written, *detail.columns) == rows(detail)
     counted = spark.read.parquet(paths["trend"])
