@@ -73,7 +73,7 @@ def main() -> None:
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
-        "sf": folder.rstrip("/").rsplit("sf", 1)[-1],
+        "sf": float(folder.rstrip("/").rsplit("sf", 1)[-1]) if "sf" in folder else folder,
     }
     spark.stop()
     print(json.dumps(result))

@@ -311,6 +311,18 @@ def webinar_flags(t):
     return attach_flags(roster, flags, "id", "TAX_ID").drop("id")
 
 
+@query(f"""with {PARTICIPATION_SQL} select c_custkey,
+  coalesce(bool_or(registered), false) as registered, coalesce(bool_or(attended), false) as attended
+  from customer left join records on tax_id=(100000000+c_custkey)::varchar
+  and session='{V.INPERSON_SUFFIX}' group by 1""")
+def inperson_flags(t):
+    """The pair of the in-person event, by the name and kind of the engagement."""
+    records = inperson_participation(inperson_engagements(inputs.engagements(t)))
+    flags = marks_by_key(records, "TAX_ID", {"registered": "REGISTERED", "attended": "ATTENDED"})
+    roster = t.customer.selectExpr("c_custkey", f"{inputs.tax_id('c_custkey')} as id")
+    return attach_flags(roster, flags, "id", "TAX_ID", ["registered", "attended"]).drop("id")
+
+
 @query(f"with {ROSTER_SQL}, {CONTACT_SQL} select seq, tax_id, email from enriched",
        name="enrich_contacts")
 def roster_emails(t):
