@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 import __spark_entry__ as contract  # noqa: E402
 
 FOLDER = Path("/root/testdata/sf0.001")
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = contract.QUERIES, contract.ORACLE
 
 
 @pytest.fixture(scope="module")
