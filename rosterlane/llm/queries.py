@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterlane.llm import quality_rules
+from rosterlane.llm import quality_rules, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,3 +31,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query()
 def op10_quality_rules(spark, folder):
     return quality_rules.quality_rules(table(spark, folder, "documents"))
+
+
+@query()
+def op8_secrets(spark, folder):
+    return secrets.secret_report(table(spark, folder, "documents"))
