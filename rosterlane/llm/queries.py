@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rosterlane.llm import quality_rules, secrets
+from rosterlane.llm import quality_rules, secrets, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,3 +37,20 @@ def op10_quality_rules(spark, folder):
 @query()
 def op8_secrets(spark, folder):
     return secrets.secret_report(table(spark, folder, "documents"))
+
+
+@query("""with v as (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+    from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+  scored as (
+    select q.vec_id as query_id, c.vec_id as vec_id,
+      list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::bigint as score
+    from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
+  ranked as (
+    select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank,
+      vec_id, score from scored)
+  select query_id, rank::integer as rank, vec_id, score from ranked where rank <= 5""")
+def op9_topk(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return topk.exact_top_k(vectors, F.col("vec_id") % 50 == 0)
