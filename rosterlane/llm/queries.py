@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlane.llm import quality_rules, secrets, topk
+from rosterlane.llm import quality_rules, secrets, topk, warc
+from rosterlane.llm.common import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,3 +55,10 @@ def op8_secrets(spark, folder):
 def op9_topk(spark, folder):
     vectors = table(spark, folder, "embeddings")
     return topk.exact_top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op5_warc(spark, folder):
+    pages = table(spark, folder, "pages")
+    records = warc.archived(pages, work_folder(spark, "warc"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
