@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlane.llm import quality_rules, secrets, topk, warc
+from rosterlane.llm import mixing, quality_rules, secrets, topk, warc
 from rosterlane.llm.common import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,9 @@ def op5_warc(spark, folder):
     pages = table(spark, folder, "pages")
     records = warc.archived(pages, work_folder(spark, "warc"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op7_mixing(spark, folder):
+    """As long a stream as the data, no source read more than four times."""
+    return mixing.mixture(table(spark, folder, "documents"), max_repeats=4.0)
