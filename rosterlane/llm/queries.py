@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlane.llm import mixing, quality_rules, secrets, topk, warc
+from rosterlane.llm import mixing, quality_rules, secrets, simhash, topk, warc
 from rosterlane.llm.common import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,11 @@ def op5_warc(spark, folder):
 def op7_mixing(spark, folder):
     """As long a stream as the data, no source read more than four times."""
     return mixing.mixture(table(spark, folder, "documents"), max_repeats=4.0)
+
+
+@query()
+def op6_simhash(spark, folder):
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", simhash.hex_print(F.col("fp")).alias("fingerprint"), "component_id"
+    )
