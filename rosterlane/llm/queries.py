@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlane.llm import mixing, quality_rules, secrets, simhash, topk, warc
+from rosterlane.llm import line_quality, mixing, quality_rules, secrets, simhash, topk, warc
 from rosterlane.llm.common import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,15 @@ def op6_simhash(spark, folder):
     return found.select(
         "doc_id", simhash.hex_print(F.col("fp")).alias("fingerprint"), "component_id"
     )
+
+
+@query()
+def op2_line_quality(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = line_quality.scored(docs, table(spark, folder, "labels"))
+    return scored.select(
+        "doc_id",
+        line_quality.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
