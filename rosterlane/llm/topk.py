@@ -45,11 +45,17 @@ def packed(rows: DataFrame, size: int, total: int, name: str) -> DataFrame:
     """
     blocks = max(1, -(-total // size))
     dealt = rows.select(
-        F.pmod(F.xxhash64("id"), F.lit(blocks)).alias(name), F.size("v").alias("dims"), "id", "v"
+        F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("long").alias(name), F.size("v").alias("dims"), "id", "v"
     )
     return dealt.groupBy(name, "dims").agg(F.collect_list(F.struct("id", "v")).alias(f"{name}s"))
 
 
+def every(blocks: DataFrame, other: str, total: int, size: int) -> DataFrame:
+    """Each block once for every block of the other kind."""
+    last = max(1, -(-total // size)) - 1
+    return blocks.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))))
+
+
 def cells(vectors: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The cell of every component, and per column the lower edge and the width of a cell."""
     low, high = vectors.min(axis=0), vectors.max(axis=0)
@@ -121,13 +127,13 @@ def exact_top_k(
         df.where(is_query & F.col(f"`{key}`").isNotNull()), key, vector, scale
     ).distinct()
     n_rows, n_asked = rows.count(), asked.count()
-    query_blocks = max(1, -(-n_asked // QUERY_BLOCK))
     vectors = packed(rows, VECTOR_BLOCK, n_rows, "vector_block")
     queries = packed(asked, QUERY_BLOCK, n_asked, "query_block")
-    pairs = vectors.withColumn(
-        "query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
-    ).withColumn("query_block", F.col("query_block").cast("long"))
-    met = pairs.join(queries.withColumn("query_block", F.col("query_block").cast("long")), ["query_block", "dims"])
+    # Both sides name the pair, so that no two pairs have to share a task.
+    met = every(vectors, "query_block", n_asked, QUERY_BLOCK).join(
+        every(queries, "vector_block", n_rows, VECTOR_BLOCK),
+        ["query_block", "vector_block", "dims"],
+    )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
