@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlane.llm import line_quality, mixing, quality_rules, secrets, simhash, topk, warc
+from rosterlane.llm import line_quality, mixing, quality_rules, repeats, secrets, simhash, topk, warc
 from rosterlane.llm.common import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,15 @@ def op2_line_quality(spark, folder):
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op1_repeats(spark, folder):
+    cleaned = repeats.without_repeats(table(spark, folder, "documents"))
+    removed = "aggregate(removed_spans, 0L, (n, s) -> n + (s.end - s.start))"
+    return cleaned.select(
+        "doc_id",
+        "n_words",
+        F.expr(removed).alias("n_removed"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
