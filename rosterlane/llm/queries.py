@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlane.llm import line_quality, mixing, quality_rules, repeats, secrets, simhash, topk, warc
+from rosterlane.llm import (
+    line_quality,
+    mixing,
+    pieces,
+    quality_rules,
+    repeats,
+    secrets,
+    simhash,
+    token_counts,
+    topk,
+    warc,
+)
 from rosterlane.llm.common import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +111,22 @@ def op1_repeats(spark, folder):
         F.expr(removed).alias("n_removed"),
         F.sha2("text", 256).alias("kept_sha256"),
     )
+
+
+@query()
+def op3_pieces(spark, folder):
+    """Encoded, and decoded again."""
+    ids = pieces.encoded(table(spark, folder, "documents").select("doc_id", "text"))
+    both = pieces.decoded(ids)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        "ids",
+        (F.col("decoded") == pieces.as_decoded(F.col("text"))).alias("round_trip"),
+    )
+
+
+@query()
+def op4_token_counts(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.with_token_counts(docs).select("doc_id", "n_tokens")
