@@ -15,9 +15,16 @@ SPACE_RUN = r"[\x20\x09-\x0D]+"
 HEAVY = 1000
 
 
-def private(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Only the columns an operator works with, so that no other column can clash with its own."""
-    return df.select(*(F.col(f"`{c}`") for c in columns))
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where ``df`` has such a column already."""
+    taken = {c.lower() for c in df.columns}
+
+    def free(name: str) -> str:
+        while name.lower() in taken:
+            name += "_"
+        return name
+
+    return [free(name) for name in names]
 
 
 def words_of(text: Column) -> Column:

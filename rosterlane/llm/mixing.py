@@ -15,7 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterlane.llm.common import kept_table
+from rosterlane.llm.common import fresh, kept_table
 
 BLOCK_TOKENS = 50_000
 # A source has at most so many blocks: of a larger source they hold more tokens.
@@ -178,3 +178,21 @@ def laid_out(kept: DataFrame, of_source: DataFrame, seed: int) -> DataFrame:
         "block",
         F.least(position, F.lit(1 - 2.0**-53)).alias("position"),
     )
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The documents themselves (doc_id, source, text and other columns), as often as ``mixture``
+    reads them; the order of rows says nothing.
+
+    Rows equal in id, source and text are copies of one document: all its readings show one of them.
+    """
+    key, reads, place = fresh(docs, "mix key", "reads", "place")
+    text_hash = F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash")
+    marked = docs.withColumn(key, F.struct("doc_id", "source", text_hash))
+    counted = mixture(marked, key=key, **options).groupBy(key).agg(F.count("*").alias(reads))
+    same = Window.partitionBy(key).orderBy(key)
+    one = marked.join(counted, key).withColumn(place, F.row_number().over(same))
+    read = one.where(F.col(place) == 1).withColumn(
+        place, F.explode(F.array_repeat(F.lit(0), F.col(reads).cast("int")))
+    )
+    return read.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rosterlane.llm.common import fresh
+
 
 @dataclass(frozen=True)
 class Pattern:
@@ -162,27 +164,33 @@ def secret_spans(
     Base spans all stay; an entropy span is added unless a base span covers it. Null texts count as
     empty and have no spans. Rows and their other columns stay as they are, repeated rows too.
     """
-    body = f"`{name} text`"
+    body, found, random = fresh(docs, f"{name} body", f"{name} base", f"{name} random")
     base = [
-        matches(body, p.regex, f"length(z.g) >= {p.least}", i, p.kind, p.group)
+        matches(f"`{body}`", p.regex, f"length(z.g) >= {p.least}", i, p.kind, p.group)
         for i, p in enumerate(patterns)
     ]
-    random = [
-        matches(body, CANDIDATE, secret_condition(c, classes[:i], allowed), len(patterns) + i, c.kind)
+    added = [
+        matches(
+            f"`{body}`",
+            CANDIDATE,
+            secret_condition(c, classes[:i], allowed),
+            len(patterns) + i,
+            c.kind,
+        )
         for i, c in enumerate(classes)
     ]
-    found = docs.withColumn(f"{name} text", F.expr(f"coalesce(`{text}`, '')")).withColumns(
+    searched = docs.withColumn(body, F.expr(f"coalesce(`{text}`, '')")).withColumns(
         {
-            f"{name} base": F.expr(f"concat({', '.join(base)})"),
-            f"{name} random": F.expr(f"concat({', '.join(random)})"),
+            found: F.expr(f"concat({', '.join(base)})"),
+            random: F.expr(f"concat({', '.join(added)})"),
         }
     )
-    added = (
-        f"filter(`{name} random`, r -> not exists(`{name} base`, b -> b.start <= r.start and"
+    uncovered = (
+        f"filter(`{random}`, r -> not exists(`{found}`, b -> b.start <= r.start and"
         " b.end >= r.end))"
     )
-    spans = found.withColumn(name, F.expr(f"sort_array(concat(`{name} base`, {added}))"))
-    return spans.drop(f"{name} text", f"{name} base", f"{name} random")
+    spans = F.expr(f"sort_array(concat(`{found}`, {uncovered}))")
+    return searched.withColumn(name, spans).drop(body, found, random)
 
 
 def redacted(docs: DataFrame, text: str = "text", mask: str = "[secret]") -> DataFrame:
@@ -190,24 +198,22 @@ def redacted(docs: DataFrame, text: str = "text", mask: str = "[secret]") -> Dat
 
     Overlapping spans become one. A null text stays null.
     """
+    spans, parts = fresh(docs, "secret spans", "secret parts")
     merged = (
-        "aggregate(`secret spans`, cast(array() as array<struct<start:int,end:int>>), (a, s) ->"
+        f"aggregate(`{spans}`, cast(array() as array<struct<start:int,end:int>>), (a, s) ->"
         " if(size(a) > 0 and a[size(a) - 1].end >= s.start,"
         " slice(a, 1, size(a) - 1) || array(named_struct('start', a[size(a) - 1].start, 'end',"
         " greatest(a[size(a) - 1].end, s.end))), a || array(named_struct('start', s.start, 'end',"
         " s.end))))"
     )
+    last = f"if(i = 0, 0, get(`{parts}`, i - 1).end)"
     kept = (
-        f"array_join(transform(`secret parts`, (s, i) -> substring(`{text}`, if(i = 0, 0,"
-        " get(`secret parts`, i - 1).end) + 1, s.start - if(i = 0, 0, get(`secret parts`, i - 1)"
-        f".end))), '{mask}') || '{mask}' || substring(`{text}`,"
-        " element_at(`secret parts`, -1).end + 1)"
-    )
-    found = secret_spans(docs, text, name="secret spans").withColumn("secret parts", F.expr(merged))
-    cleaned = found.withColumn(
-        text, F.expr(f"if(size(`secret parts`) > 0, {kept}, `{text}`)")
+        f"array_join(transform(`{parts}`, (s, i) -> substring(`{text}`, {last} + 1, s.start -"
+        f" {last})), '{mask}') || '{mask}' || substring(`{text}`, element_at(`{parts}`, -1).end + 1)"
     )
-    return cleaned.drop("secret spans", "secret parts")
+    found = secret_spans(docs, text, name=spans).withColumn(parts, F.expr(merged))
+    cleaned = F.expr(f"if(size(`{parts}`) > 0, {kept}, `{text}`)")
+    return found.withColumn(text, cleaned).drop(spans, parts)
 
 
 def joined(spans: Column) -> Column:

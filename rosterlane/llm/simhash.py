@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterlane.llm.common import join_unique, kept_table
+from rosterlane.llm.common import fresh, join_unique, kept_table
 from rosterlane.llm.components import components
 
 BITS = 64
@@ -161,18 +161,17 @@ def one_per_group(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE
     """The documents with one row of each component: of its smallest id, among rows of that id the
     one of the smallest text hash, and one of equal rows. All columns stay as they are."""
     found = near_duplicates(docs, size, distance)
+    kept_id, kept_hash, text_hash, place = fresh(docs, "kept id", "kept hash", "text hash", "place")
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = (
         first.groupBy("root")
-        .agg(F.min("component_id").alias("kept id"), F.min("text_hash").alias("kept hash"))
+        .agg(F.min("component_id").alias(kept_id), F.min("text_hash").alias(kept_hash))
         .drop("root")
     )
-    marked = docs.withColumn("text hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    joined = marked.join(
-        chosen,
-        F.col("doc_id").eqNullSafe(F.col("`kept id`")) & (F.col("`text hash`") == F.col("`kept hash`")),
-    )
+    marked = docs.withColumn(text_hash, F.xxhash64(F.coalesce("text", F.lit(""))))
+    same_id = F.col("doc_id").eqNullSafe(F.col(f"`{kept_id}`"))
+    joined = marked.join(chosen, same_id & (F.col(f"`{text_hash}`") == F.col(f"`{kept_hash}`")))
     # Equal rows of the chosen id and text meet here, and nothing else.
-    same = Window.partitionBy("kept id", "kept hash").orderBy("kept hash")
-    kept = joined.withColumn("kept row", F.row_number().over(same)).where("`kept row` = 1")
+    same = Window.partitionBy(kept_id, kept_hash).orderBy(kept_hash)
+    kept = joined.withColumn(place, F.row_number().over(same)).where(F.col(place) == 1)
     return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
