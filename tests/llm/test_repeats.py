@@ -1,0 +1,87 @@
+import numpy as np
+import pyarrow as pa
+import pytest
+from helpers_llm import ordered, words
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from rosterlane.llm import repeats
+from rosterlane.llm import words as w
+
+
+def brute(rows, window):
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    seen, out = set(), []
+    for doc_id, text in rows:
+        found = words(text)
+        gone = [False] * len(found)
+        for k in range(len(found) - window + 1):
+            key = tuple(found[k : k + window])
+            if key in seen:
+                gone[k : k + window] = [True] * window
+            seen.add(key)
+        kept = " ".join(x for x, out_ in zip(found, gone) if not out_)
+        out.append((doc_id, len(found), sum(gone), kept))
+    return ordered(out)
+
+
+def got(df, **options):
+    rows = repeats.without_repeats(df, **options).collect()
+    return ordered(
+        (r["doc_id"], r["n_words"], sum(s.end - s.start for s in r["removed_spans"]), r["text"])
+        for r in rows
+    )
+
+
+@pytest.mark.parametrize("chunk_ids", [1, 7, 256])
+def test_equals_brute_force(documents, chunk_ids):
+    rows = [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect()]
+    assert got(documents, chunk_ids=chunk_ids) == brute(rows, 20)
+
+
+def test_odd_rows(odd):
+    rows = [(r["doc_id"], r["text"]) for r in odd.select("doc_id", "text").collect()]
+    assert got(odd, chunk_ids=2) == brute(rows, 20)
+
+
+@pytest.mark.parametrize("window, first", [(7, 3), (4, 5), (1, 1)])
+def test_other_lengths(odd, window, first):
+    rows = [(r["doc_id"], r["text"]) for r in odd.select("doc_id", "text").collect()]
+    assert got(odd, window=window, first=first, chunk_ids=2) == brute(rows, window)
+
+
+def test_empty_table(odd):
+    assert got(odd.where("doc_id > 100")) == []
+
+
+def test_documents_are_shuffled_once(documents):
+    df = repeats.without_repeats(documents)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 3
+
+
+def test_levels_double():
+    assert repeats.levels(20, 5) == [5, 10, 20]
+    assert repeats.levels(20, 6) == [6, 12, 20]
+
+
+def test_lowest_is_a_sliding_minimum():
+    values = np.array([5, 3, 9, 1, 7, 2], np.uint64)
+    for width in range(1, 7):
+        want = [min(values[i : i + width]) for i in range(len(values) - width + 1)]
+        assert repeats.lowest(values, width).tolist() == want
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.text(alphabet="ab \t\nü", max_size=12), max_size=6), st.integers(1, 9))
+def test_word_hashes(texts, size):
+    hashes = {}
+    for data, text in zip(w.text_bytes(pa.array(texts, pa.string())), texts):
+        old, w.SLICE_BYTES = w.SLICE_BYTES, size
+        first, last, codes = w.word_hashes(data)
+        w.SLICE_BYTES = old
+        raw = text.encode()
+        assert [raw[a:b].decode() for a, b in zip(first, last)] == words(text)
+        for word, code in zip(words(text), codes.tolist()):
+            assert hashes.setdefault(word, code) == code
+    assert len(set(hashes.values())) == len(hashes)
