@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlane.llm import line_quality, mixing, pieces, secrets, simhash
-from rosterlane.llm.common import fresh, kept_table
+from rosterlane.llm.common import fresh, kept_table, with_shared_folder
 
 # Shingle words and bits of the near-duplicate stage.
 SHINGLE_WORDS = 4
@@ -70,6 +70,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage, over the documents of ``sf_dir``."""
+    with_shared_folder(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = kept_table(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")

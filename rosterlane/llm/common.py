@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,16 @@ def words_of(text: Column) -> Column:
     )
 
 
+def with_shared_folder(spark: SparkSession) -> None:
+    """Name a folder where the session names none. Only a session on one machine gets one."""
+    context = spark.sparkContext
+    if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir():
+        return
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="rosterlane-"))
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the one that all executors share (``spark.checkpoint.dir``)."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -19,7 +19,7 @@ from rosterlane.llm import (
     topk,
     warc,
 )
-from rosterlane.llm.common import work_folder
+from rosterlane.llm.common import with_shared_folder, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,11 +28,15 @@ ORACLE: dict[str, str] = {}
 def query(sql: str | None = None):
     """Register a function of (spark, folder) under its name."""
 
-    def register(run):
-        QUERIES[run.__name__] = run
+    def register(build):
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            with_shared_folder(spark)
+            return build(spark, folder)
+
+        QUERIES[build.__name__] = run
         if sql is not None:
-            ORACLE[run.__name__] = sql
-        return run
+            ORACLE[build.__name__] = sql
+        return build
 
     return register
 
