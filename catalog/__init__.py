@@ -1,6 +1,16 @@
 """The queries of the driver contract: every operator on the given tables, with its SQL."""
 
-from catalog import aggregates, columns, joins, ordered, products, scalars, sources
+from catalog import (
+    aggregates,
+    columns,
+    edges,
+    joins,
+    ordered,
+    products,
+    scalars,
+    skewed,
+    sources,
+)
 from catalog.registry import ORACLE, QUERIES
 
 __all__ = [
@@ -8,9 +18,11 @@ __all__ = [
     "QUERIES",
     "aggregates",
     "columns",
+    "edges",
     "joins",
     "ordered",
     "products",
     "scalars",
+    "skewed",
     "sources",
 ]

@@ -101,13 +101,13 @@ def questions_last_answer(t):
 
 
 @query("""select event_id, user_id, value, cast(null as varchar) as props from events
-  where event_type='signup' union all
+  where event_type<>'view' union all
   select event_id, user_id, cast(null as double) as value, props from events
   where event_type='view'""", name="union_ragged")
 def union_ragged_records(t):
-    signups = t.events.where(F.col("event_type") == "signup").select("event_id", "user_id", "value")
+    others = t.events.where(F.col("event_type") != "view").select("event_id", "user_id", "value")
     views = t.events.where(F.col("event_type") == "view").select("event_id", "user_id", "props")
-    return union_ragged(signups, views)
+    return union_ragged(others, views)
 
 
 @query("select distinct user_id, event_type from events")

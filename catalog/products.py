@@ -12,6 +12,7 @@ from catalog import inputs
 from catalog.registry import query
 from catalog.sources import session_hours
 from rosterlane import fixed_values as V
+from rosterlane.functions.text import trim_ws
 from rosterlane.operators import (
     conditional_distinct,
     distinct_concat,
@@ -326,9 +327,7 @@ def inperson_flags(t):
 @query(f"with {ROSTER_SQL}, {CONTACT_SQL} select seq, tax_id, email from enriched",
        name="enrich_contacts")
 def roster_emails(t):
-    roster = inputs.roster(t).withColumn(
-        V.ROSTER_TAX_ID, F.trim(F.translate(V.ROSTER_TAX_ID, "\t", ""))
-    )
+    roster = inputs.roster(t).withColumn(V.ROSTER_TAX_ID, trim_ws(F.col(V.ROSTER_TAX_ID)))
     roster = first_per_key(roster, [V.ROSTER_WAVE, V.ROSTER_TAX_ID], [INGEST_SEQ])
     enriched = enrich_contacts(roster, inputs.contact(t), inputs.account(t))
     return enriched.select(
@@ -377,23 +376,32 @@ def campaign_detail(t):
     return build_detail(build_base(campaign), form_choice(campaign.form), EVENT_DATE)
 
 
+# The labels behind the counted forms and enrolments, as the report lists them.
+COUNTED_FORMS = V.CHOICE_LABELS
+COUNTED_STATES = V.ENROLMENT_LABELS
+
+
 def metric_sql() -> str:
-    """The 45 counts over ``rows``."""
-    metrics = {
-        "PROVIDER_COUNT": "true",
-        "HH_PROVIDER_COUNT": "wave='Home Help'",
-        "HEALTH_PROVIDER_COUNT": "wave='Home Health'",
-        "COMPLETED_ONBOARDING_FORM": f"choice<>'{V.MISSING_FORM}'",
-        **{flag: flag for flag in FLAGS},
-        **{name: f"choice='{label}'" for name, label in V.CHOICE_LABELS.items()},
-        **{f"LMS_{name}": f"health='{label}'" for name, label in V.ENROLMENT_LABELS.items()},
-        **{f"LMS_HH_{name}": f"help='{label}'" for name, label in V.ENROLMENT_LABELS.items()},
-        "HH_PORTALS_CREATED": "wave='Home Help' and has_portal",
-        "HEALTH_PORTALS_CREATED": "wave='Home Health' and has_portal",
-        "PCS_PORTALS_CREATED": "wave='PCS' and has_portal",
-        "PORTALS_CREATED": "has_portal",
-    }
-    counts = (f"count(distinct case when {p} then id end) as {n}" for n, p in metrics.items())
+    """The 45 counts over ``rows``, group by group as the report's columns are listed: providers by
+    wave, forms, a pair of flags per session, form choices, enrolments per plan, portals by wave."""
+
+    def counted(name: str, condition: str) -> str:
+        return f"count(distinct id) filter (where {condition}) as {name}"
+
+    waves = {"HH": "Home Help", "HEALTH": "Home Health", "PCS": "PCS"}
+    counts = ["count(distinct id) as PROVIDER_COUNT"]
+    counts += [counted(f"{w}_PROVIDER_COUNT", f"wave='{waves[w]}'") for w in ("HH", "HEALTH")]
+    counts.append(counted("COMPLETED_ONBOARDING_FORM", f"choice<>'{V.MISSING_FORM}'"))
+    for suffix in FLAG_SUFFIXES:
+        counts += [counted(f"{m}_{suffix}", f"{m}_{suffix}") for m in ("ATTENDED", "REGISTERED")]
+    counts += [counted(name, f"choice='{label}'") for name, label in COUNTED_FORMS.items()]
+    for prefix, column in (("LMS", "health"), ("LMS_HH", "help")):
+        counts += [
+            counted(f"{prefix}_{name}", f"{column}='{label}'")
+            for name, label in COUNTED_STATES.items()
+        ]
+    counts += [counted(f"{w}_PORTALS_CREATED", f"has_portal and wave='{n}'") for w, n in waves.items()]
+    counts.append(counted("PORTALS_CREATED", "has_portal"))
     return ", ".join(counts)
 
 

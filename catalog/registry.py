@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+
+def with_shared_folder(spark: SparkSession) -> None:
+    """Queries that write need a folder that all executors see. A session on one machine that names
+    none gets one here; the library itself only takes what the session names."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and context.master.split("[")[0] == "local":
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="rosterlane-"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -29,6 +40,7 @@ def query(sql: str | None = None, name: str | None = None):
 
     def register(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
+            with_shared_folder(spark)
             return build(Tables(spark, folder))
 
         QUERIES[name or build.__name__] = run

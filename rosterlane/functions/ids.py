@@ -18,7 +18,7 @@ def normalize_id(column: Column, data_type: T.DataType | None = None) -> Column:
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         return F.when(~F.isnan(column), column.cast("bigint").cast("string"))
     if isinstance(data_type, T.DecimalType):
-        return column.cast(T.DecimalType(38, 6)).cast("bigint").cast("string")
+        return column.cast("bigint").cast("string")
     if isinstance(data_type, T.NumericType):
         return column.cast("string")
     return F.translate(column, "-" + WHITESPACE, "")

@@ -63,14 +63,29 @@ def distinct_concat(
 ) -> DataFrame:
     """Per non-null key the distinct values of each column, sorted and joined to one text.
 
-    ``columns`` maps column to result name. Rows are made distinct before they are gathered, with
-    the work of a hot key spread over its values; only what its text has to hold meets in one task.
-    Nulls are left out.
+    ``columns`` maps column to result name. Nulls are left out; a key without any value gets null.
+    Each row becomes one (key, column, value) per column, and these are made distinct, with the work
+    of a hot key spread over its values; what its text has to hold meets in one task, and no more.
     """
     keys = [quoted(k) for k in ([key] if isinstance(key, str) else key)]
+    known = df.where(not_null([key] if isinstance(key, str) else key))
+    names = [f"value {i}" for i in range(len(columns))]
+    entries = (
+        "named_struct("
+        + ", ".join(
+            f"'{name}', {quoted(column) if name == shown else f'if(true, null, {quoted(column)})'}"
+            for name, column in zip(names, columns)
+        )
+        + ")"
+        for shown in names
+    )
+    single = known.selectExpr(*keys, f"inline(array({', '.join(entries)}))").distinct()
+    # A set would let the optimizer drop the distinct; a list needs it.
+    gathered = {
+        result: F.sort_array(F.collect_list(name)) for name, result in zip(names, columns.values())
+    }
     texts = (
-        F.array_join(F.sort_array(F.collect_set(quoted(column))), separator).alias(name)
-        for column, name in columns.items()
+        F.when(F.size(values) > 0, F.array_join(values, separator)).alias(result)
+        for result, values in gathered.items()
     )
-    known = df.where(not_null([key] if isinstance(key, str) else key))
-    return known.select(*keys, *map(quoted, columns)).distinct().groupBy(*keys).agg(*texts)
+    return single.groupBy(*keys).agg(*texts)

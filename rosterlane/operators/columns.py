@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,12 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def fold(spark: SparkSession) -> Callable[[str], str]:
+    """What two column names have in common when the session takes them for the same."""
+    exact = spark.conf.get("spark.sql.caseSensitive").lower() == "true"
+    return str if exact else str.lower
+
+
 def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Rename by mapping; names that are absent are ignored."""
     return df.withColumnsRenamed(dict(names))
@@ -25,8 +31,10 @@ def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 def ensure_columns(df: DataFrame, columns: Mapping[str, T.DataType | str]) -> DataFrame:
     """Add each column that is absent, as null of the given type; present ones stay as they are."""
+    same = fold(df.sparkSession)
+    present = {same(c) for c in df.columns}
     absent = {
-        name: F.lit(None).cast(kind) for name, kind in columns.items() if name not in df.columns
+        name: F.lit(None).cast(kind) for name, kind in columns.items() if same(name) not in present
     }
     return df.withColumns(absent) if absent else df
 

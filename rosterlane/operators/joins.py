@@ -1,40 +1,33 @@
 """Equi-joins that stand a key (or null) with a great share of the rows.
 
 Adaptive execution can split a hot partition of a join only when both sides come straight from a
-shuffle, which an aggregated side does not, and never on the right of a left join. So hot keys are
-taken out before the shuffle:
-
-* hot on the left, unique on the right: at most HOT_KEYS rows of the right side concern them, a
-  bounded number, which are broadcast. The hot rows, and those with a null key, are not shuffled.
-* hot on the right of a join that keeps every match: they are joined apart by an inner join, which
-  adaptive execution splits on both sides.
-
-Beyond that no side is broadcast by hint: whether one is small enough is decided by its size at run
-time. Where the left side is known to have few rows per key, ``even`` leaves out the search.
+shuffle, which an aggregated side does not, and never on the right of a left join. So rows of a hot
+key are salted: dealt over as many parts as the key needs, with the matching rows of the other side
+repeated for each part. A side is read once to count its keys and once to join it, whatever kinds of
+keys it has. Sides with few rows per key need no count: ``even`` says so of the left side, ``unique``
+of the right one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlane.functions.text import is_blank
-from rosterlane.operators.columns import quoted
-from rosterlane.operators.skew import HOT_ROWS, hot_keys, not_null
+from rosterlane.operators.columns import fold, quoted
+from rosterlane.operators.skew import HOT_ROWS, equal, hot_parts, not_null, spread
 
 Keys = str | Sequence[str]
+SALTS = ["left salt", "right salt"]
+RIGHT_SALTS = ["left salt of right", "right salt of right"]
 
 
 def _names(keys: Keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def _equal(lefts: Sequence[str], rights: Sequence[str]) -> Column:
-    return F.expr(" and ".join(f"{quoted(l)} = {quoted(r)}" for l, r in zip(lefts, rights)))
-
-
 def left_join(
     left: DataFrame,
     right: DataFrame,
@@ -48,42 +41,31 @@ def left_join(
 
     Column names of the sides must differ, but for key columns of the same name, which are kept
     once. ``unique``: ``right`` has at most one row per key. ``even``: ``left`` has few rows per key
-    and few without one. Joins in a row should be ``even`` (make the left side unique first), since
-    otherwise each of them reads its left side once per kind of key.
+    and few without one.
     """
     lefts, rights = _names(left_on), _names(right_on or left_on)
     shared = {r: f"right {r}" for l, r in zip(lefts, rights) if l == r}
     right, rights = right.withColumnsRenamed(shared), [shared.get(r, r) for r in rights]
-    on = _equal(lefts, rights)
     if unique and even:
-        return left.join(right, on, "left").drop(*shared.values())
-
-    known = left if even else left.where(not_null(lefts))
-    if unique:
-        hot, of_left, of_right = _hot(known, lefts, hot_rows, lefts, rights)
-        hot_right = F.broadcast(right.join(hot, of_right, "semi"))
-        usual = known.join(hot, of_left, "anti").join(right, on, "left")
-        heavy = known.join(hot, of_left, "semi").join(hot_right, on, "left")
-    else:
-        hot, of_left, of_right = _hot(right, rights, hot_rows, lefts, rights)
-        usual_right = right.join(hot, of_right, "anti")
-        usual = known.join(hot, of_left, "anti").join(usual_right, on, "left")
-        # A hot key is by definition present on the right: no left row goes without a match.
-        hot_right = right.join(hot, of_right, "semi")
-        heavy = known.join(hot, of_left, "semi").join(hot_right, on, "inner")
-    joined = usual.unionByName(heavy)
-    if not even:
-        joined = joined.unionByName(left.where(~not_null(lefts)), allowMissingColumns=True)
-    return joined.drop(*shared.values())
-
-
-def _hot(
-    df: DataFrame, keys: Sequence[str], hot_rows: int, lefts: Sequence[str], rights: Sequence[str]
-) -> tuple[DataFrame, Column, Column]:
-    """The hot keys of ``df`` for a broadcast, and the conditions to match them on both sides."""
-    names = [f"hot {k}" for k in keys]
-    hot = hot_keys(df, keys, hot_rows).select(*map(quoted, keys)).toDF(*names)
-    return F.broadcast(hot), _equal(lefts, names), _equal(rights, names)
+        return left.join(right, equal(lefts, rights), "left").drop(*shared.values())
+
+    hot_left = None if even else hot_parts(left, lefts, hot_rows)
+    hot_right = None if unique else hot_parts(right, rights, hot_rows)
+    one = spread(left, lefts, hot_left, hot_right, *SALTS)
+    # A hot key is present on the right: what a copy of a left row does not meet, another one does.
+    copies = "repeated"
+    if hot_right is not None:
+        names = [f"hot {k}" for k in lefts]
+        hot = F.broadcast(hot_right.toDF(*names, copies))
+        one = one.join(hot, equal(lefts, names), "left").drop(*names)
+    other = spread(
+        right.where(not_null(rights)), rights, hot_right, hot_left, *reversed(RIGHT_SALTS)
+    ).withColumn("right row", F.lit(True))
+    on = equal([*lefts, *SALTS], [*rights, *RIGHT_SALTS])
+    joined = one.join(other, on, "left")
+    if hot_right is not None:
+        joined = joined.where(f"`right row` or coalesce(`{copies}`, 1) = 1").drop(copies)
+    return joined.drop(*SALTS, *RIGHT_SALTS, "right row", *shared.values())
 
 
 def merge_suffixed(
@@ -97,10 +79,12 @@ def merge_suffixed(
     """``left_join`` of sides whose column names clash; both get a suffix, which may be empty."""
     lefts, rights = _names(left_on), _names(right_on or left_on)
     shared = {r for l, r in zip(lefts, rights) if l == r}
-    clash = (set(left.columns) & set(right.columns)) - shared
+    same = fold(left.sparkSession)
+    clash = {same(c) for c in left.columns} & {same(c) for c in right.columns}
+    clash -= {same(c) for c in shared}
 
     def suffixed(df: DataFrame, keys: list[str], suffix: str) -> tuple[DataFrame, list[str]]:
-        names = {c: c + suffix for c in df.columns if c in clash}
+        names = {c: c + suffix for c in df.columns if same(c) in clash}
         return df.withColumnsRenamed(names), [names.get(k, k) for k in keys]
 
     one, one_on = suffixed(left, lefts, suffixes[0])
@@ -131,14 +115,19 @@ def keep_matching(
     ref: DataFrame,
     on: Keys,
     ref_on: Keys | None = None,
+    even: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Rows whose key occurs in ``ref`` (semi-join); hot keys of ``df`` are not shuffled."""
+    """Rows whose key occurs in ``ref`` (semi-join). ``even``: ``df`` has few rows per key."""
     lefts, marks = _names(on), _distinct_keys(ref, _names(ref_on or on))
-    hot, of_left, of_right = _hot(df, lefts, hot_rows, lefts, marks.columns)
-    occur = _equal(lefts, marks.columns)
-    usual = df.join(hot, of_left, "anti").join(marks, occur, "semi")
-    return usual.unionByName(df.join(F.broadcast(marks.join(hot, of_right, "semi")), occur, "semi"))
+    known = df.where(not_null(lefts))
+    if even:
+        return known.join(marks, equal(lefts, marks.columns), "semi")
+    hot = hot_parts(df, lefts, hot_rows)
+    one = spread(known, lefts, hot, None, *SALTS).drop(SALTS[1])
+    other = spread(marks, marks.columns, None, hot, *reversed(RIGHT_SALTS)).drop(RIGHT_SALTS[1])
+    on_salted = equal([*lefts, SALTS[0]], [*marks.columns, RIGHT_SALTS[0]])
+    return one.join(other, on_salted, "semi").drop(SALTS[0])
 
 
 def lookup_override(
@@ -153,10 +142,14 @@ def lookup_override(
 ) -> DataFrame:
     """Replace ``column`` by the mapped value where the key is mapped, else keep it.
 
-    ``mapping`` has one row per key. With ``only_blank`` present values are kept.
+    Of a key that is mapped more than once, the smallest value counts; rows are never multiplied. A
+    key mapped to null counts as not mapped. With ``only_blank`` present values are kept.
     """
     names = ["lookup key", "lookup value"]
-    side = mapping.select(quoted(mapping_on or on), quoted(value)).toDF(*names)
+    named = mapping.select(quoted(mapping_on or on), quoted(value)).toDF(*names)
+    side = named.where(not_null(names)).groupBy(quoted(names[0])).agg(
+        F.min(quoted(names[1])).alias(names[1])
+    )
     old = F.col(quoted(column))
     new = F.coalesce(F.col(quoted(names[1])), old)
     if only_blank:

@@ -14,8 +14,9 @@ from rosterlane.operators.skew import HOT_ROWS, hot_keys
 FORWARD = "ffill_bfill"
 BACKWARD = "bfill_ffill"
 
-# Most runs a hot group is cut into, per ``hot_rows`` rows of it.
-RUNS_PER_HOT_ROWS = 16
+# Rows of a hot group that are looked at to cut it, per run that comes out. Runs have half of
+# ``hot_rows`` rows on average, which leaves room for chance.
+MARKS_PER_RUN = 16
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -52,12 +53,12 @@ def fill_within_group(
 
     ``columns`` maps column to mode. FORWARD takes the nearest earlier value and, before the first
     value of the group, that first value; BACKWARD takes the nearest later value and, after the last
-    value, that last value. Rows without a group (null) get null. ``order`` is unique in a group and
-    starts with a number, date or timestamp.
+    value, that last value. Rows without a group (null) get null. ``order`` is unique in a group.
 
-    Groups of ``hot_rows`` rows and more are cut along that column into runs. Each run is filled on
-    its own, and what crosses the edge of a run comes from a small table with the first and the last
-    value of every run. So no task sees a whole hot group, and the rows are shuffled only once.
+    Groups of ``hot_rows`` rows and more are cut along the order into runs of about as many rows.
+    Each run is filled on its own, and what crosses the edge of a run comes from a small table with
+    the first and the last value of every run. So no task sees a whole hot group, and the rows are
+    shuffled only once.
     """
     keys = [group] if isinstance(group, str) else list(group)
     cut = _cut_into_runs(df, keys, order, hot_rows)
@@ -97,48 +98,48 @@ def _cut_into_runs(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int
 ) -> DataFrame:
     """Add the run, which never decreases along the order within a group, and whether it is one of
-    a hot group."""
-    kind = df.schema[order[0]].dataType
-    place = _number_line(quoted(order[0]), kind)
+    a hot group.
+
+    A share of the rows, picked by their hash, marks places along the order, and every so many marks
+    there is a cut. So runs are even in rows, whatever values the order has: numbers far apart,
+    fractions, ties of the leading column, nulls.
+    """
+    share = max(1, hot_rows // (2 * MARKS_PER_RUN))
+    at = f"struct({_list(order)})"
+    marks = F.collect_list(F.expr(f"if(pmod(xxhash64({_list(order)}), {share}) = 0, {at}, null)"))
     names = [f"hot key {i}" for i in range(len(keys))]
-    hot = hot_keys(
-        df.selectExpr(*map(quoted, keys), f"{place} as at").toDF(*names, "at"),
-        names,
-        hot_rows,
-        hot_from=F.min("at"),
-        hot_to=F.max("at"),
-    )
-    # Runs are of equal width. With distinct whole numbers a run of width hot_rows cannot hold more
-    # rows; the other bound keeps the table of runs small when the numbers are sparse.
-    runs = f"ceil(hot_count / {hot_rows}) * {RUNS_PER_HOT_ROWS}"
-    if isinstance(kind, T.IntegralType):
-        runs = f"least({runs}, ceil((hot_to - hot_from + 1) / {hot_rows}))"
-    hot = hot.selectExpr(
-        *map(quoted, names), "hot_from", f"(hot_to - hot_from + 1) / ({runs}) as hot_width"
+    every = f"(m, place) -> (place + 1) % {MARKS_PER_RUN} = 0"
+    hot = (
+        hot_keys(df, keys, hot_rows, marks=marks)
+        .select(*map(quoted, keys), F.expr(f"filter(sort_array(marks), {every})"))
+        .toDF(*names, "fill cuts")
     )
     same = " and ".join(f"{quoted(k)} = {quoted(n)}" for k, n in zip(keys, names))
     loose = " or ".join(f"{quoted(k)} is null" for k in keys)
-    return df.join(F.broadcast(hot), F.expr(same), "left").selectExpr(
+    met = df.join(F.broadcast(hot), F.expr(same), "left").withColumn("fill at", F.expr(at))
+    # The number of cuts up to the row, found by halving: as many steps as the cuts need.
+    steps = "sequence(1, cast(ceil(log2(size(`fill cuts`) + 1)) as int) + 1)"
+    middle = "cast((`fill state`.low + `fill state`.high) div 2 as int)"
+    halved = (
+        "if(`fill state`.low >= `fill state`.high, `fill state`,"
+        f" if(`fill cuts`[{middle}] <= `fill at`,"
+        f" named_struct('low', {middle} + 1, 'high', `fill state`.high),"
+        f" named_struct('low', `fill state`.low, 'high', {middle})))"
+    )
+    start = "named_struct('low', 0, 'high', size(`fill cuts`))"
+    run = (
+        f"aggregate({steps}, {start}, (`fill state`, `fill step`) -> {halved},"
+        " `fill state` -> `fill state`.low)"
+    )
+    return met.selectExpr(
         *map(quoted, df.columns),
         # Rows without a group need no neighbours and are spread over all tasks.
-        f"case when {loose} then xxhash64({_list(order)}) when hot_width is null then 0"
-        f" else coalesce(floor(({place} - hot_from) / hot_width), -1) end as `fill run`",
-        "hot_width is not null as `fill hot`",
+        f"case when {loose} then xxhash64({_list(order)}) when `fill cuts` is null then 0L"
+        f" else cast({run} as bigint) end as `fill run`",
+        "`fill cuts` is not null as `fill hot`",
     )
 
 
-def _number_line(column: str, kind: T.DataType) -> str:
-    """A double that never decreases where the column increases, in any session time zone."""
-    if isinstance(kind, (T.NumericType, T.TimestampType)):
-        return f"cast({column} as double)"
-    if isinstance(kind, T.DateType):
-        return f"cast(unix_date({column}) as double)"
-    if isinstance(kind, T.TimestampNTZType):
-        seconds = f"hour({column}) * 3600 + minute({column}) * 60 + second({column})"
-        return f"cast(unix_date(cast({column} as date)) * 86400L + {seconds} as double)"
-    raise ValueError(f"the first order column must be a number, date or timestamp, not {kind}")
-
-
 def _seeds(
     cut: DataFrame, keys: Sequence[str], columns: Mapping[str, str], order: Sequence[str]
 ) -> DataFrame:

@@ -1,4 +1,9 @@
-"""Finding the keys that hold too many rows for one task."""
+"""Finding the keys that hold too many rows for one task, and spreading them over several.
+
+Whether a key is hot depends on its rows alone. As a hot key has ``hot_rows`` rows or more, the table
+of hot keys has at most (rows / hot_rows) entries of a key and a number, which is what is broadcast;
+no row of a table ever is.
+"""
 
 from __future__ import annotations
 
@@ -12,9 +17,8 @@ from rosterlane.operators.columns import quoted
 # A key with this many rows is treated apart: its rows are never put into a single task.
 HOT_ROWS = 1_000_000
 
-# Bound of the hot-key table, which is broadcast. A key beyond this many heavier ones holds less
-# than 1/100,000 of all rows and is left to the ordinary path, so results do not depend on it.
-HOT_KEYS = 100_000
+# Rows without a key match nothing; they are spread over this many places.
+LOOSE_PLACES = 1 << 20
 
 
 def not_null(names: Sequence[str]) -> Column:
@@ -22,19 +26,62 @@ def not_null(names: Sequence[str]) -> Column:
     return F.expr(" and ".join(f"{quoted(name)} is not null" for name in names))
 
 
+def equal(lefts: Sequence[str], rights: Sequence[str]) -> Column:
+    return F.expr(" and ".join(f"{quoted(l)} = {quoted(r)}" for l, r in zip(lefts, rights)))
+
+
 def hot_keys(
     df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, **measures: Column
 ) -> DataFrame:
-    """The heaviest keys with at least ``hot_rows`` rows, their row count and further aggregates.
+    """Every key with at least ``hot_rows`` rows, its row count and further aggregates.
 
     Only the key columns (and what ``measures`` read) are scanned, and rows are counted before the
-    shuffle. The order is total, so every evaluation gives the same keys.
+    shuffle.
     """
     return (
         df.where(not_null(keys))
-        .groupBy(*keys)
+        .groupBy(*map(quoted, keys))
         .agg(F.count("*").alias("hot_count"), *(c.alias(n) for n, c in measures.items()))
         .where(F.col("hot_count") >= hot_rows)
-        .orderBy(F.desc("hot_count"), *keys)
-        .limit(HOT_KEYS)
     )
+
+
+def hot_parts(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Every hot key and the number of parts its rows are to be dealt into."""
+    parts = F.ceil(F.col("hot_count") / hot_rows).cast("int").alias("parts")
+    return hot_keys(df, keys, hot_rows).select(*map(quoted, keys), parts)
+
+
+def spread(
+    df: DataFrame,
+    keys: Sequence[str],
+    own: DataFrame | None,
+    other: DataFrame | None,
+    own_salt: str,
+    other_salt: str,
+) -> DataFrame:
+    """Deal rows of the side's ``own`` hot keys over their parts, and repeat rows whose key is hot on
+    the ``other`` side once for each of its parts. Other rows get the salt 0.
+
+    Rows are dealt by the task that reads them and their hash: the same on every attempt, and even
+    where hot rows are all alike.
+    """
+    names = [f"hot {k}" for k in keys]
+    salted = df
+    zero = F.lit(0)
+    for table, salt in ((own, own_salt), (other, other_salt)):
+        if table is None:
+            salted = salted.withColumn(salt, zero)
+            continue
+        hot = F.broadcast(table.toDF(*names, "hot parts"))
+        met = salted.join(hot, equal(keys, names), "left")
+        if salt == own_salt:
+            places = F.when(not_null(keys), F.coalesce("hot parts", F.lit(1))).otherwise(
+                F.lit(LOOSE_PLACES)
+            )
+            row = F.xxhash64(*(F.col(quoted(c)) for c in df.columns)) if df.columns else zero
+            value = F.pmod(row + F.spark_partition_id(), places).cast("int")
+        else:
+            value = F.explode(F.sequence(zero, F.coalesce("hot parts", F.lit(1)) - 1))
+        salted = met.withColumn(salt, value).drop(*names, "hot parts")
+    return salted

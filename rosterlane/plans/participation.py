@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterlane import fixed_values as V
@@ -92,8 +92,14 @@ def webinar_participation(
         .distinct()
         .withColumn("ATTENDED", F.lit(True))
     )
+    # A registrant of a session occurs once for each tax id that was answered.
     joined = left_join(
-        registered, present, ["SESSION", "id"], ["SESSION", "registrant_id"], unique=True
+        registered,
+        present,
+        ["SESSION", "id"],
+        ["SESSION", "registrant_id"],
+        unique=True,
+        even=True,
     )
     return joined.select(
         "TAX_ID",
@@ -114,10 +120,10 @@ def inperson_participation(engagements: DataFrame, suffix: str = V.INPERSON_SUFF
     )
 
 
-def session_marks(suffixes: Sequence[str] = FLAG_SUFFIXES) -> dict[str, str]:
+def session_marks(suffixes: Sequence[str] = FLAG_SUFFIXES) -> dict[str, Column]:
     """Predicates of the flag pairs over the participation relation."""
     return {
-        f"{mark}_{suffix}": f"SESSION = '{suffix}' and {mark}"
+        f"{mark}_{suffix}": (F.col("SESSION") == F.lit(suffix)) & F.col(mark)
         for suffix in suffixes
         for mark in ("ATTENDED", "REGISTERED")
     }

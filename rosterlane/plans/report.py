@@ -5,14 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlane import fixed_values as V
 from rosterlane.functions.dates import export_stamp, report_date
 from rosterlane.functions.text import trim_ws
 from rosterlane.operators.aggregates import conditional_distinct, marks_by_key
-from rosterlane.operators.columns import rename_columns, stringify_all, union_ragged
+from rosterlane.operators.columns import quoted, rename_columns, stringify_all, union_ragged
 from rosterlane.operators.joins import left_join
 from rosterlane.operators.ordered import first_per_key
 from rosterlane.plans.participation import (
@@ -28,7 +28,7 @@ from rosterlane.plans.steps import (
     portal_state,
     status_by_plan,
 )
-from rosterlane.schemas import DETAIL, FLAGS, INGEST_SEQ
+from rosterlane.schemas import DETAIL, FLAGS, row_order
 from rosterlane.sinks.files import EVENT_DATE, export_report, shared_folder, write_snapshot
 from rosterlane.sources.tables import inperson_engagements, portals
 
@@ -61,7 +61,7 @@ def build_base(inputs: CampaignInputs) -> DataFrame:
     multiplies rows and all of them share one partitioning by id.
     """
     roster = inputs.roster.withColumn(V.ROSTER_TAX_ID, trim_ws(F.col(V.ROSTER_TAX_ID)))
-    roster = first_per_key(roster, [V.ROSTER_WAVE, V.ROSTER_TAX_ID], [INGEST_SEQ])
+    roster = first_per_key(roster, [V.ROSTER_WAVE, V.ROSTER_TAX_ID], row_order(roster))
     roster = enrich_contacts(roster, inputs.contact, inputs.account)
     base = rename_columns(roster, V.ROSTER_COLUMNS).select(*V.ROSTER_COLUMNS.values())
 
@@ -80,7 +80,7 @@ def build_detail(base: DataFrame, forms: DataFrame, event_date: str) -> DataFram
 
     ``forms`` is what ``form_choice`` returns, of which the first per id counts.
     """
-    first = first_per_key(forms, [V.FORM_TAX_ID], [INGEST_SEQ]).select(
+    first = first_per_key(forms, [V.FORM_TAX_ID], row_order(forms)).select(
         F.col(V.FORM_TAX_ID).alias(FORM_KEY), F.col(V.FORM_CHOICE).alias(CHOICE)
     )
     rows = left_join(base, first, ID, FORM_KEY, unique=True, even=True).fillna(
@@ -91,32 +91,35 @@ def build_detail(base: DataFrame, forms: DataFrame, event_date: str) -> DataFram
     return text.withColumn(EVENT_DATE, F.lit(event_date)).select(*DETAIL)
 
 
-def trend_metrics() -> dict[str, str | None]:
-    """The 45 counts: SQL predicate over the base with form marks, or None for all providers."""
-    portal = f"{PORTAL_CREATED} = 'True'"
+def trend_metrics() -> dict[str, Column | None]:
+    """The 45 counts: predicate over the base with form marks, or None for all providers."""
+    wave, status, help_status = F.col(WAVE), F.col(STATUS), F.col(STATUS_HELP)
+    portal = F.col(PORTAL_CREATED) == "True"
+    marks = ["COMPLETED_ONBOARDING_FORM", *FLAGS, *V.CHOICE_LABELS]
     return {
         "PROVIDER_COUNT": None,
-        "HH_PROVIDER_COUNT": f"{WAVE} = '{V.WAVE_HELP}'",
-        "HEALTH_PROVIDER_COUNT": f"{WAVE} = '{V.WAVE_HEALTH}'",
-        "COMPLETED_ONBOARDING_FORM": "COMPLETED_ONBOARDING_FORM",
-        **{flag: flag for flag in FLAGS},
-        **{name: name for name in V.CHOICE_LABELS},
-        **{f"LMS_{n}": f"{STATUS} = '{label}'" for n, label in V.ENROLMENT_LABELS.items()},
-        **{f"LMS_HH_{n}": f"{STATUS_HELP} = '{label}'" for n, label in V.ENROLMENT_LABELS.items()},
-        "HH_PORTALS_CREATED": f"{WAVE} = '{V.WAVE_HELP}' and {portal}",
-        "HEALTH_PORTALS_CREATED": f"{WAVE} = '{V.WAVE_HEALTH}' and {portal}",
-        "PCS_PORTALS_CREATED": f"{WAVE} = '{V.WAVE_PCS}' and {portal}",
+        "HH_PROVIDER_COUNT": wave == V.WAVE_HELP,
+        "HEALTH_PROVIDER_COUNT": wave == V.WAVE_HEALTH,
+        **{mark: F.col(quoted(mark)) for mark in marks},
+        **{f"LMS_{n}": status == label for n, label in V.ENROLMENT_LABELS.items()},
+        **{f"LMS_HH_{n}": help_status == label for n, label in V.ENROLMENT_LABELS.items()},
+        "HH_PORTALS_CREATED": (wave == V.WAVE_HELP) & portal,
+        "HEALTH_PORTALS_CREATED": (wave == V.WAVE_HEALTH) & portal,
+        "PCS_PORTALS_CREATED": (wave == V.WAVE_PCS) & portal,
         "PORTALS_CREATED": portal,
     }
 
 
 def form_marks(forms: DataFrame) -> DataFrame:
     """Per tax id: has any of its forms a choice, and which of the counted ones occur?"""
+    choice = F.col(CHOICE)
     marks = {
-        "COMPLETED_ONBOARDING_FORM": f"{CHOICE} <> '{V.MISSING_FORM}'",
-        **{name: f"{CHOICE} = '{label}'" for name, label in V.CHOICE_LABELS.items()},
+        "COMPLETED_ONBOARDING_FORM": choice != V.MISSING_FORM,
+        **{name: choice == label for name, label in V.CHOICE_LABELS.items()},
     }
-    choices = forms.selectExpr(f"{V.FORM_TAX_ID} as {FORM_KEY}", f"{V.FORM_CHOICE} as {CHOICE}")
+    choices = forms.select(
+        F.col(quoted(V.FORM_TAX_ID)).alias(FORM_KEY), F.col(quoted(V.FORM_CHOICE)).alias(CHOICE)
+    )
     return marks_by_key(choices, FORM_KEY, marks)
 
 
@@ -148,7 +151,9 @@ def run_report(
 ) -> None:
     """Build both products of the day of ``moment``, write their snapshots and export the detail.
 
-    What both share is computed once and checkpointed to the shared folder of the session.
+    What both share is computed once and checkpointed, to the folder that all executors share; a
+    session that names none (``spark.checkpoint.dir``) raises. A rerun replaces the day's rows, also
+    when it has none.
     """
     spark = inputs.roster.sparkSession
     shared_folder(spark)
@@ -157,5 +162,5 @@ def run_report(
     forms = form_choice(inputs.form).checkpoint()
     write_snapshot(build_trend(base, forms, event_date), trend_path)
     detail = build_detail(base, forms, event_date)
-    write_snapshot(detail, detail_path)
+    write_snapshot(detail, detail_path, dates=[event_date])
     export_report(detail, export_folder, name, stamp)

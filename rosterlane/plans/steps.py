@@ -24,7 +24,7 @@ from rosterlane.operators.ordered import (
     first_per_key,
     ranked_first,
 )
-from rosterlane.schemas import INGEST_SEQ
+from rosterlane.schemas import row_order
 from rosterlane.sources.tables import crm_contacts, learning_enrolments
 
 
@@ -62,9 +62,9 @@ def form_choice(form: DataFrame, id_width: int | None = None) -> DataFrame:
         form,
         V.FORM_GROUP,
         {V.FORM_TAX_ID: FORWARD, V.FORM_NPI: FORWARD, V.FORM_CHOICE: BACKWARD},
-        [INGEST_SEQ],
+        row_order(form),
     ).dropna(subset=[V.FORM_TAX_ID])
-    kept = first_per_key(filled, [V.FORM_GROUP, V.FORM_TAX_ID], [INGEST_SEQ])
+    kept = first_per_key(filled, [V.FORM_GROUP, V.FORM_TAX_ID], row_order(form))
     return kept.withColumn(V.FORM_TAX_ID, id_as_int_text(F.col(V.FORM_TAX_ID), width=id_width))
 
 
@@ -77,10 +77,11 @@ def status_by_plan(
 ) -> DataFrame:
     """Add, per plan, the status of the id's first enrolment; ``plans`` maps plan to column.
 
-    The first of every plan is picked in one aggregation per id, so the join is one to one.
+    The first of every plan is picked in one aggregation per id, so the join is one to one. The order
+    is the landed row number or, where there is none, that of all columns.
     """
     plan, status = F.col("LEARNING_PLAN_NAME"), F.col("LEARNING_PLAN_ENROLLMENT_STATUS")
-    order = F.struct(F.col(INGEST_SEQ), status)
+    order = F.struct(*map(quoted, row_order(enrolments)), status.alias("last"))
     side_by_side = (
         learning_enrolments(enrolments, tuple(plans))
         .groupBy("AGENCY_TAX_ID")
@@ -119,11 +120,11 @@ def attach_payers(df: DataFrame, payers: DataFrame, on: str, wave: str) -> DataF
 
 
 def portal_state(
-    df: DataFrame, portals: DataFrame, on: str, order: Sequence[str] = (INGEST_SEQ,)
+    df: DataFrame, portals: DataFrame, on: str, order: Sequence[str] | None = None
 ) -> DataFrame:
     """Add PORTAL_CREATED (text), PROVIDER_ID and PORTAL_TYPE of the id's first portal."""
     known = portals.where(F.col("TAX_ID").isNotNull())
-    first = first_per_key(known, ["TAX_ID"], order).select(
+    first = first_per_key(known, ["TAX_ID"], order or row_order(portals)).select(
         F.col("TAX_ID").alias("PORTAL_TAX_ID"),
         "PROVIDER_ID",
         F.col("PLATFORM_TAG").alias("PORTAL_TYPE"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from rosterlane import fixed_values as V
@@ -10,6 +11,11 @@ from rosterlane import fixed_values as V
 INGEST_SEQ = "ingest_seq"
 
 
+def row_order(df: DataFrame) -> list[str]:
+    """The order of a table's rows: the row number it landed with, else all its columns."""
+    return [INGEST_SEQ] if INGEST_SEQ in df.columns else list(df.columns)
+
+
 def _table(order: bool = False, **columns: str) -> T.StructType:
     schema = T.StructType()
     for name, kind in columns.items():

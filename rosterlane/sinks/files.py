@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EVENT_DATE = "EVENT_DATE"
 
+# Characters that Spark escapes in the names of partition folders.
+PATH_ESCAPES = "\"#%'*/:=?\\\x7f{[]^"
 
-def write_snapshot(df: DataFrame, path: str, date_column: str = EVENT_DATE) -> None:
+
+def write_snapshot(
+    df: DataFrame, path: str, date_column: str = EVENT_DATE, dates: Iterable[str] = ()
+) -> None:
     """Write each date of ``df`` as one partition and replace what it held before.
 
-    Writing a date again (a rerun, a retry) leaves it as if written once; other dates stay. Rows
-    are evened out before the write: a date with many rows is split over several files and tasks,
-    small ones are put together.
+    Writing a date again (a rerun, a retry) leaves it as if written once; other dates stay. ``dates``
+    are the dates the run is about: those that ``df`` has no rows of are cleared as well. Rows are
+    evened out before the write: a date with many rows is split over several files and tasks, small
+    ones are put together.
     """
     (
         df.hint("rebalance", F.col(date_column))
@@ -24,6 +30,22 @@ def write_snapshot(df: DataFrame, path: str, date_column: str = EVENT_DATE) -> N
         .partitionBy(date_column)
         .parquet(path)
     )
+    about = set(map(str, dates))
+    day = F.col(date_column).cast("string")
+    left_out = about - {r[0] for r in df.select(day).where(day.isin(*about)).distinct().collect()}
+    for date in sorted(left_out):
+        remove(df.sparkSession, f"{path.rstrip('/')}/{date_column}={quote(date)}")
+
+
+def quote(value: str) -> str:
+    """A partition value as it stands in a folder's name."""
+    return "".join(f"%{ord(c):02X}" if c in PATH_ESCAPES or ord(c) < 32 else c for c in value)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of any file system that Hadoop knows; one that is absent is fine."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def export_report(
@@ -37,22 +59,21 @@ def export_report(
     (
         df.hint("rebalance")
         .write.mode("overwrite")
-        .options(header=True, maxRecordsPerFile=max_rows_per_file, escape='"')
+        .options(
+            header=True,
+            maxRecordsPerFile=max_rows_per_file,
+            escape='"',
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        )
         .csv(path)
     )
     return path
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that all executors see, as the session's ``spark.checkpoint.dir`` names it.
-
-    Only a local session without one gets a temporary folder.
-    """
+    """Folder that all executors see, as the session's ``spark.checkpoint.dir`` names it."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="rosterlane-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")

@@ -17,15 +17,23 @@ from rosterlane.operators.joins import keep_matching
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    file_format: str = "parquet",
+    line_breaks: bool = False,
 ) -> DataFrame:
     """Landed sheet or table with its declared types: nothing is inferred, identifiers stay text.
 
-    CSV has a header line; a value that does not fit the schema raises.
+    CSV has a header line, and quotes within quotes are doubled, as spreadsheets and this library's
+    own reports write them; a value that does not fit the schema raises. ``line_breaks`` allows them
+    within quotes, at the price that a file can't be split over tasks.
     """
     reader = spark.read.schema(schema)
     if file_format == "csv":
-        reader = reader.options(header=True, mode="FAILFAST", enforceSchema=False)
+        reader = reader.options(
+            header=True, mode="FAILFAST", enforceSchema=False, escape='"', multiLine=line_breaks
+        )
     return reader.format(file_format).load(path)
 
 
@@ -58,7 +66,7 @@ def crm_contacts(
 ) -> DataFrame:
     """Contacts with an email whose account has one of the given ids: id, role, email."""
     accounts = account.select(F.col("ID"), trim_ws(F.col("TAX_ID_C")).alias("TAX_ID_C"))
-    wanted = keep_matching(accounts, ids, "TAX_ID_C", id_column)
+    wanted = keep_matching(accounts, ids, "TAX_ID_C", id_column, even=True)
     with_email = contact.where(F.col("email").isNotNull())
     return with_email.join(wanted, with_email["account_id"] == wanted["ID"], "inner").select(
         "TAX_ID_C", "CONTACT_ROLE_C", "email"

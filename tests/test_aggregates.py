@@ -10,7 +10,7 @@ def test_distinct_concat(spark):
     data = [("k", "B", "x"), ("k", "A", None), ("k", "B", "x"), (None, "C", "y"), ("l", None, "z")]
     df = spark.createDataFrame(data, "key string, p string, w string")
     got = distinct_concat(df, "key", {"p": "payers", "w": "waves"})
-    assert rows(got) == [("k", "A, B", "x"), ("l", "", "z")]
+    assert rows(got) == [("k", "A, B", "x"), ("l", None, "z")]
 
 
 def test_distinct_concat_sorts_by_code_point(spark):
@@ -53,3 +53,11 @@ def test_one_shuffle_of_rows_and_no_copy_per_metric(spark):
     assert "Expand" not in text
     assert text.count("Exchange hashpartitioning") == 1
     assert text.count("Exchange SinglePartition") == 1
+
+
+def test_distinct_values_are_made_distinct_before_they_are_gathered(spark):
+    df = spark.range(100).selectExpr("id % 3 as k", "id % 5 as p")
+    text = plan(distinct_concat(df, "k", {"p": "ps"})).split("Initial Plan")[0]
+    exchanges = [line for line in text.split("\n") if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2 and "value 0" in exchanges[1]
+    assert rows(distinct_concat(df, "k", {"p": "ps"})) == [(k, "0, 1, 2, 3, 4") for k in range(3)]

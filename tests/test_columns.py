@@ -62,3 +62,13 @@ def test_row_local_operators_do_not_shuffle(spark):
     df = spark.range(10).select("id", F.lit(None).cast(ANSWERS).alias("q"))
     df = stringify_all(ensure_columns(questions_to_columns(df, "q", {"T": "tax"}), {"s": "int"}))
     assert "Exchange" not in plan(df) and "Python" not in plan(df)
+
+
+def test_present_columns_stay_whatever_their_case(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, STATUS_Y string")
+    assert rows(ensure_columns(df, {"status_y": "string", "n": "int"})) == [(1, "a", None)]
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        assert ensure_columns(df, {"status_y": "string"}).columns == ["id", "STATUS_Y", "status_y"]
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")

@@ -1,5 +1,4 @@
 import random
-import re
 
 import pytest
 from helpers import plan, rows
@@ -12,6 +11,7 @@ from rosterlane.operators import (
     lookup_override,
     merge_suffixed,
 )
+from rosterlane.operators.skew import hot_parts, spread
 
 
 def test_exists_flag(spark):
@@ -36,15 +36,65 @@ def test_reference_is_made_unique_before_the_shuffle(spark):
     assert text.index("HashAggregate(keys=[match 0", first + 1) > shuffle
 
 
-def test_hot_rows_and_rows_without_key_are_not_shuffled(spark):
-    df = spark.range(100).selectExpr("case when id % 3 = 0 then 7 when id % 5 = 0 then id end as k", "id as n")
-    unique = spark.range(50).selectExpr("id as key", "id * 2 as v")
-    joined = left_join(df, unique, "k", "key", unique=True)
-    usual, heavy, loose = re.split(r"\n   [:+]- ", plan(joined).split("Union", 1)[1])[1:]
-    assert "LeftOuter" in usual and "LeftAnti" in usual
-    # The hot rows meet the hot keys, and their one match each, by broadcast.
-    assert heavy.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in heavy
-    assert "Exchange" not in loose and "Join" not in loose
+def test_rows_are_read_twice_and_never_broadcast(spark, tmp_path):
+    path = str(tmp_path)
+    key = "case when id % 3 = 0 then 7 when id % 5 = 0 then id end as k"
+    spark.range(100).selectExpr(key, "id as n").write.parquet(f"{path}/left")
+    spark.range(50).selectExpr("id as key", "id * 2 as v").write.parquet(f"{path}/right")
+    left, right = spark.read.parquet(f"{path}/left"), spark.read.parquet(f"{path}/right")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cases = {
+            "left_join": left_join(left, right, "k", "key", unique=True),
+            "fan out": left_join(left, right, "k", "key"),
+            "exists_flag": exists_flag(left, right, "k", "key"),
+            "keep_matching": keep_matching(left, right, "k", "key"),
+            "lookup_override": lookup_override(left, right, "k", "n", "v", mapping_on="key"),
+        }
+        for name, df in cases.items():
+            df.collect()
+            final = plan(df).split("Initial Plan")[0]
+            scans = [line for line in final.split("\n") if "FileScan" in line]
+            assert sum("/left]" in line for line in scans) <= 2, name
+            assert sum("/right]" in line for line in scans) <= 2, name
+            # What is broadcast is aggregated keys.
+            for part in final.split("BroadcastExchange")[1:]:
+                assert "HashAggregate" in part.split("FileScan")[0], name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_rows_are_dealt_even_if_they_are_alike(spark):
+    df = spark.range(0, 6000, 1, 12).selectExpr("if(id % 3 = 0, null, 7) as k")
+    hot = hot_parts(df, ["k"], 100)
+    dealt = spread(df, ["k"], hot, None, "own", "other").groupBy("k", "own").count()
+    assert dealt.where("k = 7").agg(F.max("count")).first()[0] <= 4000 / 12 + 1
+    assert dealt.where("k is null").count() >= 12
+    wide = df.withColumn("n", F.monotonically_increasing_id())
+    dealt = spread(wide, ["k"], hot, None, "own", "other").groupBy("k", "own").count()
+    assert dealt.agg(F.max("count")).first()[0] <= 200
+
+
+@pytest.mark.parametrize("hot_rows", [2, 5, 1000])
+def test_join_with_keys_hot_on_both_sides(spark, hot_rows):
+    left = spark.createDataFrame([(1, i) for i in range(30)] + [(2, 50), (None, 51), (9, 52)], "k int, n int")
+    right = spark.createDataFrame([(1, i) for i in range(20)] + [(2, 1), (None, 2), (3, 3)], "r int, m int")
+    got = left_join(left, right, "k", "r", hot_rows=hot_rows)
+    want = [(1, i, 1, j) for i in range(30) for j in range(20)]
+    want += [(2, 50, 2, 1), (None, 51, None, None), (9, 52, None, None)]
+    assert rows(got, "k", "n", "r", "m") == sorted(want, key=repr)
+
+
+def test_repeated_keys_of_a_mapping(spark):
+    df = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "id int, v string")
+    mapping = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (2, None), (None, "n")], "k int, w string")
+    assert rows(lookup_override(df, mapping, "id", "v", "w", mapping_on="k")) == [(1, "a"), (2, "y"), (3, "z")]
+
+
+def test_names_that_differ_in_case_clash(spark):
+    left = spark.createDataFrame([(1, "a")], "id int, status string")
+    right = spark.createDataFrame([(1, "b")], "key int, STATUS string")
+    assert merge_suffixed(left, right, "id", "key").columns == ["id", "status_x", "key", "STATUS_y"]
 
 
 def test_keep_matching(spark):

@@ -81,10 +81,31 @@ def test_hot_groups_are_cut(spark):
     assert runs.count() >= 10
 
 
-def test_fill_needs_an_order_that_can_be_cut(spark):
-    df = spark.createDataFrame([("a", 1, "x")], "g string, v int, o string")
-    with pytest.raises(ValueError, match="first order column"):
-        fill_within_group(df, "g", {"v": FORWARD}, ["o"])
+def test_runs_are_even_in_rows_whatever_the_order(spark):
+    from rosterlane.operators.ordered import _cut_into_runs
+
+    df = spark.range(1000).selectExpr("1 as g", "id as i")
+    orders = {
+        "one value far out": "if(i = 5, 1000000000000, i)",
+        "fractions": "cast(i as double) / 1000000",
+        "no value": "cast(null as double)",
+        "ties": "i % 2",
+        "text": "cast(i as string)",
+    }
+    for name, order in orders.items():
+        cut = _cut_into_runs(df.selectExpr("*", f"{order} as o"), ["g"], ["o", "i"], 100)
+        runs = cut.groupBy("fill run").agg(F.count("*").alias("n"), F.min("o"), F.max("o"))
+        assert runs.agg(F.max("n")).first()[0] <= 200, name
+        assert runs.count() >= 10, name
+        late = cut.alias("a").join(cut.alias("b"), F.expr("a.`fill run` < b.`fill run`"))
+        assert late.where("struct(a.o, a.i) >= struct(b.o, b.i)").count() == 0, name
+
+
+def test_fill_by_an_order_of_text(spark):
+    data = [("a", None, "c"), ("a", 1, "b"), ("a", None, "a"), ("a", 2, "d")]
+    df = spark.createDataFrame(data, "g string, v int, o string")
+    filled = fill_within_group(df, "g", {"v": FORWARD}, ["o"], hot_rows=2)
+    assert rows(filled, "o", "v") == [("a", 1), ("b", 1), ("c", 1), ("d", 2)]
 
 
 def test_fill_keeps_columns_with_any_name(spark):

@@ -69,3 +69,23 @@ def test_shared_folder_is_the_one_of_the_session(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Elsewhere)
+
+
+def test_a_rerun_without_rows_clears_its_day(spark, tmp_path):
+    path = str(tmp_path / "snapshot")
+    both = snapshot(spark, [(1, "2025-01-01"), (2, "2025-01-02")])
+    write_snapshot(both, path)
+    write_snapshot(both.where("false"), path, dates=["2025-01-01", "2025-01-09"])
+    assert rows(spark.read.schema(both.schema).parquet(path)) == [(2, datetime.date(2025, 1, 2))]
+    text = spark.createDataFrame([("1", "01/02/2025")], "id string, EVENT_DATE string")
+    path = str(tmp_path / "detail")
+    write_snapshot(text, path)
+    write_snapshot(text.where("false"), path, dates=["01/02/2025"])
+    assert rows(spark.read.schema(text.schema).parquet(path)) == []
+
+
+def test_report_keeps_white_space(spark, tmp_path):
+    df = spark.createDataFrame([("1", " a "), ("2", "b\t")], "id string, `name ` string")
+    path = export_report(df, str(tmp_path), "R", "x")
+    read = spark.read.schema(df.schema).options(header=True, escape='"').csv(path)
+    assert rows(read) == rows(df)
