@@ -114,7 +114,9 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
         "x.wildcard = y.wildcard and x.rest = y.rest and x.fp < y.fp and"
         f" bit_count({difference}) <= {distance} and ({' or '.join(tests)})"
     )
-    return indexed.alias("x").join(indexed.alias("y"), near).selectExpr("x.fp as a", "y.fp as b")
+    # The optimizer takes the index for as small as the fingerprints, and would broadcast it.
+    one, other = indexed.alias("x").hint("merge"), indexed.alias("y").hint("merge")
+    return one.join(other, near).selectExpr("x.fp as a", "y.fp as b")
 
 
 def near_duplicates(
