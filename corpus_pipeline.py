@@ -48,15 +48,9 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_pieces, ids, decodes): the ids of every reading of a document, and
     whether decoding gives its text back."""
-    both = pieces.decoded(pieces.encoded(docs.select("doc_id", "lang", "source", "text")))
-    return both.select(
-        "doc_id",
-        "lang",
-        "source",
-        F.size("ids").cast("long").alias("n_pieces"),
-        "ids",
-        (F.col("decoded") == pieces.as_decoded(F.col("text"))).alias("decodes"),
-    )
+    coded = pieces.coded(docs.select("doc_id", "lang", "source", "text"), same="decodes")
+    n_pieces = F.size("ids").cast("long").alias("n_pieces")
+    return coded.select("doc_id", "lang", "source", n_pieces, "ids", "decodes")
 
 
 STAGES = [

@@ -15,15 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlane.llm.unigram import (
-    WORD,
-    Numbers,
+    MARK,
     Vocabulary,
     default_model,
-    marked,
+    groups,
+    numbered,
     read_vocabulary,
 )
 
-GROUP_CHARACTERS = 16_000_000
+# Bytes of text whose words are looked at together.
+GROUP_BYTES = 16_000_000
 # Characters of words laid out at once.
 BLOB = 1_000_000
 LINE_END = "\n"
@@ -70,29 +71,24 @@ def count_words(words: list[str], automaton: ahocorasick.Automaton) -> np.ndarra
     return counts
 
 
-def counts_of(texts: list[str | None], vocabulary: Vocabulary, automata: dict) -> np.ndarray:
+def counts_of(texts: pa.Array, vocabulary: Vocabulary, automata: dict) -> np.ndarray:
     """Pieces of every text. ``automata`` keeps automata by the unknown characters they include."""
-    numbers = Numbers()
-    word_numbers, edges = [np.empty(0, np.int64)], [0]
-    for text in texts:
-        found = WORD.findall(marked(text or ""))
-        word_numbers.append(np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)))
-        edges.append(edges[-1] + len(found))
-    words = list(numbers)
-    ends = np.array([word[:1] == LINE_END for word in words], bool)
-    counts = np.zeros(len(words), np.int64)
-    # A line end is one byte piece.
-    counts[ends] = [len(word) for word, end in zip(words, ends.tolist(), strict=True) if end]
-    inner = [word for word, end in zip(words, ends.tolist(), strict=True) if not end]
-    strange = {c for c in set("".join(inner)) if c not in vocabulary.pieces}
+    keys, flat, edges = numbered(texts)
+    # A line end is a byte piece and parts what is around it; it also parts words when laid out.
+    counts = np.fromiter((key.count(LINE_END) for key in keys), np.int64, len(keys))
+    parts, owners = [], []
+    for number, key in enumerate(keys):
+        for part in (MARK + key).split(LINE_END):
+            if part:
+                parts.append(part)
+                owners.append(number)
+    strange = {c for c in set().union(*parts) if c not in vocabulary.pieces}
     if not automata or strange - automata["strange"]:
         automata["strange"] = strange | automata.get("strange", set())
         automata["automaton"] = automaton_of(vocabulary, automata["strange"])
-    counts[~ends] = count_words(inner, automata["automaton"])
-    per_word = counts[np.concatenate(word_numbers)]
-    total = np.concatenate([[0], np.cumsum(per_word)])
-    bounds = np.array(edges)
-    return total[bounds[1:]] - total[bounds[:-1]]
+    np.add.at(counts, np.array(owners, np.int64), count_words(parts, automata["automaton"]))
+    total = np.concatenate([[0], np.cumsum(counts[flat])])
+    return total[edges[1:]] - total[edges[:-1]]
 
 
 def counter(path: str | None = None):
@@ -102,16 +98,10 @@ def counter(path: str | None = None):
     @F.arrow_udf("long")
     def count(texts: pa.Array) -> pa.Array:
         automata: dict = {}
-        found, group, size = [np.empty(0, np.int64)], [], 0
-        for text in texts.to_pylist():
-            group.append(text)
-            size += len(text or "")
-            if size >= GROUP_CHARACTERS:
-                found.append(counts_of(group, vocabulary, automata))
-                group, size = [], 0
-        if group:
-            found.append(counts_of(group, vocabulary, automata))
-        return pa.array(np.concatenate(found), pa.int64())
+        runs = groups(texts, GROUP_BYTES)
+        return pa.array(
+            np.concatenate([counts_of(run, vocabulary, automata) for run in runs]), pa.int64()
+        )
 
     return count
 

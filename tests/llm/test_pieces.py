@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -17,8 +18,12 @@ def library():
     return Tokenizer(Unigram(entries, unk_id=0, byte_fallback=False))
 
 
+def marked_words(text):
+    return [unigram.MARK + key for key in unigram.word_keys(text)]
+
+
 def distinct_words(texts):
-    return sorted({w for t in texts for w in unigram.WORD.findall(unigram.marked(t or ""))})
+    return sorted({word for text in texts for word in marked_words(text)})
 
 
 def test_words_equal_the_library(documents, library):
@@ -51,28 +56,41 @@ TEXTS = st.text(alphabet="the aeinrs ▁\n\tö🙂日\x00", max_size=30)
 @settings(max_examples=100, deadline=None)
 @given(st.lists(TEXTS | st.none(), max_size=6))
 def test_texts_equal_plain_viterbi(texts):
-    got = pieces.encode_batch(texts, VOCABULARY).to_pylist()
+    batch = pa.array(texts, pa.string())
+    got = pieces.encode_batch(batch, VOCABULARY).to_pylist()
     for text, ids in zip(texts, got, strict=True):
-        parts = unigram.WORD.findall(unigram.marked(text or ""))
+        parts = marked_words(text)
+        assert "".join(parts) == (unigram.MARK + text.replace(" ", unigram.MARK) if text else "")
         assert ids == [i for part in parts for i in plain_viterbi(part)]
-        decoded = pieces.decode_ids(np.array(ids, np.int64), VOCABULARY.piece_bytes)
+        decoded = pieces.decoded_bytes(np.array(ids, np.int64), VOCABULARY.piece_bytes).decode()
         assert decoded == (text or "").replace("▁", " ")
-    counts = token_counts.counts_of(texts, VOCABULARY, {})
+    counts = token_counts.counts_of(batch, VOCABULARY, {})
     assert counts.tolist() == [len(ids) for ids in got]
 
 
 def test_counts_over_several_layouts(monkeypatch):
     monkeypatch.setattr(token_counts, "BLOB", 10)
-    texts = ["the sea\nand ö🙂", "a " * 40, ""]
+    texts = pa.array(["the sea\nand ö🙂", "a " * 40, ""])
     ids = pieces.encode_batch(texts, VOCABULARY).to_pylist()
     assert token_counts.counts_of(texts, VOCABULARY, {}).tolist() == [len(x) for x in ids]
 
 
+def test_runs_of_texts():
+    texts = pa.array(["a" * 5, None, "b" * 30, "", "c", "d" * 9])
+    found = [run.to_pylist() for run in unigram.groups(texts, 10)]
+    assert [text for run in found for text in run] == texts.to_pylist()
+    assert len(found) > 1
+    assert [run.to_pylist() for run in unigram.groups(texts.slice(0, 0), 10)] == [[]]
+
+
 def test_columns(documents, odd):
     for df in (documents, odd):
-        both = token_counts.with_token_counts(pieces.decoded(pieces.encoded(df)))
-        rows = both.withColumn("wanted", pieces.as_decoded(both["text"])).collect()
-        assert len(rows) == df.count()
+        both = token_counts.with_token_counts(pieces.coded(pieces.decoded(pieces.encoded(df)), ids="ids2"))
+        rows = both.collect()
+        assert len(rows) == df.count() and set(df.columns) <= set(both.columns)
         for r in rows:
-            assert r["decoded"] == r["wanted"] and len(r["ids"]) == r["n_tokens"]
-    assert pieces.encoded(odd.where("doc_id > 100")).count() == 0
+            assert r["decoded"] == (r["text"] or "").replace("▁", " ")
+            assert r["ids"] == r["ids2"] and len(r["ids"]) == r["n_tokens"] and r["round_trip"]
+    assert pieces.coded(odd.where("doc_id > 100")).count() == 0
+    broken = documents.limit(1).selectExpr("array(3 + 195, 3 + 40) as ids")
+    assert pieces.decoded(broken).first()["decoded"] == "\ufffd("
