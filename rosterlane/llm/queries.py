@@ -45,7 +45,38 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@query()
+WORDS_SQL = r"""list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+  lambda w: w <> '')"""
+
+
+@query(rf"""with d as (
+    select doc_id, coalesce(text, '') as t, {WORDS_SQL} as ws,
+      list_filter(string_split(coalesce(text, ''), chr(10)),
+        lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as ls
+    from documents),
+  windows as (select doc_id, ws, unnest(range(1, len(ws) - 3)) as pos from d where len(ws) >= 5),
+  counted as (select doc_id, pos, count(*) over (partition by doc_id,
+    array_to_string(list_slice(ws, pos, pos + 4), ' ')) as n from windows),
+  covered as (select doc_id, count(distinct place) as n from
+    (select doc_id, unnest(range(pos, pos + 5)) as place from counted where n > 1) group by doc_id),
+  base as (
+    select d.doc_id, t, ws, len(ws)::bigint as n_words,
+      length(array_to_string(ws, ''))::bigint as word_chars,
+      length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+      len(ls)::bigint as n_lines, (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines,
+      coalesce(covered.n, 0)::bigint as n_repeat_words
+    from d left join covered on covered.doc_id = d.doc_id),
+  judged as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from base)
+  select doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed,
+    not (base_failed or 10 * n_symbols > n_words
+      or word_chars < 2 * n_words or word_chars > 15 * n_words
+      or 10 * n_dup_lines > 3 * n_lines
+      or 5 * (length(t) - length(replace(t, '!', ''))) > n_words
+      or 10 * len(regexp_extract_all(t, '(?:^|\n)[\x20\t]*[-*•]')) > 9 * n_lines
+      or 10 * len(regexp_extract_all(t, '(?:\.\.\.|…)[\x20\t]*(?:\n|$)')) > 3 * n_lines
+      or 10 * len(list_filter(ws, lambda w: not regexp_matches(w, '\p{{L}}'))) > 3 * n_words
+      or 2 * length(regexp_replace(t, '[^\p{{Lu}}]', '', 'g')) > word_chars) as kept
+  from judged""")
 def op10_quality_rules(spark, folder):
     return quality_rules.quality_rules(table(spark, folder, "documents"))
 
@@ -105,7 +136,21 @@ def op2_line_quality(spark, folder):
     )
 
 
-@query()
+@query(rf"""with d as (select doc_id, {WORDS_SQL} as ws from documents),
+  words as (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as pos from d),
+  windows as (select doc_id, ws, unnest(range(1, len(ws) - 18)) as pos from d where len(ws) >= 20),
+  numbered as (select doc_id, pos, row_number() over (
+    partition by array_to_string(list_slice(ws, pos, pos + 19), ' ') order by doc_id, pos) as n
+    from windows),
+  gone as (select distinct doc_id, pos from
+    (select doc_id, unnest(range(pos, pos + 20)) as pos from numbered where n > 1)),
+  kept as (select words.doc_id, count(gone.pos) as n_removed,
+      string_agg(word, ' ' order by words.pos) filter (where gone.pos is null) as text
+    from words left join gone on gone.doc_id = words.doc_id and gone.pos = words.pos
+    group by words.doc_id)
+  select d.doc_id, len(ws)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed,
+    sha256(coalesce(kept.text, '')) as kept_sha256
+  from d left join kept on kept.doc_id = d.doc_id""")
 def op1_repeats(spark, folder):
     cleaned = repeats.without_repeats(table(spark, folder, "documents"))
     removed = "aggregate(removed_spans, 0L, (n, s) -> n + (s.end - s.start))"
