@@ -87,6 +87,13 @@ def test_every_pair_within_the_distance_is_linked_once(spark):
     assert len(found) == len(set(found)) and set(found) == want
 
 
+def test_the_index_is_never_broadcast(spark):
+    df = simhash.links(spark.range(100).selectExpr("id as fp"))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin" in final and "Broadcast" not in final
+
+
 def test_segments():
     assert simhash.segments(4) == [(0, 21), (21, 21), (42, 22)]
     assert len(simhash.segments(3)) == 2
