@@ -85,11 +85,11 @@ def standard_rules() -> dict[str, Column]:
     return {
         "symbols": F.col("n_symbols") > 0.1 * words,
         "word_length": (chars < 2 * words) | (chars > 15 * words),
-        "same_lines": F.col("n_dup_lines") > 0.3 * F.col("n_lines"),
+        "same_lines": F.col("n_dup_lines") > 0.4 * F.col("n_lines"),
         "exclamations": count_of(text, "!") > 0.2 * words,
         "bullets": bullets > 0.9 * F.col("n_lines"),
         "ellipses": ellipses > 0.3 * F.col("n_lines"),
-        "no_letters": no_letter > 0.3 * words,
+        "no_letters": no_letter > 0.4 * words,
         "capitals": count_of(text, r"\p{Lu}") > 0.5 * chars,
     }
 

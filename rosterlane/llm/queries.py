@@ -70,11 +70,11 @@ WORDS_SQL = r"""list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x
   select doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed,
     not (base_failed or 10 * n_symbols > n_words
       or word_chars < 2 * n_words or word_chars > 15 * n_words
-      or 10 * n_dup_lines > 3 * n_lines
+      or 10 * n_dup_lines > 4 * n_lines
       or 5 * (length(t) - length(replace(t, '!', ''))) > n_words
       or 10 * len(regexp_extract_all(t, '(?:^|\n)[\x20\t]*[-*•]')) > 9 * n_lines
       or 10 * len(regexp_extract_all(t, '(?:\.\.\.|…)[\x20\t]*(?:\n|$)')) > 3 * n_lines
-      or 10 * len(list_filter(ws, lambda w: not regexp_matches(w, '\p{{L}}'))) > 3 * n_words
+      or 10 * len(list_filter(ws, lambda w: not regexp_matches(w, '\p{{L}}'))) > 4 * n_words
       or 2 * length(regexp_replace(t, '[^\p{{Lu}}]', '', 'g')) > word_chars) as kept
   from judged""")
 def op10_quality_rules(spark, folder):

@@ -25,11 +25,11 @@ def plain(text):
         symbols > 0.1 * n
         or chars < 2 * n
         or chars > 15 * n
-        or dups > 0.3 * len(lines)
+        or dups > 0.4 * len(lines)
         or text.count("!") > 0.2 * n
         or len(re.findall(r"(?:^|\n)[\x20\t]*[-*•]", text)) > 0.9 * len(lines)
         or len(re.findall(r"(?:\.\.\.|…)[\x20\t]*(?:\n|$)", text)) > 0.3 * len(lines)
-        or letterless > 0.3 * n
+        or letterless > 0.4 * n
         or sum(c.isupper() for c in text) > 0.5 * chars
     )
     return (n, chars, symbols, dups, repeats, failed, not failed and not bad)
