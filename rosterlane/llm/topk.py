@@ -129,9 +129,10 @@ def exact_top_k(
     n_rows, n_asked = rows.count(), asked.count()
     vectors = packed(rows, VECTOR_BLOCK, n_rows, "vector_block")
     queries = packed(asked, QUERY_BLOCK, n_asked, "query_block")
-    # Both sides name the pair, so that no two pairs have to share a task.
-    met = every(vectors, "query_block", n_asked, QUERY_BLOCK).join(
-        every(queries, "vector_block", n_rows, VECTOR_BLOCK),
+    # Both sides name the pair, so that no two pairs have to share a task. Nothing is broadcast: the
+    # optimizer takes repeated blocks for as small as single ones.
+    met = every(vectors, "query_block", n_asked, QUERY_BLOCK).hint("merge").join(
+        every(queries, "vector_block", n_rows, VECTOR_BLOCK).hint("merge"),
         ["query_block", "vector_block", "dims"],
     )
 
