@@ -198,7 +198,7 @@ def redacted(docs: DataFrame, text: str = "text", mask: str = "[secret]") -> Dat
 
     Overlapping spans become one. A null text stays null.
     """
-    spans, parts = fresh(docs, "secret spans", "secret parts")
+    spans, parts, body = fresh(docs, "secret spans", "secret parts", "secret text")
     merged = (
         f"aggregate(`{spans}`, cast(array() as array<struct<start:int,end:int>>), (a, s) ->"
         " if(size(a) > 0 and a[size(a) - 1].end >= s.start,"
@@ -208,12 +208,13 @@ def redacted(docs: DataFrame, text: str = "text", mask: str = "[secret]") -> Dat
     )
     last = f"if(i = 0, 0, get(`{parts}`, i - 1).end)"
     kept = (
-        f"array_join(transform(`{parts}`, (s, i) -> substring(`{text}`, {last} + 1, s.start -"
-        f" {last})), '{mask}') || '{mask}' || substring(`{text}`, element_at(`{parts}`, -1).end + 1)"
+        f"array_join(transform(`{parts}`, (s, i) -> substring(`{body}`, {last} + 1, s.start -"
+        f" {last})), '{mask}') || '{mask}' || substring(`{body}`, element_at(`{parts}`, -1).end + 1)"
     )
-    found = secret_spans(docs, text, name=spans).withColumn(parts, F.expr(merged))
-    cleaned = F.expr(f"if(size(`{parts}`) > 0, {kept}, `{text}`)")
-    return found.withColumn(text, cleaned).drop(spans, parts)
+    # The text under a name that no variable of the expressions has.
+    found = secret_spans(docs.withColumn(body, F.col(f"`{text}`")), body, name=spans)
+    cleaned = F.expr(f"if(size(`{parts}`) > 0, {kept}, `{body}`)")
+    return found.withColumn(parts, F.expr(merged)).withColumn(text, cleaned).drop(spans, parts, body)
 
 
 def joined(spans: Column) -> Column:

@@ -2,6 +2,7 @@ import hashlib
 import math
 import re
 
+from helpers_llm import ordered
 from pyspark.sql import functions as F
 from rosterlane.llm import secrets
 
@@ -105,6 +106,9 @@ def test_redaction(spark, odd):
             want, at = want + (r["old"] or "")[at:start] + "[secret]", end
         assert r["t"] == (r["old"] if r["old"] is None else want + r["old"][at:])
     assert secrets.redacted(odd).columns == odd.columns
+    for name in ("s", "i", "a"):
+        renamed = secrets.redacted(odd.withColumnRenamed("text", name), name)
+        assert ordered(renamed.select(name).collect()) == ordered(secrets.redacted(odd).select("text").collect())
 
 
 def test_no_python_on_the_way(documents):
