@@ -1,9 +1,10 @@
 """Scans of texts for secrets, in SQL functions only.
 
 Three patterns give the base spans. The entropy method adds more: candidate strings are long runs of
-key-like characters; over each of them a window slides, whose Shannon entropy is kept up by adding
-the count of the character that enters and taking off the one that leaves. A candidate with a window
-above the threshold of its character class is a secret, unless an allow-list pattern explains it.
+hexadecimal digits, wherever they lie, and long runs of key-like characters; over each of them a
+window slides, whose Shannon entropy is kept up by adding the count of the character that enters and
+taking off the one that leaves. A candidate with a window above the threshold of its character class
+is a secret, unless an allow-list pattern explains it.
 
 Offsets are code points, ends exclusive.
 """
@@ -44,21 +45,31 @@ BASE = (
 
 @dataclass(frozen=True)
 class CharacterClass:
-    """Strings over ``alphabet`` with a window of more than ``bits`` Shannon entropy are secrets."""
+    """Strings over ``alphabet`` with a window of more than ``bits`` Shannon entropy are secrets.
+
+    ``candidate`` finds the strings, also inside longer ones of another class.
+    """
 
     kind: str
     regex: str
     alphabet: str
     bits: float
+    candidate: str
 
 
 DIGITS = "0123456789"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 CANDIDATE = r"[A-Za-z0-9+/=_-]{20,}"
 CLASSES = (
-    CharacterClass("hex_entropy", r"^[0-9A-Fa-f]+$", DIGITS + "abcdefABCDEF", 3.0),
     CharacterClass(
-        "base64_entropy", r"^[A-Za-z0-9+/=_-]+$", DIGITS + LOWER + LOWER.upper() + "+/=_-", 3.8
+        "hex_entropy", r"^[0-9A-Fa-f]+$", DIGITS + "abcdefABCDEF", 3.0, r"[0-9A-Fa-f]{20,}"
+    ),
+    CharacterClass(
+        "base64_entropy",
+        r"^[A-Za-z0-9+/=_-]+$",
+        DIGITS + LOWER + LOWER.upper() + "+/=_-",
+        3.8,
+        CANDIDATE,
     ),
 )
 WINDOW = 20
@@ -161,8 +172,9 @@ def secret_spans(
 ) -> DataFrame:
     """Add an array of all spans (start, place, end, kind), ordered by start, then kind as listed.
 
-    Base spans all stay; an entropy span is added unless a base span covers it. Null texts count as
-    empty and have no spans. Rows and their other columns stay as they are, repeated rows too.
+    Base spans all stay; an entropy span is added unless a base span or a longer entropy span covers
+    it. Null texts count as empty and have no spans. Rows and their other columns stay as they are,
+    repeated rows too.
     """
     body, found, random = fresh(docs, f"{name} body", f"{name} base", f"{name} random")
     base = [
@@ -172,7 +184,7 @@ def secret_spans(
     added = [
         matches(
             f"`{body}`",
-            CANDIDATE,
+            c.candidate,
             secret_condition(c, classes[:i], allowed),
             len(patterns) + i,
             c.kind,
@@ -187,7 +199,8 @@ def secret_spans(
     )
     uncovered = (
         f"filter(`{random}`, r -> not exists(`{found}`, b -> b.start <= r.start and"
-        " b.end >= r.end))"
+        f" b.end >= r.end) and not exists(`{random}`, b -> b.start <= r.start and"
+        " b.end >= r.end and b.end - b.start > r.end - r.start))"
     )
     spans = F.expr(f"sort_array(concat(`{found}`, {uncovered}))")
     return searched.withColumn(name, spans).drop(body, found, random)

@@ -111,6 +111,23 @@ def test_redaction(spark, odd):
         assert ordered(renamed.select(name).collect()) == ordered(secrets.redacted(odd).select("text").collect())
 
 
+def reported(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r["spans"] for r in secrets.secret_report(frame).orderBy("doc_id").collect()]
+
+
+def test_hex_inside_longer_runs(spark):
+    key = "9F86D081884C7D659A2FEAA0C55AD015"
+    around = [("", ""), ("id=", ""), ("sig=", ""), ("key/", "/x"), ("v1-", "-old"), ("x_", "_y")]
+    texts = [f"see {a}{key}{b} here" for a, b in around]
+    want = [f"hex_entropy:{4 + len(a)}:{4 + len(a) + len(key)}" for a, _ in around]
+    assert reported(spark, texts) == want
+    # A random run around it is one span.
+    token = "Zk3vQ9pLmN0rTs5uYwXb7eHdGa2cJf8K"
+    assert reported(spark, [f"{token}/{key}"]) == ["base64_entropy:0:65"]
+    assert reported(spark, ["id=" + "A" * 40, f"id={key[:19]}"]) == ["", ""]
+
+
 def test_no_python_on_the_way(documents):
     plan = secrets.secret_report(documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
