@@ -4,7 +4,7 @@ Three patterns give the base spans. The entropy method adds more: candidate stri
 hexadecimal digits, wherever they lie, and long runs of key-like characters; over each of them a
 window slides, whose Shannon entropy is kept up by adding the count of the character that enters and
 taking off the one that leaves. A candidate with a window above the threshold of its character class
-is a secret, unless an allow-list pattern explains it.
+is a secret. Windows that touch a match of an allow-list pattern are explained by it and do not count.
 
 Offsets are code points, ends exclusive.
 """
@@ -74,12 +74,13 @@ CLASSES = (
 )
 WINDOW = 20
 
-# Candidates that are no secrets: words and compounds, numbers, paths of words, placeholders.
+# What is no secret: words and compounds, numbers, paths of words, placeholders. Letters are words but
+# for segments of a window's length with a small letter between two capitals.
 ALLOWED = (
-    r"^[A-Za-z/_=-]+$",
+    r"^(?!(?:[A-Za-z/_=-]*[/_=-])?(?=[A-Za-z]{20})[A-Za-z]*[A-Z][a-z][A-Z])[A-Za-z/_=-]+$",
     r"^[0-9/+=_-]+$",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"(?i)example|placeholder|changeme|xxxx|0{8}|1234567",
+    r"(?i)example|placeholder|changeme|x{4,}|0{8,}|1234567",
 )
 
 SPANS = "array<struct<start:int,place:int,end:int,kind:string>>"
@@ -155,11 +156,16 @@ def literal(regex: str) -> str:
 def secret_condition(
     kind: CharacterClass, before: Sequence[CharacterClass], allowed: Sequence[str]
 ) -> str:
-    """SQL over a candidate ``z.m``: of this class and of none before, not allowed, and random."""
+    """SQL over a candidate ``z.m``: of this class and of none before, and random in a window that
+    touches no match of an allowed pattern."""
     tests = [f"z.m rlike {literal(kind.regex)}"]
     tests += [f"not z.m rlike {literal(other.regex)}" for other in before]
-    tests += [f"not z.m rlike {literal(pattern)}" for pattern in allowed]
-    return " and ".join([*tests, f"{window_entropy('z.m', kind.alphabet)} > {kind.bits}"])
+    parts = "array(z.m)"
+    if allowed:
+        explained = "|".join(f"(?:{pattern})" for pattern in allowed)
+        parts = f"filter(split(z.m, {literal(explained)}, -1), w -> length(w) >= {WINDOW})"
+    random = f"exists({parts}, w -> {window_entropy('w', kind.alphabet)} > {kind.bits})"
+    return " and ".join([*tests, random])
 
 
 def secret_spans(

@@ -128,6 +128,22 @@ def test_hex_inside_longer_runs(spark):
     assert reported(spark, ["id=" + "A" * 40, f"id={key[:19]}"]) == ["", ""]
 
 
+def test_allowed_part_of_a_run(spark):
+    token, key = "Zk3vQ9pLmN0rTs5uYwXb7eHdGa2cJf8K", "9F86D081884C7D659A2FEAA0C55AD015"
+    secret = [
+        f"/example/{token}", f"{token}_CHANGEME", f"{token}xxxxxx", f"00000000{token}/1234567",
+        "QwZxRtYpLkMnBvCsDfGhJqWe", "/usr/share/QwZxRtYpLkMnBvCsDfGhJqWe",
+    ]
+    assert reported(spark, secret) == [f"base64_entropy:0:{len(t)}" for t in secret]
+    assert reported(spark, [f"{key}00000000"]) == ["hex_entropy:0:40"]
+    explained = [
+        "/example/placeholder/changeme/words", "Zk3vQ9pLmN0rEXAMPLE5uYwXb7eHdG", "x" * 5000,
+        "/internationalization/of_the_Quick-brown/foxes", "AbstractSingletonProxyFactoryBeanJumps",
+        "org/quickBrownFoxJumpsOverTheLazyDog/McDyXz", "Z" * 100_000 + "/" + "z" * 100_000,
+    ]
+    assert reported(spark, explained) == [""] * len(explained)
+
+
 def test_no_python_on_the_way(documents):
     plan = secrets.secret_report(documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
