@@ -5,8 +5,9 @@ than once are extended to twice their length, and so on, until the wanted length
 candidate is left. A level only looks at one window inside each candidate, the one of the smallest
 hash, which equal candidates share: that is a small part of all windows.
 
-Documents are gathered into chunks by their id, so a chunk's place in the order of ids is known. What
-meets elsewhere are hashes: each chunk sends a hash once, dealt by its value, and hears which of its
+Documents are gathered into chunks by their id, so a chunk's place in the order of ids is known. A
+chunk of too many rows or bytes, as of one id or of none, is cut into parts along the order of its
+documents; each part is a chunk of its own. What meets elsewhere are hashes: each chunk sends a hash once, dealt by its value, and hears which of its
 hashes other chunks (on the last level: earlier chunks) have too. A passage that a third of all
 documents share is thereby sent once per chunk.
 """
@@ -20,15 +21,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterlane.llm.common import partitions
+from rosterlane.llm.common import kept_table, partitions
 from rosterlane.llm.words import mix, text_bytes, word_hashes
 
 WINDOW = 20
 FIRST = 5
 # Documents with ids of one such range form a chunk.
 CHUNK_IDS = 256
-QUESTION = "bucket long, chunk long, hashes binary"
-ANSWER = "chunk long, hashes binary"
+# Rows and bytes of text of a chunk at most; a longer text is a chunk by itself.
+CHUNK_ROWS = 4096
+CHUNK_BYTES = 16 << 20
+# Characters of a text that range bounds are made of.
+PREFIX = 1000
+QUESTION = "bucket long, chunk long, part long, hashes binary"
+ANSWER = "chunk long, part long, hashes binary"
 RESULT = "doc_id long, n_words long, removed_spans array<struct<start:int,end:int>>, text string"
 LEFT, RIGHT = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
@@ -90,7 +96,7 @@ def in_order(ids: list[int | None], texts: list[str | None]) -> list[int]:
     )
 
 
-def sent(chunk: int, hashes: np.ndarray, buckets: int) -> pa.Table:
+def sent(key: tuple, hashes: np.ndarray, buckets: int) -> pa.Table:
     """A chunk's distinct hashes, a row per bucket."""
     hashes = np.unique(hashes)
     bucket = (hashes >> np.uint64(33)) % np.uint64(buckets)
@@ -98,10 +104,12 @@ def sent(chunk: int, hashes: np.ndarray, buckets: int) -> pa.Table:
     hashes, bucket = hashes[order], bucket[order]
     used, starts = np.unique(bucket, return_index=True)
     parts = np.split(hashes, starts[1:]) if len(used) else []
+    chunk, part = (k.as_py() for k in key)
     return pa.table({
         "bucket": pa.array(used.astype(np.int64)),
         "chunk": pa.array([chunk] * len(used), pa.int64()),
-        "hashes": pa.array([part.tobytes() for part in parts], pa.binary()),
+        "part": pa.array([part] * len(used), pa.int64()),
+        "hashes": pa.array([p.tobytes() for p in parts], pa.binary()),
     })
 
 
@@ -111,7 +119,9 @@ def answered(table: pa.Table, later_only: bool) -> pa.Table:
     ``later_only``: the first of the chunks does not hear of a hash.
     """
     blobs = table["hashes"].to_pylist()
-    chunks = np.repeat(table["chunk"].to_numpy(), [len(b) // 8 for b in blobs])
+    places = np.column_stack([table["chunk"].to_numpy(), table["part"].to_numpy()])
+    places, number = np.unique(places, axis=0, return_inverse=True)
+    chunks = np.repeat(number.ravel(), [len(b) // 8 for b in blobs])
     hashes = np.frombuffer(b"".join(blobs), np.uint64)
     order = np.lexsort((chunks, hashes))
     hashes, chunks = hashes[order], chunks[order]
@@ -130,8 +140,9 @@ def answered(table: pa.Table, later_only: bool) -> pa.Table:
     used, starts = np.unique(chunks, return_index=True)
     parts = np.split(hashes, starts[1:]) if len(used) else []
     return pa.table({
-        "chunk": pa.array(used.astype(np.int64)),
-        "hashes": pa.array([part.tobytes() for part in parts], pa.binary()),
+        "chunk": pa.array(places[used, 0], pa.int64()),
+        "part": pa.array(places[used, 1], pa.int64()),
+        "hashes": pa.array([p.tobytes() for p in parts], pa.binary()),
     })
 
 
@@ -167,7 +178,7 @@ def asking(lengths: list[int], buckets: int):
     """What a chunk sends on the first level."""
 
     def ask(key: tuple, texts: pa.Table) -> pa.Table:
-        return sent(key[0].as_py(), questions(texts, None, lengths, 0), buckets)
+        return sent(key, questions(texts, None, lengths, 0), buckets)
 
     return ask
 
@@ -176,7 +187,7 @@ def asking_on(lengths: list[int], buckets: int, level: int):
     """What a chunk sends on a later level, having heard of the one before."""
 
     def ask(key: tuple, texts: pa.Table, told: pa.Table) -> pa.Table:
-        return sent(key[0].as_py(), questions(texts, told, lengths, level), buckets)
+        return sent(key, questions(texts, told, lengths, level), buckets)
 
     return ask
 
@@ -220,8 +231,83 @@ def cleaned(table: pa.Table, told: pa.Table, lengths: list[int]) -> pa.Table:
     })
 
 
+def numbering(rows_at_most: int, bytes_at_most: int):
+    """Numbers the parts of chunks in sorted rows; ``part`` holds the task and becomes its number."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, part, rows, size = None, 0, 0, 0
+        for batch in batches:
+            found = []
+            tasks, chunks = batch["part"].to_pylist(), batch["chunk"].to_pylist()
+            for task, at, more in zip(tasks, chunks, batch["size"].to_pylist(), strict=True):
+                if at != chunk or rows >= rows_at_most or size + more > bytes_at_most:
+                    chunk, part, rows, size = at, part + 1, 0, 0
+                rows, size = rows + 1, size + more
+                found.append((task << 32) + part)
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], batch["text"], batch["chunk"], pa.array(found, pa.int64())],
+                ["doc_id", "text", "chunk", "part"],
+            )
+
+    return number
+
+
+def in_chunks(
+    docs: DataFrame, chunk_ids: int, chunk_rows: int, chunk_bytes: int
+) -> DataFrame:
+    """(doc_id, text, chunk, part): every row's chunk and the part of it, ordered as documents are.
+
+    Chunks within the bounds are one part. The rows of others are dealt by ranges of the order, sorted,
+    and numbered in turn. Range bounds hold a text's first characters; rows equal in id and text, if
+    not longer than those, are dealt further by the task that reads them, so one id and text may fill
+    several ranges. These rows are written to the shared folder, as numbers must not change.
+    """
+    spark = docs.sparkSession
+    chunk = F.coalesce(F.floor(F.col("doc_id") / chunk_ids), F.lit(-(1 << 62))).cast("long")
+    body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("chunk", chunk)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    large = (
+        body.groupBy("chunk")
+        .agg(F.count("*").alias("rows"), F.sum(size).alias("bytes"))
+        .where((F.col("rows") > 1) & ((F.col("rows") > chunk_rows) | (F.col("bytes") > chunk_bytes)))
+    )
+    rows, total = large.agg(F.sum("rows"), F.sum("bytes")).first()
+    whole = body.withColumn("part", F.lit(0).cast("long"))
+    if not rows:
+        return whole
+    large = kept_table(large.select("chunk"), "large-chunks")
+    known = F.coalesce("text", F.lit(""))
+    ranges = min(partitions(spark), 1 + rows // chunk_rows + total // chunk_bytes)
+    sized = body.join(large, "chunk", "left_semi").select(
+        "doc_id",
+        "text",
+        "chunk",
+        size.alias("size"),
+        F.substring(known, 1, PREFIX).alias("prefix"),
+        # Texts that go on after the prefix follow those that end there.
+        F.when(F.length(known) <= PREFIX, F.spark_partition_id())
+        .otherwise(F.lit((1 << 31) - 1))
+        .alias("copy"),
+    )
+    ordered = sized.repartitionByRange(
+        ranges, "chunk", "doc_id", "prefix", "copy"
+    ).sortWithinPartitions("chunk", "doc_id", known)
+    cut = ordered.select(
+        "doc_id", "text", "chunk", "size", F.spark_partition_id().cast("long").alias("part")
+    ).mapInArrow(
+        numbering(chunk_rows, chunk_bytes), "doc_id long, text string, chunk long, part long"
+    )
+    small = whole.join(large, "chunk", "left_anti").select("doc_id", "text", "chunk", "part")
+    return small.unionByName(kept_table(cut, "cut-chunks"))
+
+
 def without_repeats(
-    docs: DataFrame, window: int = WINDOW, first: int = FIRST, chunk_ids: int = CHUNK_IDS
+    docs: DataFrame,
+    window: int = WINDOW,
+    first: int = FIRST,
+    chunk_ids: int = CHUNK_IDS,
+    chunk_rows: int = CHUNK_ROWS,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """(doc_id, n_words, removed_spans, text): every text without the words of repeated windows.
 
@@ -232,22 +318,22 @@ def without_repeats(
     space. Null texts count as empty; every row comes back.
 
     Windows are compared by 64-bit hashes. Documents are shuffled once, by chunk, and every level
-    reads that shuffle again.
+    reads that shuffle again. A task works on one chunk at a time, of ``chunk_rows`` rows and
+    ``chunk_bytes`` bytes of text at most, or of one text.
     """
     spark = docs.sparkSession
     lengths = levels(window, first)
     # Two for each task, to even out what a task gets.
     buckets = 2 * partitions(spark)
-    chunk = F.coalesce(F.floor(F.col("doc_id") / chunk_ids), F.lit(-(1 << 62))).cast("long")
-    body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    chunked = body.withColumn("chunk", chunk).repartition(partitions(spark), "chunk")
-    by_chunk = chunked.groupBy("chunk")
+    place = ["chunk", "part"]
+    rows = in_chunks(docs, chunk_ids, chunk_rows, chunk_bytes)
+    by_chunk = rows.repartition(partitions(spark), *place).groupBy(*place)
     answers = None
     for level in range(len(lengths)):
         if answers is None:
             asked = by_chunk.applyInArrow(asking(lengths, buckets), QUESTION)
         else:
-            asked = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(
+            asked = by_chunk.cogroup(answers.groupBy(*place)).applyInArrow(
                 asking_on(lengths, buckets, level), QUESTION
             )
         answering = answered_last if level == len(lengths) - 1 else answered_all
@@ -256,4 +342,4 @@ def without_repeats(
     def clean(key: tuple, texts: pa.Table, told: pa.Table) -> pa.Table:
         return cleaned(texts, told, lengths)
 
-    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(clean, RESULT)
+    return by_chunk.cogroup(answers.groupBy(*place)).applyInArrow(clean, RESULT)

@@ -60,6 +60,29 @@ def test_documents_are_shuffled_once(documents):
     assert plan.count("ReusedExchange") == 3
 
 
+@pytest.mark.parametrize("chunk_rows, chunk_bytes", [(3, 1 << 20), (1000, 400)])
+def test_hot_ids_are_cut(spark, chunk_rows, chunk_bytes):
+    passage = " ".join(f"w{i}" for i in range(30))
+    texts = [f"{passage} {i % 7} {'z ' * 600}{passage}" for i in range(12)]
+    texts += [f"t{i % 5} {passage}" for i in range(20)] + [None, "", passage, passage]
+    rows = [(k, text) for k in (None, 3) for text in texts] + [(i, passage) for i in range(-3, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    bounds = {"chunk_ids": 4, "chunk_rows": chunk_rows, "chunk_bytes": chunk_bytes}
+    parts = {}
+    for r in repeats.in_chunks(docs, **bounds).collect():
+        parts.setdefault((r["chunk"], r["part"]), []).append(r)
+    for found in parts.values():
+        assert len(found) <= chunk_rows
+        assert len(found) == 1 or sum(len(r["text"] or "") for r in found) <= chunk_bytes
+
+    def place(row):
+        return row[0] is not None, row[0] or 0, row[1] or ""
+
+    in_turn = [p for key in sorted(parts) for p in sorted(place(r) for r in parts[key])]
+    assert in_turn == sorted(place(r) for r in rows)
+    assert got(docs, **bounds) == brute(rows, 20)
+
+
 def test_levels_double():
     assert repeats.levels(20, 5) == [5, 10, 20]
     assert repeats.levels(20, 6) == [6, 12, 20]
