@@ -50,7 +50,8 @@ def base32_sha1(payload: Column) -> Column:
 
 def reversed_key(url: str | None, page_id: int | None) -> str:
     """Sort key of a capture: host labels from the last to the first, port, path and query, then the
-    page. Scheme, user and fragment do not count; a URL without a host keeps its text."""
+    page. Scheme, user and fragment do not count; a URL without a host keeps its text. What separates
+    fields or lines of the index is escaped."""
     text = (url or "").strip()
     try:
         parts = urlsplit(text)
@@ -64,7 +65,8 @@ def reversed_key(url: str | None, page_id: int | None) -> str:
         place = f"{site}{port}){parts.path or '/'}{query}"
     else:
         place = text
-    place = place.replace(" ", "%20").replace("\n", "%0A").replace("\r", "%0D")
+    for character in "% \t\n\r":
+        place = place.replace(character, f"%{ord(character):02X}")
     number = "-" if page_id is None else f"{page_id + (1 << 63):020d}"
     return f"{place} {number}"
 
@@ -371,10 +373,14 @@ def archived(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
     page's records back through the index: the rows of ``read_records``.
 
     Null URLs and payloads count as empty, repeated rows are archived as often as they occur, and an
-    empty table writes no file and gives no row. Other columns are left out.
+    empty table writes no file and gives no row. Other columns are left out. A record that the index
+    does not find again is an error.
     """
     folder = qualified(pages.sparkSession, folder)
     captures = write_archives(with_revisits(pages, min_bytes), f"{folder}/archives")
     index = write_index(captures, f"{folder}/index")
-    found = find_captures(pages, index, f"{folder}/index")
+    found = kept_table(find_captures(pages, index, f"{folder}/index"), "found")
+    n_written, n_found = captures.count(), found.count()
+    if n_found != n_written:
+        raise ValueError(f"{n_written} records archived, but {n_found} found by the index")
     return read_records(found, f"{folder}/archives")

@@ -95,5 +95,22 @@ def test_keys_sort_hosts_together():
     assert warc.reversed_key("u", -2) < warc.reversed_key("u", -1) < warc.reversed_key("u", 3)
 
 
+def test_urls_without_host(spark, tmp_path):
+    urls = ["a\tb", "a%09b", "a%2509b", "mailto:x\ty@z", "\t/p\tq\t", "http://a.b:99999/\tx", "http://[a\tb", "a b", "a\r\n\tb"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").selectExpr("page_id", "url", "concat('p', page_id) as html")
+    found = warc.archived(pages, str(tmp_path)).collect()
+    assert sorted(bytes(r["payload"]).decode() for r in found) == [f"p{i}" for i in range(len(urls))]
+    keys = [warc.reversed_key(u, 1) for u in urls if u.strip() == u]
+    assert len(set(keys)) == len(keys) and not any("\t" in k for k in keys)
+
+
+def test_lost_record_is_an_error(spark, tmp_path, monkeypatch):
+    pages = spark.createDataFrame([(i, f"http://a.b/{i}", "x") for i in range(9)], "page_id long, url string, html string")
+    find = warc.find_captures
+    monkeypatch.setattr(warc, "find_captures", lambda wanted, *rest: find(wanted.where("page_id <> 4"), *rest))
+    with pytest.raises(ValueError, match="9 records archived, but 8 found"):
+        warc.archived(pages, str(tmp_path))
+
+
 def test_empty_table(pages, tmp_path):
     assert warc.archived(pages.where("page_id = -99"), str(tmp_path)).count() == 0
