@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterlane.llm.words import SPACE_BYTES, text_bytes, word_hashes
@@ -24,6 +24,8 @@ from rosterlane.llm.words import SPACE_BYTES, text_bytes, word_hashes
 # Documents to train on at most, and lines that a document to train on may have at most.
 TRAIN_DOCS = 4000
 TRAIN_LINES = 300
+# Different texts of one id to train on at most.
+TRAIN_TEXTS = 4
 STEPS = 200
 RATE = 0.1
 RIDGE = 1e-4
@@ -222,7 +224,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, docs_at_most: int, lines_a
     """(quality, own, lengths): features of a sample of labelled documents, chosen by a hash.
 
     Only labels whose crc32(doc_id as text) mod 3 is not 1 are used; of repeated labels of a document
-    the mean counts. Documents of more lines than ``lines_at_most`` are not trained on.
+    the mean counts. Documents of more lines than ``lines_at_most`` are not trained on; of rows of one
+    id, each text counts once, and at most TRAIN_TEXTS texts, chosen by a hash.
     """
     usable = labels.where("quality is not null and doc_id is not null").where(~held_out("doc_id"))
     chosen = (
@@ -235,6 +238,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, docs_at_most: int, lines_a
     body = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     sample = body.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
     short = sample.where(F.size(F.split("text", "\n", -1)) <= lines_at_most)
+    of_id = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    few = (
+        short.select("quality", "text", "doc_id")
+        .distinct()
+        .withColumn("place", F.row_number().over(of_id))
+        .where(F.col("place") <= TRAIN_TEXTS)
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,7 +259,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, docs_at_most: int, lines_a
                 ["quality", "own", "lengths", "doc_id"],
             )
 
-    return short.select("quality", "text", "doc_id").mapInArrow(
+    return few.select("quality", "text", "doc_id").mapInArrow(
         run, "quality int, own binary, lengths binary, doc_id long"
     )
 

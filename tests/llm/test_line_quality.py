@@ -71,6 +71,15 @@ def test_odd_rows_and_no_labels(spark, odd):
     assert q.scored(odd.where("doc_id > 100"), labels, "quality").count() == 0
 
 
+def test_sample_of_repeated_ids_is_bounded(spark):
+    ids = [i for i in range(20) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(ids[0], f"text {i % 50}") for i in range(500)] + [(ids[1], "same")] * 300 + [(i, "one") for i in ids[2:]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    found = [r["doc_id"] for r in q.training_rows(docs, labels, 100, 300).collect()]
+    assert {i: found.count(i) for i in ids} == {i: 1 for i in ids} | {ids[0]: q.TRAIN_TEXTS}
+
+
 def test_long_chains():
     text = "good line here.\n" * 3000
     lines = lines_of([text, "x"])
