@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +65,14 @@ def kept_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def per_worker(name: str, build: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task; the package itself travels with each of them."""
+    kept = sys.__dict__.setdefault("_rosterlane_kept", {})
+    if name not in kept:
+        kept[name] = build()
+    return kept[name]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

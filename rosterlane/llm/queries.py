@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rosterlane.llm import (
     line_quality,
     mixing,
+    packing,
     pieces,
     quality_rules,
     repeats,
@@ -174,3 +175,11 @@ def op3_pieces(spark, folder):
 def op4_token_counts(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return token_counts.with_token_counts(docs).select("doc_id", "n_tokens")
+
+
+@query()
+def op13_packing(spark, folder):
+    sequences = packing.packed(table(spark, folder, "documents"))
+    return sequences.select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
