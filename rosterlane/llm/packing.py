@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import os
 import re
-import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -64,8 +64,33 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = self.plain_letters()
         self.known: dict[str, bytes] = {}
 
+    def plain_letters(self) -> dict[int, str] | None:
+        """Of the Latin letters, how each is spelled in the vocabulary. None if the tokenizer does not
+        lower-case letters and take a run of them as one word: then it has to see every word itself."""
+        normal, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        letters = [c for c in map(chr, range(256)) if c.isalpha()]
+        lowered = "".join(letters).lower()
+        if normal is None or cut is None or normal.normalize_str("".join(letters)) != lowered:
+            return None
+        spelled = {ord(c): "".join(p for p, _ in cut.pre_tokenize_str(c)) for c in lowered}
+        whole = [p for p, _ in cut.pre_tokenize_str(lowered)]
+        return spelled if whole == [lowered.translate(spelled)] else None
+
+    def learn(self, words: list[str]) -> None:
+        known, spelled, others = self.known, self.letters, []
+        for word in words:
+            if spelled is not None and word.isalpha() and max(word) <= "\xff":
+                tokens = self.model.tokenize(word.lower().translate(spelled))
+                known[word] = array("I", [t.id for t in tokens]).tobytes()
+            else:
+                others.append(word)
+        for word, ids in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
+            known[word] = array("I", ids.ids).tobytes()
+
     def encode(self, words: list[str]) -> bytes:
         if len(self.known) > REMEMBERED:
             self.known.clear()
@@ -73,12 +98,10 @@ class WordIds:
         new = set(words).difference(known)
         if new:
             # Signs after a letter are tokens of their own.
-            cores = {w: w.rstrip(TAIL) for w in new}
-            cores = {w: c for w, c in cores.items() if c != w and c and c[-1].isascii() and c[-1].isalpha()}
+            cores = {w: w.rstrip(TAIL) for w in new if w[-1] in TAIL}
+            cores = {w: c for w, c in cores.items() if c and c[-1].isascii() and c[-1].isalpha()}
             tails = {w[len(c) :] for w, c in cores.items()}
-            asked = list((new - cores.keys()).union(cores.values(), tails).difference(known))
-            for word, ids in zip(asked, self.tokenizer.encode_batch_fast(asked, add_special_tokens=False)):
-                known[word] = np.array(ids.ids, "<u4").tobytes()
+            self.learn([*(new - cores.keys()).union(cores.values(), tails).difference(known)])
             for word, core in cores.items():
                 known[word] = known[core] + known[word[len(core) :]]
         return b"".join(map(known.__getitem__, words))
@@ -92,7 +115,8 @@ class WordIds:
                 space = ASCII_SPACE.search(text, end)
                 end = space.start() if space else len(text)
             part = text[at:end] if at or end < len(text) else text
-            yield self.encode(ASCII_SPACE.split(part.strip(" \t\n\r")) if SEPARATORS.search(part) else part.split())
+            cut = ASCII_SPACE.split(part) if SEPARATORS.search(part) else part.split()
+            yield self.encode([word for word in cut if word] if "" in cut[:1] + cut[-1:] else cut)
             at = end
 
 
