@@ -16,6 +16,7 @@ from rosterlane.llm import (
     repeats,
     secrets,
     simhash,
+    spelling,
     token_counts,
     topk,
     warc,
@@ -183,3 +184,49 @@ def op13_packing(spark, folder):
     return sequences.select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
+
+
+def crc32_sql(values: str) -> str:
+    """The CRC-32 of a list of byte values: each is mixed in, then eight times a bit is shifted out."""
+    steps = f"flatten(list_transform({values}, lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    shifted = "xor(c >> 1, 3988292384 * (c & 1))"
+    return f"""xor(4294967295, list_reduce({steps},
+      lambda c, x: case when x >= 0 then xor(c, x) else {shifted} end, 4294967295))"""
+
+
+LATIN_BYTES_SQL = """flatten(list_transform(string_split({0}, ''),
+  lambda l: case when ord(l) < 128 then [ord(l)::bigint] else [195::bigint, (ord(l) - 64)::bigint] end))"""
+
+
+@query(rf"""with recursive runs as (
+    select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+    from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) as run from documents)),
+  counted as (select doc_id, run, count(*) as n from runs where length(run) >= 5 group by doc_id, run),
+  hashed as (select run, n,
+    {crc32_sql(LATIN_BYTES_SQL.format("(coalesce(doc_id::varchar, '') || ':' || run)"))} as h from counted),
+  lost as (select n, case when h % 97 = 0
+      then left(run, (h % length(run))::int) || substr(run, (h % length(run))::int + 2)
+      else run end as word from hashed),
+  words as (select word, sum(n)::bigint as n from lost where length(word) >= 5
+    group by word having sum(n) >= 3),
+  gaps as (select word, n, unnest(range(1, length(word) + 1)) as i from words),
+  patterns as (select word, n, i, left(word, (i - 1)::int) || '_' || substr(word, i + 1) as pattern,
+    left(word, (i - 1)::int) || substr(word, i + 1) as shorter from gaps),
+  near as (
+    select a.word, b.word as other, b.n as other_n from patterns a join patterns b
+      on a.pattern = b.pattern and a.i = b.i and a.word <> b.word
+    union select p.word, w.word, w.n from patterns p join words w on p.shorter = w.word
+    union select w.word, p.word, p.n from patterns p join words w on p.shorter = w.word),
+  ranked as (select *, count(*) over (partition by word) as n_near,
+    row_number() over (partition by word order by other_n desc, other) as place from near),
+  formed as (select words.word, n, coalesce(n_near, 0)::bigint as n_near,
+      case when other_n >= 2 * n then other end as form, case when other_n >= 2 * n then other_n end as form_n
+    from words left join ranked on ranked.word = words.word and place = 1),
+  path as (
+    select word, word as at from formed
+    union all select path.word, form from path join formed on formed.word = path.at where form is not null),
+  roots as (
+    select path.word, path.at as root from path join formed on formed.word = path.at where form is null)
+  select formed.word, form, root, n, n_near, form_n from formed join roots on roots.word = formed.word""")
+def op12_spelling(spark, folder):
+    return spelling.variant_groups(table(spark, folder, "documents"))
