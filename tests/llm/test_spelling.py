@@ -66,7 +66,7 @@ def variants(spark):
     rows = [(i, " ".join(rng.choice(words, 60)) + ", " + words[i].upper()) for i in range(100)]
     rows += [(1000 + i, " ".join([w] * (3 * 2**i))) for i, w in enumerate(chain)]
     rows += [(2000, "\n".join(w for w in long_words for _ in range(3)))] * 2
-    rows += [(None, None), (3000, None), (3001, ""), (None, "nokey nokez nokey nokez nokey nokez Ωωnokey"), (5, "a b c")]
+    rows += [(None, None), (3000, None), (3001, ""), (None, "nokey nokez nokey nokez nokey nokez Ωωnokey"), (4000, "a b c")]
     return spark.createDataFrame([(*r, "x", 1, b"w") for r in rows], "doc_id long, text string, word string, n int, w binary")
 
 
@@ -118,4 +118,4 @@ def test_empty_tables(spark, variants):
     found = spelling.variant_groups(variants.where("doc_id < 0"))
     assert found.collect() == []
     assert found.columns == ["word", "form", "root", "n", "n_near", "form_n"]
-    assert spelling.variant_groups(variants.where("doc_id = 5")).collect() == []
+    assert spelling.variant_groups(variants.where("doc_id = 4000")).collect() == []
