@@ -12,6 +12,7 @@ from rosterlane.llm import (
     mixing,
     packing,
     pieces,
+    prefix_tree,
     quality_rules,
     repeats,
     secrets,
@@ -230,3 +231,52 @@ LATIN_BYTES_SQL = """flatten(list_transform(string_split({0}, ''),
   select formed.word, form, root, n, n_near, form_n from formed join roots on roots.word = formed.word""")
 def op12_spelling(spark, folder):
     return spelling.variant_groups(table(spark, folder, "documents"))
+
+
+ASCII_BYTES_SQL = "list_transform(string_split({0}, ''), lambda l: ord(l)::bigint)"
+
+
+@query(f"""with own as (
+    select conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, ''))
+      order by turn nulls first, role, text) as turns
+    from conversations where conv_id is not null group by conv_id),
+  hashed as (select *, {crc32_sql(ASCII_BYTES_SQL.format("conv_id::varchar"))} % 6 as h from own),
+  built as (
+    select c.conv_id, list_concat(coalesce(list_slice(base.turns, 1, c.h), []), list_slice(c.turns, c.h + 1, len(c.turns))) as turns
+    from hashed c left join own base on base.conv_id = c.conv_id - c.conv_id % 100),
+  prefixes as (
+    select conv_id, unnest(range(0, len(turns) + 1)) as depth, turns from built),
+  named as (
+    select conv_id, depth, list_slice(turns, 1, depth)::varchar as node, list_slice(turns, 1, depth - 1)::varchar as above,
+      case when depth > 0 then length(turns[depth].text) else 0 end as chars, depth = len(turns) as ending
+    from prefixes),
+  nodes as (
+    select depth, node, any_value(above) as above, any_value(chars) as chars, min(conv_id) as conv_id, count(*) as n_convs,
+      string_agg(conv_id::varchar, ',' order by conv_id) filter (ending) as ended
+    from named group by depth, node),
+  kids as (select depth - 1 as depth, above as node, count(*) as n_children from nodes where depth > 0 group by 1, 2),
+  counted as (
+    select nodes.*, coalesce(n_children, 0) as n_children from nodes left join kids using (depth, node)),
+  -- Every node counts for the nodes on the path of its first conversation.
+  paths as (
+    select upper.depth, upper.node, sum((n_convs - 1) * counted.chars) as saved, sum((n_children = 0)::int) as leaves
+    from counted join named upper on upper.conv_id = counted.conv_id and upper.depth <= counted.depth
+    group by upper.depth, upper.node)
+  select c.conv_id, c.depth::bigint as depth, p.conv_id as parent_conv_id, c.n_convs, c.n_children,
+    paths.leaves::bigint as n_leaves, paths.saved::bigint as saved_tokens, sha256(coalesce(c.ended, '')) as ends_sha256
+  from counted c join paths using (depth, node)
+    left join counted p on p.depth = c.depth - 1 and p.node = c.above and c.depth > 0""")
+def op11_prefix_tree(spark, folder):
+    tree = prefix_tree.prefix_tree(table(spark, folder, "conversations"))
+    ended = prefix_tree.end_digests(tree.ends)
+    none = F.sha2(F.lit(""), 256)
+    return tree.nodes.join(ended.hint("merge"), "node", "left").select(
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        F.coalesce("ends_sha256", none).alias("ends_sha256"),
+    )
