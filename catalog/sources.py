@@ -70,6 +70,60 @@ def roster_scan(t):
     )
 
 
+SHEET_SQL = """select lpad(c_custkey::varchar,9,'0') as tax_id, c_name as name,
+  case when c_acctbal<0 then null else c_mktsegment end as wave, c_custkey as seq"""
+
+
+def sheet(t, rows="true", **more):
+    """The roster sheet with its columns backwards and ``more`` among them."""
+    segment = F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment"))
+    columns = {
+        "ingest_seq": F.col("c_custkey"),
+        "Wave": segment,
+        "Provider Name": F.col("c_name"),
+        **more,
+        "Provider TAX ID": F.lpad(F.col("c_custkey").cast("string"), 9, "0"),
+    }
+    return t.customer.where(rows).select(*(c.alias(n) for n, c in columns.items()))
+
+
+def read_back(t, path):
+    roster = read_table(t.spark, path, schemas.ROSTER, "csv", required=["Provider TAX ID"])
+    read = roster.select("Provider TAX ID", "Provider Name", "Wave", "ingest_seq", "Provider City")
+    return read.toDF("tax_id", "name", "wave", "seq", "city")
+
+
+@query(f"{SHEET_SQL}, null::varchar as city from customer")
+def sheet_reordered(t):
+    """A sheet with its columns in another order and without most of them."""
+    path = fresh_folder(t.spark, "sheet")
+    sheet(t).write.option("header", True).csv(path)
+    return read_back(t, path)
+
+
+@query(f"{SHEET_SQL}, 'city ' || c_nationkey as city from customer")
+def sheet_extra_columns(t):
+    """Columns that the schema does not name, one of them without a name."""
+    path = fresh_folder(t.spark, "sheet")
+    city = F.concat(F.lit("city "), "c_nationkey")
+    more = {"Comment": F.col("c_acctbal"), "": F.col("c_name"), "Provider City": city}
+    sheet(t, **more).write.option("header", True).csv(path)
+    return read_back(t, path)
+
+
+@query(f"{SHEET_SQL}, case when c_custkey % 3 = 1 then c_name end as city from customer")
+def sheet_mixed_headers(t):
+    """Files of three layouts in one folder, a number in one where another has text."""
+    path = fresh_folder(t.spark, "sheet")
+    sheet(t, "c_custkey % 3 = 0").write.option("header", True).csv(path)
+    more = {"Provider City": F.col("c_name"), "x": F.lit(1)}
+    sheet(t, "c_custkey % 3 = 1", **more).write.mode("append").option("header", True).csv(path)
+    last = sheet(t, "c_custkey % 3 = 2")
+    last = last.select(*reversed(last.columns))
+    last.write.mode("append").option("header", True).csv(path)
+    return read_back(t, path)
+
+
 @query("""select floor(o_orderkey/4)::bigint as submitter, case when o_orderpriority not in
   ('1-URGENT','4-NOT SPECIFIED') then o_custkey+100000000 end as tax_id, o_orderkey as seq
   from orders""")

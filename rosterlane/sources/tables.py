@@ -5,6 +5,8 @@ The filters and projections are plain predicates on the scan, so they are pushed
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,7 @@ from rosterlane.functions.ids import normalize_id
 from rosterlane.functions.text import any_of, contains_ci, trim_ws
 from rosterlane.operators.columns import quoted
 from rosterlane.operators.joins import keep_matching
+from rosterlane.sources.sheets import read_sheets
 
 
 def read_table(
@@ -22,19 +25,22 @@ def read_table(
     schema: T.StructType,
     file_format: str = "parquet",
     line_breaks: bool = False,
+    required: Sequence[str] = (),
 ) -> DataFrame:
     """Landed sheet or table with its declared types: nothing is inferred, identifiers stay text.
 
-    CSV has a header line, and quotes within quotes are doubled, as spreadsheets and this library's
+    Columns are bound by name, whatever their order in the file: those the schema does not name are
+    left out, those a file does not have are null, unless they are ``required``, which raises. CSV has a
+    header line in every file, and quotes within quotes are doubled, as spreadsheets and this library's
     own reports write them; a value that does not fit the schema raises. ``line_breaks`` allows them
     within quotes, at the price that a file can't be split over tasks.
     """
-    reader = spark.read.schema(schema)
     if file_format == "csv":
-        reader = reader.options(
-            header=True, mode="FAILFAST", enforceSchema=False, escape='"', multiLine=line_breaks
-        )
-    return reader.format(file_format).load(path)
+        return read_sheets(spark, path, schema, line_breaks, required)
+    absent = set(required).difference(spark.read.format(file_format).load(path).columns) if required else ()
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(sorted(absent))}")
+    return spark.read.schema(schema).format(file_format).load(path)
 
 
 def learning_enrolments(enrolments: DataFrame, plans: tuple[str, ...]) -> DataFrame:

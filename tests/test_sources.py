@@ -86,6 +86,56 @@ def test_sheet_that_does_not_fit_raises(spark, tmp_path):
         read_table(spark, str(tmp_path), schemas.FORM, "csv").collect()
 
 
+SHEET = T.StructType().add("id", "string").add("n", "long").add("note", "string")
+
+
+@pytest.mark.parametrize("line_breaks", [False, True])
+def test_sheets_are_bound_by_their_own_header(spark, tmp_path, line_breaks):
+    """Every file in its own layout; a file name with signs that mean something in paths and URLs."""
+    (tmp_path / "a.csv").write_text("id,n,note\n001,1,x\n")
+    (tmp_path / "b [1] +%20.csv").write_text('note,"n","id",more\n"a, ""b""",2,002,zzz\n')
+    (tmp_path / "c.csv").write_text("\ufeffid\r\n003\r\n")
+    (tmp_path / "d.csv").write_text("n,id,n,,\n4,004,not a number,,\n")
+    (tmp_path / "e.csv").write_text("")
+    (tmp_path / "f.csv").write_text("ID,N\n005,5\n")
+    (tmp_path / "g.csv").write_text("note,n,id\n")
+    read = read_table(spark, str(tmp_path), SHEET, "csv", line_breaks)
+    assert read.columns == ["id", "n", "note"]
+    assert rows(read) == sorted(
+        [("001", 1, "x"), ("002", 2, 'a, "b"'), ("003", None, None), ("004", 4, None), (None, None, None)], key=repr
+    )
+    assert rows(read.where("n > 1"), "id") == [("002",), ("004",)]
+
+
+def test_sheet_with_line_breaks_in_its_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"no\nte",id,n\n"x\ny",1,2\n')
+    read = read_table(spark, str(tmp_path), T.StructType().add("no\nte", "string").add("n", "long"), "csv", True)
+    assert rows(read) == [("x\ny", 2)]
+
+
+def test_required_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,n\n1,2\n")
+    (tmp_path / "b.csv").write_text("n,note\n1,2\n")
+    assert read_table(spark, str(tmp_path), SHEET, "csv", required=["n"]).count() == 2
+    with pytest.raises(ValueError, match="no column id"):
+        read_table(spark, str(tmp_path), SHEET, "csv", required=["id"])
+    spark.range(1).write.parquet(str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="no column n"):
+        read_table(spark, str(tmp_path / "t"), SHEET, required=["id", "n"])
+
+
+def test_extra_columns_are_not_parsed(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("more,id,n\nx,1,2\n")
+    read = read_table(spark, str(tmp_path), SHEET, "csv").select("id")
+    assert "ReadSchema: struct<id:string>" in plan(read) and rows(read) == [("1",)]
+
+
+def test_sheets_without_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("")
+    read = read_table(spark, str(tmp_path), SHEET, "csv")
+    assert read.schema == SHEET and read.count() == 0
+
+
 def test_enrolments_are_filtered_by_the_scan(spark, tmp_path):
     data = [("1", "A", "Enrolled", 0), ("2", "C", "Enrolled", 1), (None, "B", "Completed", 2)]
     spark.createDataFrame(data, schemas.ENROLMENT).write.parquet(str(tmp_path / "t"))
