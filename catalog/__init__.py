@@ -6,6 +6,7 @@ from catalog import (
     edges,
     joins,
     ordered,
+    pages,
     products,
     scalars,
     skewed,
@@ -21,6 +22,7 @@ __all__ = [
     "edges",
     "joins",
     "ordered",
+    "pages",
     "products",
     "scalars",
     "skewed",

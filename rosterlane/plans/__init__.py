@@ -3,6 +3,7 @@
 from rosterlane.plans.participation import (
     attach_flags,
     inperson_participation,
+    page_account,
     participation_flags,
     webinar_participation,
 )
@@ -31,6 +32,7 @@ __all__ = [
     "enrich_contacts",
     "form_choice",
     "inperson_participation",
+    "page_account",
     "participation_flags",
     "payer_list",
     "portal_state",

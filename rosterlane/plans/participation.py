@@ -8,6 +8,7 @@ simply has no rows, which gives False flags.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,10 +17,15 @@ from rosterlane import fixed_values as V
 from rosterlane.functions.ids import normalize_id
 from rosterlane.functions.text import trim_ws
 from rosterlane.operators.aggregates import marks_by_key
-from rosterlane.operators.columns import questions_to_columns, union_ragged
+from rosterlane.operators.columns import questions_to_columns, quoted, union_ragged
 from rosterlane.operators.joins import left_join
 from rosterlane.schemas import FLAG_SUFFIXES, FLAGS
-from rosterlane.sources.pages import explode_records
+from rosterlane.sources.chains import COMPLETE, NEXT_TOKEN, PAGE_TOKEN, page_chains
+from rosterlane.sources.pages import BROKEN, explode_records
+
+# What pages are asked for, and the session of what concerns every one of them.
+WEBINAR_ID, UUID = "webinar_id", "uuid"
+ALL_SESSIONS = "all sessions"
 
 
 def session_topics(df: DataFrame, sessions: Sequence[V.Session] = V.SESSIONS) -> DataFrame:
@@ -58,6 +64,7 @@ def webinar_participation(
     upcoming_pages: DataFrame | None = None,
     sessions: Sequence[V.Session] = V.SESSIONS,
     question: str = V.TAX_ID_QUESTION,
+    account: DataFrame | None = None,
 ) -> DataFrame:
     """(TAX_ID, SESSION, REGISTERED, ATTENDED) out of landed pages.
 
@@ -65,8 +72,16 @@ def webinar_participation(
     participants ``participants`` (uuid); registrants ``registrants`` (webinar_id), of past
     occurrences and of webinars still to come. A registrant attended when one of the session's
     participants carries the registrant's id and was in the meeting.
+
+    ``account``: what ``page_account`` says of these pages. A session with an unusable page has no rows
+    then, so that its flags are False, while all others go on.
     """
     webinars = webinar_sessions(explode_records(catalogue_pages, "webinars"), sessions)
+    if account is not None:
+        # At most a dozen sessions, and one row for the catalogue, without which there is none.
+        unusable = account.where("not usable and SESSION is not null").select(F.col("SESSION").alias("unusable"))
+        lost = F.col("unusable").isin(ALL_SESSIONS) | (F.col("unusable") == F.col("SESSION"))
+        webinars = webinars.join(F.broadcast(unusable.distinct()), lost, "anti")
 
     registrants = explode_records(registrant_pages, "registrants", ["webinar_id"])
     if upcoming_pages is not None:
@@ -109,6 +124,69 @@ def webinar_participation(
     )
 
 
+def page_account(
+    catalogue_pages: DataFrame,
+    instance_pages: DataFrame,
+    participant_pages: DataFrame,
+    registrant_pages: DataFrame,
+    upcoming_pages: DataFrame | None = None,
+    sessions: Sequence[V.Session] = V.SESSIONS,
+) -> DataFrame:
+    """(KIND, SESSION, PAGES, BROKEN, OPEN_CHAINS, usable): per kind of page and session, how many pages
+    landed, how many are broken, and how many chains of pages do not come to their end.
+
+    The catalogue counts for all sessions and has none of its own (ALL_SESSIONS); a page of it without
+    its array is as good as broken. Pages of a session that is not reported or can't be made out have no
+    session. Broken pages are seen where the pages keep them (``keep_broken``), chains where they say
+    with which token they were asked for (``tokens``); what is in no such column counts as sound.
+    """
+    webinars = webinar_sessions(explode_records(catalogue_pages, "webinars"), sessions)
+    instances = explode_records(instance_pages, "webinars", [WEBINAR_ID]).select(WEBINAR_ID, UUID)
+    by_uuid = instances.join(webinars, WEBINAR_ID).select(UUID, "SESSION").distinct()
+    whole = catalogue_pages.withColumn(ALL_SESSIONS, F.lit(ALL_SESSIONS))
+    alone = webinars.sparkSession.createDataFrame([(ALL_SESSIONS, ALL_SESSIONS)], f"`{ALL_SESSIONS}` string, SESSION string")
+    kinds = [
+        ("catalogue", whole, "webinars", ALL_SESSIONS, alone),
+        ("instances", instance_pages, "webinars", WEBINAR_ID, webinars),
+        ("participants", participant_pages, "participants", UUID, by_uuid),
+        ("registrants", registrant_pages, "registrants", WEBINAR_ID, webinars),
+    ]
+    if upcoming_pages is not None:
+        kinds.append(("upcoming", upcoming_pages, "registrants", WEBINAR_ID, webinars))
+    return reduce(DataFrame.unionByName, (_account(*kind) for kind in kinds))
+
+
+def _account(kind: str, pages: DataFrame, records: str, parent: str, of_session: DataFrame) -> DataFrame:
+    """The account of one kind of page: counted per parent first, so a hot one is no burden."""
+    broken = F.col(quoted(BROKEN)).isNotNull() if BROKEN in pages.columns else F.lit(False)
+    if kind == "catalogue":
+        broken |= F.col(records).isNull()
+    counts = pages.groupBy(parent).agg(F.count("*").alias("PAGES"), F.count_if(broken).alias("BROKEN"))
+    counts = counts.withColumn("OPEN_CHAINS", F.lit(0).cast("long"))
+    if PAGE_TOKEN in pages.columns:
+        sound = pages.where(~broken)
+        parents = [c for c in sound.columns if c not in (records, NEXT_TOKEN, PAGE_TOKEN, BROKEN)]
+        chains = page_chains(sound, parents).where(F.col("state") != COMPLETE)
+        opened = chains.select(
+            parent, *(F.lit(0).cast("long").alias(n) for n in ("PAGES", "BROKEN")), F.lit(1).cast("long").alias("OPEN_CHAINS")
+        )
+        counts = counts.unionByName(opened)
+    sums = [F.sum(n).alias(n) for n in ("PAGES", "BROKEN", "OPEN_CHAINS")]
+    met = counts.groupBy(parent).agg(*sums).join(of_session, parent, "left")
+    return (
+        met.groupBy("SESSION")
+        .agg(*sums)
+        .select(
+            F.lit(kind).alias("KIND"),
+            "SESSION",
+            "PAGES",
+            "BROKEN",
+            "OPEN_CHAINS",
+            ((F.col("BROKEN") == 0) & (F.col("OPEN_CHAINS") == 0)).alias("usable"),
+        )
+    )
+
+
 def inperson_participation(engagements: DataFrame, suffix: str = V.INPERSON_SUFFIX) -> DataFrame:
     """The same relation for in-person events, where either kind of engagement stands alone."""
     kind = F.col("MARKETING_ENGAGEMENT_TYPE")
