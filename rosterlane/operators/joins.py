@@ -3,9 +3,9 @@
 Adaptive execution can split a hot partition of a join only when both sides come straight from a
 shuffle, which an aggregated side does not, and never on the right of a left join. So rows of a hot
 key are salted: dealt over as many parts as the key needs, with the matching rows of the other side
-repeated for each part. A side is read once to count its keys and once to join it, whatever kinds of
-keys it has. Sides with few rows per key need no count: ``even`` says so of the left side, ``unique``
-of the right one.
+repeated for each part. Which keys are hot is looked up when the join is made (see ``skew``), by one
+pass over the key columns; without any, the join is a plain one. Sides with few rows per key need no
+look: ``even`` says so of the left side, ``unique`` of the right one.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from rosterlane.functions.text import is_blank
 from rosterlane.operators.columns import fold, quoted
-from rosterlane.operators.skew import HOT_ROWS, equal, hot_parts, not_null, spread
+from rosterlane.operators.skew import HOT_ROWS, HotKeys, equal, hot_parts, not_null, spread
 
 Keys = str | Sequence[str]
 SALTS = ["left salt", "right salt"]
@@ -46,24 +46,25 @@ def left_join(
     lefts, rights = _names(left_on), _names(right_on or left_on)
     shared = {r: f"right {r}" for l, r in zip(lefts, rights) if l == r}
     right, rights = right.withColumnsRenamed(shared), [shared.get(r, r) for r in rights]
-    if unique and even:
+    hot_left = HotKeys() if even else hot_parts(left, lefts, hot_rows)
+    # Rows without a key on the right match nothing and are left out.
+    hot_right = HotKeys() if unique else hot_parts(right.where(not_null(rights)), rights, hot_rows)
+    if not hot_left and not hot_right:
         return left.join(right, equal(lefts, rights), "left").drop(*shared.values())
 
-    hot_left = None if even else hot_parts(left, lefts, hot_rows)
-    hot_right = None if unique else hot_parts(right, rights, hot_rows)
     one = spread(left, lefts, hot_left, hot_right, *SALTS)
     # A hot key is present on the right: what a copy of a left row does not meet, another one does.
     copies = "repeated"
-    if hot_right is not None:
+    if hot_right.parts is not None:
         names = [f"hot {k}" for k in lefts]
-        hot = F.broadcast(hot_right.toDF(*names, copies))
+        hot = F.broadcast(hot_right.parts.toDF(*names, copies))
         one = one.join(hot, equal(lefts, names), "left").drop(*names)
     other = spread(
         right.where(not_null(rights)), rights, hot_right, hot_left, *reversed(RIGHT_SALTS)
     ).withColumn("right row", F.lit(True))
     on = equal([*lefts, *SALTS], [*rights, *RIGHT_SALTS])
     joined = one.join(other, on, "left")
-    if hot_right is not None:
+    if hot_right.parts is not None:
         joined = joined.where(f"`right row` or coalesce(`{copies}`, 1) = 1").drop(copies)
     return joined.drop(*SALTS, *RIGHT_SALTS, "right row", *shared.values())
 
@@ -121,9 +122,10 @@ def keep_matching(
     """Rows whose key occurs in ``ref`` (semi-join). ``even``: ``df`` has few rows per key."""
     lefts, marks = _names(on), _distinct_keys(ref, _names(ref_on or on))
     known = df.where(not_null(lefts))
-    if even:
+    # Rows without a key are left out, so only keys can be hot.
+    hot = HotKeys() if even else hot_parts(known, lefts, hot_rows)
+    if not hot:
         return known.join(marks, equal(lefts, marks.columns), "semi")
-    hot = hot_parts(df, lefts, hot_rows)
     one = spread(known, lefts, hot, None, *SALTS).drop(SALTS[1])
     other = spread(marks, marks.columns, None, hot, *reversed(RIGHT_SALTS)).drop(RIGHT_SALTS[1])
     on_salted = equal([*lefts, SALTS[0]], [*marks.columns, RIGHT_SALTS[0]])

@@ -9,15 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterlane.operators.columns import quoted
-from rosterlane.operators.skew import HOT_ROWS, hot_keys
+from rosterlane.operators.skew import HOT_ROWS, HotKeys, equal, hot_parts
 
 FORWARD = "ffill_bfill"
 BACKWARD = "bfill_ffill"
 
-# Rows of a hot group that are looked at to cut it, per run that comes out. Runs have half of
-# ``hot_rows`` rows on average, which leaves room for chance.
-MARKS_PER_RUN = 16
-
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row per key; null keys count as equal.
@@ -55,14 +51,38 @@ def fill_within_group(
     value of the group, that first value; BACKWARD takes the nearest later value and, after the last
     value, that last value. Rows without a group (null) get null. ``order`` is unique in a group.
 
-    Groups of ``hot_rows`` rows and more are cut along the order into runs of about as many rows.
-    Each run is filled on its own, and what crosses the edge of a run comes from a small table with
-    the first and the last value of every run. So no task sees a whole hot group, and the rows are
-    shuffled only once.
+    Groups of ``hot_rows`` rows and more (found when the fill is made, by one pass over the group
+    columns) are cut along the order into runs of about half as many rows. Each run is filled on its
+    own, and what crosses the edge of a run comes from a small table with the first and the last value
+    of every run. So no task sees a whole hot group. The runs are a range partitioning of the hot
+    groups' rows, which are written once, to the folder ``spark.checkpoint.dir`` names.
     """
     keys = [group] if isinstance(group, str) else list(group)
-    cut = _cut_into_runs(df, keys, order, hot_rows)
+    hot = hot_parts(df, keys, hot_rows)
+    # Rows without a group need no neighbours and are spread over all tasks.
+    loose = " or ".join(f"{quoted(k)} is null" for k in keys)
+    alone = f"if({loose}, xxhash64({_list(order)}), 0L) as `fill run`"
+    if hot.parts is None:
+        return _filled(df.selectExpr("*", alone), keys, columns, order).select(*map(quoted, df.columns))
+    cut = _cut_into_runs(df, keys, order, hot_rows, hot)
+    names = [f"hot {k}" for k in keys]
+    cold = df.join(F.broadcast(hot.parts.toDF(*names, "parts")), equal(keys, names), "anti")
+    seeds = _seeds(cut, keys, columns, order)
+    both = [
+        _filled(cold.selectExpr("*", alone), keys, columns, order),
+        _filled(cut, keys, columns, order, seeds),
+    ]
+    return both[0].select(*map(quoted, df.columns)).unionAll(both[1].select(*map(quoted, df.columns)))
+
 
+def _filled(
+    runs: DataFrame,
+    keys: Sequence[str],
+    columns: Mapping[str, str],
+    order: Sequence[str],
+    seeds: DataFrame | None = None,
+) -> DataFrame:
+    """Fill every run on its own and, where it has none, from its seed."""
     values = []
     for column, mode in columns.items():
         span = f"partition by {_list(keys)}, `fill run` order by {_sorted(order, mode)} rows"
@@ -70,18 +90,19 @@ def fill_within_group(
         near = f"last({quoted(column)}, true) over ({span} {start} current row)"
         far = f"first({quoted(column)}, true) over ({span} {start} unbounded following)"
         values += [f"{near} as `near {column}`", f"{far} as `far {column}`"]
-    same = [f"{quoted(k)} = `seed key {i}`" for i, k in enumerate(keys)]
-    on = F.expr(" and ".join([*same, "`fill run` = `seed run`"]))
-    joined = cut.selectExpr("*", *values).join(_seeds(cut, keys, columns, order), on, "left")
+    filled = runs.selectExpr("*", *values)
+    if seeds is not None:
+        same = [f"{quoted(k)} = `seed key {i}`" for i, k in enumerate(keys)]
+        filled = filled.join(seeds, F.expr(" and ".join([*same, "`fill run` = `seed run`"])), "left")
     known = " and ".join(f"{quoted(k)} is not null" for k in keys)
 
     def result(name: str) -> str:
         if name not in columns:
             return quoted(name)
-        beyond = f"if(`fill hot`, `seed {name}`, `far {name}`)"
+        beyond = f"`seed {name}`" if seeds is not None else f"`far {name}`"
         return f"if({known}, coalesce(`near {name}`, {beyond}), null) as {quoted(name)}"
 
-    return joined.selectExpr(*map(result, df.columns))
+    return filled.selectExpr(*map(result, runs.columns))
 
 
 def _list(columns: Sequence[str]) -> str:
@@ -95,49 +116,20 @@ def _sorted(columns: Sequence[str], mode: str) -> str:
 
 
 def _cut_into_runs(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int, hot: HotKeys | None = None
 ) -> DataFrame:
-    """Add the run, which never decreases along the order within a group, and whether it is one of
-    a hot group.
+    """The rows of the hot groups with their run, which never decreases along the order of a group.
 
-    A share of the rows, picked by their hash, marks places along the order, and every so many marks
-    there is a cut. So runs are even in rows, whatever values the order has: numbers far apart,
-    fractions, ties of the leading column, nulls.
+    The runs are the partitions of a range partitioning, whose bounds come from a sample of the rows:
+    so they are even in rows, whatever values the order has: numbers far apart, fractions, ties of the
+    leading column, nulls. They are written, as everything else refers to them.
     """
-    share = max(1, hot_rows // (2 * MARKS_PER_RUN))
-    at = f"struct({_list(order)})"
-    marks = F.collect_list(F.expr(f"if(pmod(xxhash64({_list(order)}), {share}) = 0, {at}, null)"))
-    names = [f"hot key {i}" for i in range(len(keys))]
-    every = f"(m, place) -> (place + 1) % {MARKS_PER_RUN} = 0"
-    hot = (
-        hot_keys(df, keys, hot_rows, marks=marks)
-        .select(*map(quoted, keys), F.expr(f"filter(sort_array(marks), {every})"))
-        .toDF(*names, "fill cuts")
-    )
-    same = " and ".join(f"{quoted(k)} = {quoted(n)}" for k, n in zip(keys, names))
-    loose = " or ".join(f"{quoted(k)} is null" for k in keys)
-    met = df.join(F.broadcast(hot), F.expr(same), "left").withColumn("fill at", F.expr(at))
-    # The number of cuts up to the row, found by halving: as many steps as the cuts need.
-    steps = "sequence(1, cast(ceil(log2(size(`fill cuts`) + 1)) as int) + 1)"
-    middle = "cast((`fill state`.low + `fill state`.high) div 2 as int)"
-    halved = (
-        "if(`fill state`.low >= `fill state`.high, `fill state`,"
-        f" if(`fill cuts`[{middle}] <= `fill at`,"
-        f" named_struct('low', {middle} + 1, 'high', `fill state`.high),"
-        f" named_struct('low', `fill state`.low, 'high', {middle})))"
-    )
-    start = "named_struct('low', 0, 'high', size(`fill cuts`))"
-    run = (
-        f"aggregate({steps}, {start}, (`fill state`, `fill step`) -> {halved},"
-        " `fill state` -> `fill state`.low)"
-    )
-    return met.selectExpr(
-        *map(quoted, df.columns),
-        # Rows without a group need no neighbours and are spread over all tasks.
-        f"case when {loose} then xxhash64({_list(order)}) when `fill cuts` is null then 0L"
-        f" else cast({run} as bigint) end as `fill run`",
-        "`fill cuts` is not null as `fill hot`",
-    )
+    hot = hot or hot_parts(df, keys, hot_rows)
+    names = [f"hot {k}" for k in keys]
+    of_hot = df.join(F.broadcast(hot.parts.toDF(*names, "parts")), equal(keys, names), "semi")
+    runs = -(-hot.rows // max(1, hot_rows // 2))
+    ranged = of_hot.repartitionByRange(runs, *(F.col(quoted(c)) for c in (*keys, *order)))
+    return ranged.withColumn("fill run", F.spark_partition_id().cast("long")).checkpoint()
 
 
 def _seeds(
@@ -158,7 +150,7 @@ def _seeds(
         before = f"last(`last {column}`, true) over ({span} {start} 1 preceding)"
         nearest = f"first(`first {column}`, true) over ({span} {start} unbounded following)"
         seeds.append(f"coalesce({before}, {nearest})")
-    runs = cut.where("`fill hot`").groupBy(*map(quoted, keys), "fill run").agg(*ends)
+    runs = cut.groupBy(*map(quoted, keys), "fill run").agg(*ends)
     names = [f"seed key {i}" for i in range(len(keys))]
     return runs.selectExpr(*map(quoted, keys), "`fill run`", *seeds).toDF(
         *names, "seed run", *(f"seed {c}" for c in columns)

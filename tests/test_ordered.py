@@ -101,6 +101,17 @@ def test_runs_are_even_in_rows_whatever_the_order(spark):
         assert late.where("struct(a.o, a.i) >= struct(b.o, b.i)").count() == 0, name
 
 
+def test_a_hot_group_is_never_gathered(spark, monkeypatch):
+    """Neither its rows nor its cuts come together in one row or one broadcast."""
+    df = spark.range(2000).selectExpr("if(id % 3 = 0, 1, id) as g", "if(id % 50 = 0, id, null) as v", "id as i")
+    filled = fill_within_group(df, "g", {"v": FORWARD}, ["i"], hot_rows=50)
+    text = plan(filled)
+    assert "collect_list" not in text
+    for part in text.split("BroadcastExchange")[1:]:
+        assert "ExistingRDD" in next(line for line in part.split("\n") if "Scan" in line)
+    assert filled.count() == 2000 and filled.where("g = 1 and v is null").count() == 0
+
+
 def test_fill_by_an_order_of_text(spark):
     data = [("a", None, "c"), ("a", 1, "b"), ("a", None, "a"), ("a", 2, "d")]
     df = spark.createDataFrame(data, "g string, v int, o string")
