@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -29,7 +30,8 @@ from rosterlane.plans.steps import (
     status_by_plan,
 )
 from rosterlane.schemas import DETAIL, FLAGS, row_order
-from rosterlane.sinks.files import EVENT_DATE, export_report, shared_folder, write_snapshot
+from rosterlane.sinks.files import EVENT_DATE, export_report, shared_folder
+from rosterlane.sinks.published import publish_day
 from rosterlane.sources.tables import inperson_engagements, portals
 
 ID = V.ROSTER_COLUMNS[V.ROSTER_TAX_ID]
@@ -141,26 +143,42 @@ def report_day(spark: SparkSession, moment: datetime) -> tuple[str, str]:
     return tuple(spark.range(1).select(report_date(instant), export_stamp(instant)).first())
 
 
+DETAIL_PRODUCT, TREND_PRODUCT = "detail", "trend"
+
+
+def check_pair(products: Mapping[str, DataFrame]) -> None:
+    """The counts of the trend that the detail rows can show have to agree with them."""
+    detail, trend = products[DETAIL_PRODUCT], products[TREND_PRODUCT].collect()
+    if len(trend) != 1:
+        raise ValueError(f"{len(trend)} trend rows instead of one")
+    waves = {"PROVIDER_COUNT": None, "HH_PROVIDER_COUNT": V.WAVE_HELP, "HEALTH_PROVIDER_COUNT": V.WAVE_HEALTH}
+    known = detail.where(F.col(ID) != V.MISSING_TEXT)
+    marks = {n: None if w is None else F.col(WAVE) == w for n, w in waves.items()}
+    counted = conditional_distinct(known.select(ID, WAVE), ID, marks).first()
+    wrong = [f"{n}: {trend[0][n]} in the trend, {counted[n]} in the detail" for n in waves if trend[0][n] != counted[n]]
+    if wrong:
+        raise ValueError("; ".join(wrong))
+
+
 def run_report(
-    inputs: CampaignInputs,
-    moment: datetime,
-    detail_path: str,
-    trend_path: str,
-    export_folder: str,
-    name: str,
-) -> None:
-    """Build both products of the day of ``moment``, write their snapshots and export the detail.
+    inputs: CampaignInputs, moment: datetime, store: str, export_folder: str, name: str
+) -> dict[str, DataFrame]:
+    """Build both products of the day of ``moment``, publish them together and export the detail.
 
     What both share is computed once and checkpointed, to the folder that all executors share; a
-    session that names none (``spark.checkpoint.dir``) raises. A rerun replaces the day's rows, also
-    when it has none.
+    session that names none (``spark.checkpoint.dir``) raises. The detail is written once, and checked
+    and exported from what was written. A rerun replaces the day's products, also when it has no rows;
+    one that dies leaves those that were there (see ``publish_day``).
     """
     spark = inputs.roster.sparkSession
     shared_folder(spark)
     event_date, stamp = report_day(spark, moment)
     base = build_base(inputs).checkpoint()
     forms = form_choice(inputs.form).checkpoint()
-    write_snapshot(build_trend(base, forms, event_date), trend_path)
-    detail = build_detail(base, forms, event_date)
-    write_snapshot(detail, detail_path, dates=[event_date])
-    export_report(detail, export_folder, name, stamp)
+    products = {
+        DETAIL_PRODUCT: build_detail(base, forms, event_date),
+        TREND_PRODUCT: build_trend(base, forms, event_date),
+    }
+    written = publish_day(spark, store, stamp, products, check_pair)
+    export_report(written[DETAIL_PRODUCT], export_folder, name, stamp)
+    return written

@@ -21,8 +21,11 @@ def write_snapshot(
     Writing a date again (a rerun, a retry) leaves it as if written once; other dates stay. ``dates``
     are the dates the run is about: those that ``df`` has no rows of are cleared as well. Rows are
     evened out before the write: a date with many rows is split over several files and tasks, small
-    ones are put together.
+    ones are put together. ``df`` is computed once; which of ``dates`` it has is seen by their files.
     """
+    spark = df.sparkSession
+    folders = [f"{path.rstrip('/')}/{date_column}={quote(str(date))}" for date in sorted(set(dates))]
+    before = [children(spark, folder) for folder in folders]
     (
         df.hint("rebalance", F.col(date_column))
         .write.mode("overwrite")
@@ -30,11 +33,10 @@ def write_snapshot(
         .partitionBy(date_column)
         .parquet(path)
     )
-    about = set(map(str, dates))
-    day = F.col(date_column).cast("string")
-    left_out = about - {r[0] for r in df.select(day).where(day.isin(*about)).distinct().collect()}
-    for date in sorted(left_out):
-        remove(df.sparkSession, f"{path.rstrip('/')}/{date_column}={quote(date)}")
+    for folder, files in zip(folders, before):
+        # Files of a write have names of their own, so an equal list was not written.
+        if children(spark, folder) == files:
+            remove(spark, folder)
 
 
 def quote(value: str) -> str:
@@ -42,6 +44,15 @@ def quote(value: str) -> str:
     return "".join(f"%{ord(c):02X}" if c in PATH_ESCAPES or ord(c) < 32 else c for c in value)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that Hadoop knows, sorted; none if there is no folder."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(target))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder of any file system that Hadoop knows; one that is absent is fine."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

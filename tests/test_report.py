@@ -23,6 +23,7 @@ from rosterlane.plans import (
     webinar_participation,
 )
 from rosterlane.plans.report import trend_metrics
+from rosterlane.sinks import read_published
 
 DATE = "01/02/2025"
 # Already the next day in UTC.
@@ -153,17 +154,42 @@ def test_report_day(spark):
 
 
 def test_run_report_twice(spark, inputs, tmp_path, detail, trend):
-    paths = {name: str(tmp_path / name) for name in ("detail", "trend", "export")}
+    store, export = str(tmp_path / "store"), str(tmp_path / "export")
     for _ in range(2):
-        run_report(inputs, MOMENT, paths["detail"], paths["trend"], paths["export"], "Report")
-    written = spark.read.schema(detail.schema).parquet(paths["detail"])
+        run_report(inputs, MOMENT, store, export, "Report")
+    written = read_published(spark, store, "detail", ["2025-01-02"])
     assert rows(written, *detail.columns) == rows(detail)
-    counted = spark.read.parquet(paths["trend"])
-    assert rows(counted, *trend.columns) == rows(trend)
-    exported = spark.read.option("header", True).csv(f"{paths['export']}/Report - 2025-01-02")
+    assert rows(read_published(spark, store, "trend")) == rows(trend)
+    exported = spark.read.option("header", True).csv(f"{export}/Report - 2025-01-02")
     assert exported.columns == schemas.DETAIL and exported.count() == len(campaign.DETAIL)
 
 
+def test_a_run_joins_its_inputs_once(spark, inputs, tmp_path, monkeypatch):
+    """The shared part is computed for one checkpoint; what is exported is read from what was written."""
+    from rosterlane.plans import report
+
+    built, exported = [], []
+    monkeypatch.setattr(report, "build_base", lambda i, f=report.build_base: built.append(1) or f(i))
+    monkeypatch.setattr(report, "export_report", lambda df, *rest: exported.append(plan(df)))
+    written = run_report(inputs, MOMENT, str(tmp_path / "store"), "", "Report")
+    assert built == [1]
+    # The rows of the detail meet the form choices, and nothing else is joined again.
+    assert len(exported) == 1 and "Join" not in exported[0] and "FileScan parquet" in exported[0]
+    assert rows(written["trend"], "PROVIDER_COUNT") == [(campaign.TREND["PROVIDER_COUNT"],)]
+
+
+def test_counts_that_disagree_are_not_published(spark, inputs, tmp_path, monkeypatch):
+    from rosterlane.plans import report
+
+    store = str(tmp_path / "store")
+    run_report(inputs, MOMENT, store, str(tmp_path / "export"), "Report")
+    wrong = lambda base, forms, date, f=report.build_trend: f(base, forms, date).withColumn("HH_PROVIDER_COUNT", F.lit(99).cast("long"))
+    monkeypatch.setattr(report, "build_trend", wrong)
+    with pytest.raises(ValueError, match="HH_PROVIDER_COUNT: 99 in the trend, 2 in the detail"):
+        run_report(inputs, MOMENT, store, str(tmp_path / "export"), "Report")
+    assert rows(read_published(spark, store, "trend"), "HH_PROVIDER_COUNT") == [(2,)]
+
+
 def test_plans_are_joined_once_and_without_python(inputs):
     text = plan(build_detail(build_base(inputs), form_choice(inputs.form), DATE))
     for word in ("CartesianProduct", "NestedLoop", "PythonUDF", "EvalPython", "InPandas"):

@@ -4,7 +4,14 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from rosterlane.sinks import export_report, shared_folder, write_snapshot
+from rosterlane.sinks import (
+    export_report,
+    publish_day,
+    published_runs,
+    read_published,
+    shared_folder,
+    write_snapshot,
+)
 
 
 def snapshot(spark, values):
@@ -89,3 +96,41 @@ def test_report_keeps_white_space(spark, tmp_path):
     path = export_report(df, str(tmp_path), "R", "x")
     read = spark.read.schema(df.schema).options(header=True, escape='"').csv(path)
     assert rows(read) == rows(df)
+
+
+def test_a_snapshot_is_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+    df = snapshot(spark, [(1, "2025-01-01"), (2, "2025-01-02")])
+    counted = df.rdd.map(lambda r: seen.add(1) or tuple(r)).toDF(df.schema)
+    write_snapshot(counted, str(tmp_path / "s"), dates=["2025-01-01", "2025-01-03"])
+    assert seen.value == 2
+
+
+def test_publication(spark, tmp_path):
+    store = str(tmp_path / "store")
+    one, two = spark.range(3), spark.range(1).selectExpr("id as n")
+    broken = two.selectExpr("cast(raise_error('gone') as bigint) as n")
+    with pytest.raises(ValueError, match="any day"):
+        read_published(spark, store, "a")
+    assert read_published(spark, store, "a", schema=one.schema).count() == 0
+    with pytest.raises(Exception, match="gone"):
+        publish_day(spark, store, "d1", {"a": one, "b": broken})
+    assert published_runs(spark, store, "a") == {}
+    publish_day(spark, store, "d1", {"a": one, "b": two})
+    publish_day(spark, store, "d 2:/%", {"a": one.where("id > 1"), "b": two.where("false")})
+    reading = read_published(spark, store, "a", ["d1"])
+    with pytest.raises(Exception, match="gone"):
+        publish_day(spark, store, "d1", {"a": one.where("id = 0"), "b": broken})
+    assert rows(reading) == [(0,), (1,), (2,)] == rows(read_published(spark, store, "a", ["d1"]))
+    publish_day(spark, store, "d1", {"a": one.where("id = 0"), "b": two})
+    # Who began to read before the replacement can read on.
+    assert rows(reading) == [(0,), (1,), (2,)] and rows(read_published(spark, store, "a", ["d1"])) == [(0,)]
+    assert rows(read_published(spark, store, "a")) == [(0,), (2,)]
+    assert rows(read_published(spark, store, "b")) == [(0,)]
+    with pytest.raises(ValueError, match="d3"):
+        read_published(spark, store, "a", ["d1", "d3"])
+    for _ in range(3):
+        publish_day(spark, store, "d1", {"a": one, "b": two})
+    # The run that is read and the one before it, no more.
+    assert len(list((tmp_path / "store" / "a" / "d1").iterdir())) == 2
+    assert len(list((tmp_path / "store" / "published" / "d1").iterdir())) <= 2
