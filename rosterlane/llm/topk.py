@@ -1,12 +1,14 @@
 """Exact search of the k highest inner products by vector-approximation files.
 
-Every component lies in a cell, one of 2^bits equal parts of its column's range. The cells of a
-vector bound its inner product with a query from below and above. A block of vectors is scanned by
-its cells first; exact vectors are then read in the order of their upper bounds until the k-th exact
-score is higher than every bound that is left.
+The file of approximations is written once: vectors in blocks of bounded size, each component as the
+number of its cell, one of 2^bits equal parts of its column's range in the block. It holds a few bits
+where a vector holds eight bytes, and it alone is scanned: the cells of a vector bound its inner product
+with a query from below and above. What the k-th best lower bound of a query leaves are its candidates.
+Their exact vectors are then fetched by their row, in the order of the upper bounds and in rounds, until
+the k-th exact score is above every bound that is left.
 
-Queries and vectors are cut into blocks, and each pair of blocks is one unit of work; a query block
-reaches every vector block. What a pair of blocks returns is k rows per query.
+Of equal vectors only the first 2 k rows can be among the k best of any query, as ties go to smaller
+ids and a query does not meet its own: the others are left out before the blocks are cut.
 """
 
 from __future__ import annotations
@@ -18,93 +20,227 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of a block. A pair of blocks needs QUERY_BLOCK * VECTOR_BLOCK bounds of 8 bytes: 64 MB.
+from rosterlane.llm.common import kept_table
+
+# Rows of a block. A pair of blocks needs QUERY_BLOCK * VECTOR_BLOCK bounds of 4 or 8 bytes.
 QUERY_BLOCK = 1024
 VECTOR_BLOCK = 8192
 BITS = 4
+# Exact vectors that are read per query in the first round, in multiples of k; every round reads
+# ROUND_GROWTH times as many as the one before.
+FIRST_ROUND = 4
+ROUND_GROWTH = 4
+# Up to this length of vectors a block has its full number of rows.
+FULL_DIMS = 1024
 
 
 def whole_vectors(df: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
     """(id, v): components as floor(scale * x). Rows whose vector is null, or holds a null or
-    non-finite component, are left out; so are empty vectors."""
+    non-finite component, are left out; so are empty vectors and rows without an id."""
     value = F.col(f"`{vector}`")
     finite = F.forall(
         value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     )
-    kept = df.where(value.isNotNull() & (F.size(value) > 0) & finite)
+    kept = df.where(F.col(f"`{key}`").isNotNull() & value.isNotNull() & (F.size(value) > 0) & finite)
     return kept.select(
         F.col(f"`{key}`").cast("long").alias("id"),
         F.transform(value, lambda x: F.floor(scale * x.cast("double")).cast("long")).alias("v"),
     )
 
 
-def packed(rows: DataFrame, size: int, total: int, name: str) -> DataFrame:
-    """Rows gathered into blocks of about ``size`` rows each, the block being a hash of the id.
+def first_of_equal(rows: DataFrame, k: int) -> DataFrame:
+    """The rows of every vector that can be among k results: without those of any one id, of which
+    there may be k, at least k are left. Each task keeps as few before the shuffle."""
+    by_id = Window.partitionBy("v", "id").orderBy("id")
+    by_vector = Window.partitionBy("v").orderBy("id")
+    once = rows.withColumn("copy", F.row_number().over(by_id)).where(F.col("copy") <= k).drop("copy")
+    return once.withColumn("copy", F.row_number().over(by_vector)).where(F.col("copy") <= 2 * k).drop("copy")
 
-    ``total`` is the number of rows. Vectors of other lengths go to other blocks.
-    """
-    blocks = max(1, -(-total // size))
-    dealt = rows.select(
-        F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("long").alias(name), F.size("v").alias("dims"), "id", "v"
-    )
-    return dealt.groupBy(name, "dims").agg(F.collect_list(F.struct("id", "v")).alias(f"{name}s"))
 
+# ------------------------------------------------------------------------- approximation files
+
+
+def quantised(vectors: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(cells, low, width, error): the cell of every component; per column the lower edge and width of
+    a cell, and the largest distance of a component from the centre of its cell."""
+    exact = vectors.astype(float)
+    low, high = exact.min(axis=0), exact.max(axis=0)
+    width = np.maximum((high - low) / (1 << bits), 1e-9)
+    cells = np.clip(np.floor((exact - low) / width), 0, (1 << bits) - 1).astype(np.uint8)
+    error = np.abs(exact - (low + (cells + 0.5) * width)).max(axis=0)
+    return cells, low, width, error
+
+
+def packed_bits(cells: np.ndarray, bits: int) -> bytes:
+    """Cells one behind the other, ``bits`` bits each."""
+    return np.packbits(np.unpackbits(cells.reshape(-1, 1), axis=1)[:, 8 - bits :]).tobytes()
+
+
+def unpacked_bits(data: bytes, rows: int, dims: int, bits: int) -> np.ndarray:
+    flat = np.unpackbits(np.frombuffer(data, np.uint8), count=rows * dims * bits).reshape(-1, bits)
+    weights = (1 << np.arange(bits - 1, -1, -1)).astype(np.uint8)
+    return (flat * weights).sum(axis=1, dtype=np.uint8).reshape(rows, dims)
+
+
+def blocks_of(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, list, np.ndarray]]:
+    """(dims, columns other than the vector, vectors) of at most ``size`` rows, fewer of long vectors;
+    vectors of other lengths go to other blocks. At most two blocks' components wait."""
+    held: dict[int, list[tuple]] = {}
+    most = size * FULL_DIMS
+    waiting = 0
+
+    def block(dims: int) -> tuple[int, list, np.ndarray]:
+        rows = held.pop(dims)
+        return dims, list(zip(*(r[:-1] for r in rows))), np.stack([r[-1] for r in rows])
 
-def every(blocks: DataFrame, other: str, total: int, size: int) -> DataFrame:
+    for batch in batches:
+        vectors = batch["v"]
+        flat = vectors.flatten().to_numpy(zero_copy_only=False)
+        edges = np.cumsum([0, *vectors.value_lengths().to_pylist()])
+        others = zip(*(batch[c].to_pylist() for c in batch.schema.names if c != "v"))
+        for i, other in enumerate(others):
+            dims = int(edges[i + 1] - edges[i])
+            rows = held.setdefault(dims, [])
+            rows.append((*other, flat[edges[i] : edges[i + 1]]))
+            waiting += dims
+            if len(rows) == size or len(rows) * dims >= most:
+                waiting -= len(rows) * dims
+                yield block(dims)
+            elif waiting > 2 * most:
+                waiting = 0
+                for other_dims in list(held):
+                    yield block(other_dims)
+    for dims in list(held):
+        yield block(dims)
+
+
+def in_a_row(blocks: DataFrame, name: str) -> DataFrame:
+    """Number the blocks of a written table from 0. Only their ids meet in one task: a row per block."""
+    ids = blocks.select("block id").withColumn(name, F.row_number().over(Window.orderBy("block id")) - 1)
+    return blocks.join(ids.hint("merge"), "block id").drop("block id")
+
+
+def every(blocks: DataFrame, other: str, count: int) -> DataFrame:
     """Each block once for every block of the other kind."""
-    last = max(1, -(-total // size)) - 1
-    return blocks.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))))
+    return blocks.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
 
 
-def cells(vectors: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The cell of every component, and per column the lower edge and the width of a cell."""
-    low, high = vectors.min(axis=0), vectors.max(axis=0)
-    width = np.maximum((high - low) / (1 << bits), 1e-9)
-    cell = np.clip(np.floor((vectors - low) / width), 0, (1 << bits) - 1).astype(np.uint8)
-    return cell, low.astype(float), width.astype(float)
+APPROXIMATIONS = "dims int, ids array<long>, rows array<long>, low array<double>, width array<double>, error array<double>, cells binary"
 
 
-def search_block(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int,
-    bits: int = BITS,
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per query the k best (score, then smaller id) of the block without the query itself:
-    (query id, vector id, score)."""
-    cell, low, width = cells(vectors, bits)
-    centre = low + (cell + 0.5) * width
-    # A component is at most half a cell from its centre; one unit more covers rounding.
-    slack = np.abs(queries) @ (width / 2) + 1.0
-    about = queries @ centre.T
-    order = np.argsort(ids, kind="stable")
-    ids, vectors, about = ids[order], vectors[order], about[:, order]
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for row, query in enumerate(queries):
-        bound = about[row] + slack[row]
-        other = ids != query_ids[row]
-        # The k-th best lower bound: nothing whose upper bound is below it can be among the k best.
-        least = about[row][other] - slack[row]
-        floor = np.partition(least, -k)[-k] if len(least) > k else -np.inf
-        near = np.flatnonzero(other & (bound >= floor))
-        near = near[np.argsort(-bound[near], kind="stable")]
-        scores, found = np.empty(0), np.empty(0, np.int64)
-        step = 4 * k
-        for start in range(0, len(near), step):
-            part = near[start : start + step]
-            if len(scores) >= k and bound[part[0]] < scores[k - 1]:
-                break
-            scores = np.concatenate([scores, vectors[part] @ query])
-            found = np.concatenate([found, part])
-            best = np.lexsort((found, -scores))[:k]
-            scores, found = scores[best], found[best]
-        out.append((np.full(len(found), query_ids[row]), ids[found], scores.astype(np.int64)))
-    return tuple(np.concatenate(parts) for parts in zip(*out, strict=True))
-
-
-def matrix(blocks: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and vectors of a packed block; whole numbers as doubles, exact below 2^53."""
-    ids = blocks.values.field("id").to_numpy(zero_copy_only=False)
-    flat = blocks.values.field("v").flatten().to_numpy(zero_copy_only=False)
-    return ids, flat.reshape(len(ids), -1).astype(float)
+def approximations(exact: DataFrame, size: int, bits: int) -> DataFrame:
+    """The file of approximations of (row, id, v): a row per block."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for dims, (rows, ids), vectors in blocks_of(batches, size):
+            cells, low, width, error = quantised(vectors, bits)
+            values = [dims, list(ids), list(rows), low.tolist(), width.tolist(), error.tolist(), packed_bits(cells, bits)]
+            longs, doubles = pa.list_(pa.int64()), pa.list_(pa.float64())
+            kinds = [pa.int32(), longs, longs, doubles, doubles, doubles, pa.binary()]
+            arrays = [pa.array([v], t) for v, t in zip(values, kinds)]
+            yield pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in APPROXIMATIONS.split(", ")])
+
+    return exact.select("row", "id", "v").mapInArrow(write, APPROXIMATIONS)
+
+
+def query_blocks(asked: DataFrame, size: int) -> DataFrame:
+    """(dims, queries, query_ids, vectors): queries (query, id, v) in blocks; vectors end to end."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for dims, (queries, ids), vectors in blocks_of(batches, size):
+            values = [[dims], [list(queries)], [list(ids)], [vectors.ravel()]]
+            longs = pa.list_(pa.int64())
+            arrays = [pa.array(v, t) for v, t in zip(values, [pa.int32(), longs, longs, longs])]
+            yield pa.RecordBatch.from_arrays(arrays, ["dims", "queries", "query_ids", "vectors"])
+
+    schema = "dims int, queries array<long>, query_ids array<long>, vectors array<long>"
+    return asked.select("query", "id", "v").mapInArrow(write, schema)
+
+
+# -------------------------------------------------------------------------------------- search
+
+
+def bounds(
+    queries: np.ndarray, cells: np.ndarray, low: np.ndarray, width: np.ndarray, error: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(about, slack): the inner products with the cells' centres, and per query how far the exact ones
+    can be from them, with all that rounding can add."""
+    wanted = queries.astype(float)
+    scaled = wanted * width
+    reach = np.abs(wanted) @ np.maximum(np.abs(low), np.abs(low + width * (cells.max(initial=0) + 1)))
+    # Single precision will do where nothing overflows: what it loses is part of the slack.
+    kind = np.float32 if reach.max(initial=0) < 1e30 else np.float64
+    about = (scaled.astype(kind) @ cells.astype(kind).T).astype(np.float64)
+    about += (wanted @ (low + width / 2))[:, None]
+    steps = 4 * (queries.shape[1] + 4)
+    most = np.abs(scaled) @ np.full(queries.shape[1], float(cells.max(initial=0)))
+    slack = np.abs(wanted) @ error + steps * (np.finfo(kind).eps * most + np.finfo(float).eps * reach) + 1.0
+    return about, slack
+
+
+def candidates(
+    query_ids: np.ndarray, ids: np.ndarray, about: np.ndarray, slack: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """(query, vector) places that the bounds of this block leave: below the k-th best lower bound
+    nothing can be among the k best. A query does not meet its own id."""
+    about[query_ids[:, None] == ids[None, :]] = -np.inf
+    floor = np.full(len(about), -np.inf)
+    if about.shape[1] > k:
+        floor = np.partition(about, -k, axis=1)[:, -k] - 2 * slack
+    return np.nonzero((about >= floor[:, None]) & (about > -np.inf))
+
+
+def scanned(pairs: DataFrame, k: int, bits: int) -> DataFrame:
+    """(query, row, below, above): candidates of all pairs of blocks with their bounds."""
+
+    def numbers(batch: pa.RecordBatch, name: str, i: int) -> np.ndarray:
+        return batch[name][i].values.to_numpy(zero_copy_only=False)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, query_ids = numbers(batch, "ids", i), numbers(batch, "query_ids", i)
+                dims = batch["dims"][i].as_py()
+                wanted = numbers(batch, "vectors", i).reshape(-1, dims)
+                cells = unpacked_bits(batch["cells"][i].as_buffer(), len(ids), dims, bits)
+                ranges = (numbers(batch, c, i) for c in ("low", "width", "error"))
+                about, slack = bounds(wanted, cells, *ranges)
+                query, vector = candidates(query_ids, ids, about, slack, k)
+                near = about[query, vector]
+                arrays = [
+                    numbers(batch, "queries", i)[query],
+                    numbers(batch, "rows", i)[vector],
+                    near - slack[query],
+                    near + slack[query],
+                ]
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, arrays)), ["query", "row", "below", "above"])
+
+    return pairs.mapInArrow(scan, "query long, row long, below double, above double")
+
+
+def scored(met: DataFrame) -> DataFrame:
+    """(query, query_id, vec_id, score): exact inner products of (v, w). Integers that wrap around give
+    the right sum wherever it is a long; a score that is none raises."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, other = (batch[c].flatten().to_numpy(zero_copy_only=False) for c in ("v", "w"))
+            ends = np.cumsum(batch["v"].value_lengths().to_numpy(zero_copy_only=False))
+            starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+            with np.errstate(over="ignore"):
+                exact = np.add.reduceat(one * other, starts) if len(starts) else np.empty(0, np.int64)
+            about = np.add.reduceat(one.astype(float) * other, starts) if len(starts) else exact
+            if (np.abs(about) >= 2.0**63 * (1 - 1e-12)).any():
+                raise ValueError("a score does not fit a long")
+            arrays = [*(batch[c] for c in ("query", "query_id", "vec_id")), pa.array(exact)]
+            yield pa.RecordBatch.from_arrays(arrays, ["query", "query_id", "vec_id", "score"])
+
+    return met.mapInArrow(score, "query long, query_id long, vec_id long, score long")
+
+
+def best_of(found: DataFrame, k: int) -> DataFrame:
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
 def exact_top_k(
@@ -115,40 +251,59 @@ def exact_top_k(
     vector: str = "embedding",
     scale: int = 256,
     bits: int = BITS,
+    vector_block: int = VECTOR_BLOCK,
+    query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): per query its k highest inner products with other rows.
 
-    Components count as floor(scale * x). Ties go to the smaller id; fewer than k other rows give
-    fewer results. A query never meets rows of its own id. Repeated ids are searched as the rows they
-    are, queries as one row per id and vector. Vectors meet only others of the same length.
+    Components count as floor(scale * x), scores are exact; one that is no long raises. Ties go to the
+    smaller id; fewer than k other rows give fewer results. A query never meets rows of its own id.
+    Repeated ids are searched as the rows they are, queries as one row per id and vector, each with its
+    own ranks. Vectors meet only others of the same length; rows without an id or with a null or
+    non-finite component take no part, an empty table gives no rows, other columns do not matter.
+
+    Every block of queries meets every block of approximations; exact vectors only their candidates.
     """
-    rows = whole_vectors(df.where(F.col(f"`{key}`").isNotNull()), key, vector, scale)
-    asked = whole_vectors(
-        df.where(is_query & F.col(f"`{key}`").isNotNull()), key, vector, scale
-    ).distinct()
-    n_rows, n_asked = rows.count(), asked.count()
-    vectors = packed(rows, VECTOR_BLOCK, n_rows, "vector_block")
-    queries = packed(asked, QUERY_BLOCK, n_asked, "query_block")
+    rows = whole_vectors(df, key, vector, scale)
+    asked = whole_vectors(df.where(is_query), key, vector, scale).distinct()
+    number = F.monotonically_increasing_id()
+    exact = kept_table(first_of_equal(rows, k).withColumn("row", number), "vectors")
+    queries = kept_table(asked.withColumn("query", number), "queries")
+    if queries.isEmpty():
+        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    cells = kept_table(approximations(exact, vector_block, bits).withColumn("block id", number), "cells")
+    wanted = kept_table(query_blocks(queries, query_block).withColumn("block id", number), "query-blocks")
+    n_cells, n_wanted = cells.count(), wanted.count()
     # Both sides name the pair, so that no two pairs have to share a task. Nothing is broadcast: the
     # optimizer takes repeated blocks for as small as single ones.
-    met = every(vectors, "query_block", n_asked, QUERY_BLOCK).hint("merge").join(
-        every(queries, "vector_block", n_rows, VECTOR_BLOCK).hint("merge"),
-        ["query_block", "vector_block", "dims"],
+    met = every(in_a_row(cells, "block"), "query_block", n_wanted).hint("merge").join(
+        every(in_a_row(wanted, "query_block"), "block", n_cells).hint("merge"), ["dims", "block", "query_block"]
     )
+    near = kept_table(scanned(met, k, bits), "near")
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                query_ids, wanted = matrix(batch["query_blocks"][i])
-                ids, stored = matrix(batch["vector_blocks"][i])
-                found = search_block(query_ids, wanted, ids, stored, k, bits)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, pa.int64()) for x in found], ["query_id", "vec_id", "score"]
-                )
-
-    near = met.select("query_blocks", "vector_blocks").mapInArrow(
-        search, "query_id long, vec_id long, score long"
-    )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    # Of all blocks together, and in the order of the bounds.
+    by_low = Window.partitionBy("query").orderBy(F.desc("below"))
+    lowest = near.withColumn("n", F.row_number().over(by_low)).where(F.col("n") <= k)
+    floor = lowest.groupBy("query").agg(F.min("below").alias("floor"), F.max("n").alias("n"))
+    left = near.join(floor.hint("merge"), "query").where((F.col("above") >= F.col("floor")) | (F.col("n") < k))
+    left = kept_table(left.select("query", "row", "above"), "candidates")
+    of_query = queries.select("query", F.col("id").alias("query_id"), F.col("v").alias("w"))
+    of_row = exact.select("row", F.col("id").alias("vec_id"), "v")
+    best, step = None, FIRST_ROUND * k
+    by_bound = Window.partitionBy("query").orderBy(F.desc("above"), "row")
+    while True:
+        ordered = left.withColumn("n", F.row_number().over(by_bound))
+        ordered = kept_table(ordered, "ordered")
+        read = ordered.where(F.col("n") <= step).select("query", "row")
+        read = read.join(of_query.hint("merge"), "query").join(of_row.hint("merge"), "row")
+        found = scored(read.select("query", "query_id", "vec_id", "v", "w"))
+        found = found if best is None else best.select(*found.columns).unionByName(found)
+        best = kept_table(best_of(found, k), "best")
+        kth = best.where(F.col("rank") == k).select("query", F.col("score").alias("kth"))
+        left = ordered.where(F.col("n") > step).join(kth.hint("merge"), "query", "left")
+        # Bounds leave room for more than what a score loses when it is compared as a double.
+        left = left.where(F.col("kth").isNull() | (F.col("above") >= F.col("kth").cast("double")))
+        left = left.select("query", "row", "above")
+        if left.isEmpty():
+            return best.select("query_id", "rank", "vec_id", "score")
+        step *= ROUND_GROWTH
