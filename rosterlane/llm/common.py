@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Words are maximal runs of other characters than these six.
@@ -100,3 +100,22 @@ def join_unique(
     one = left.join(hot, key)
     rest = left.join(marks, F.col(key) == F.col("heavy key"), "anti")
     return one.unionByName(rest.join(right.where(~heavy), key, "left"))
+
+
+def sum_before(
+    df: DataFrame, keys: list[str], run: str, order: list[Column], value: str, name: str
+) -> DataFrame:
+    """Add the sum of ``value`` over the rows of the same keys that come earlier.
+
+    ``run`` is a number that never falls along the order. Sums are taken within the runs and over the
+    runs, so that no window holds all rows of a key.
+    """
+    totals = df.groupBy(*keys, run).agg(F.sum(value).alias("of run"))
+    before = (Window.unboundedPreceding, -1)
+    over_runs = Window.partitionBy(*keys).orderBy(run).rowsBetween(*before)
+    totals = totals.withColumn("of runs", F.sum("of run").over(over_runs)).drop("of run")
+    inside = Window.partitionBy(*keys, run).orderBy(*order).rowsBetween(*before)
+    near = df.withColumn("of rows", F.sum(value).over(inside)).join(totals.hint("merge"), [*keys, run])
+    zero = F.lit(0).cast("long")
+    both = F.coalesce("of rows", zero) + F.coalesce("of runs", zero)
+    return near.withColumn(name, both).drop("of rows", "of runs")

@@ -113,10 +113,65 @@ def op5_warc(spark, folder):
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@query()
+def mixing_sql(evenness: float, max_repeats: float, block_tokens: int, block_rows: int) -> str:
+    """The stream of ``op7_mixing``: shares, the bisected exponent, weights, and the block permutations."""
+    number = "('0x' || left({}, {}))::bigint"
+    dealt = number.format("md5(concat_ws('|', coalesce(doc_id::varchar, 'null'), digest, copy, 0))", 15)
+    entropy = """(select log2(sum(pow(s, {0}))) - {0} * sum(pow(s, {0}) * log2(s)) / sum(pow(s, {0})) from shares)"""
+    middle = "((low + high) / 2)"
+    return rf"""with recursive d as (
+    select doc_id, source, md5(coalesce(text, '')) as digest, len({WORDS_SQL})::bigint as tokens,
+      row_number() over (partition by doc_id, source, md5(coalesce(text, ''))) - 1 as copy from documents),
+  totals as (select source, sum(tokens)::bigint as total, count(*) as n from d group by source),
+  shares as (select source, total / (select sum(total) from totals) as s from totals where total > 0),
+  goal as (select {entropy.format("1.0::double")} as own, {entropy.format("0.0::double")} as equal),
+  bisected(step, low, high) as (
+    select 0, 0.0::double, 1.0::double
+    union all select step + 1, case when h > own + {evenness} * (equal - own) then {middle} else low end,
+      case when h > own + {evenness} * (equal - own) then high else {middle} end
+    from (select step, low, high, {entropy.format(middle)} as h from bisected) as tried, goal where step < 60),
+  limited(step, low, high) as (
+    select 0, 0.0::double, 1.0::double
+    union all select step + 1, case when r > {max_repeats} then {middle} else low end,
+      case when r > {max_repeats} then high else {middle} end
+    from (select step, low, high,
+      (select pow(min(s), {middle} - 1) / sum(pow(s, {middle})) from shares) as r from limited) as tried where step < 60),
+  chosen as (select greatest((select high from bisected where step = 60), (select high from limited where step = 60)) as exponent),
+  plan as (
+    select totals.source, total, exponent, greatest(1, ceil(total / {block_tokens}), ceil(n / {block_rows}))::bigint as blocks,
+      coalesce(pow(s, exponent) / (select sum(pow(s, exponent)) from shares), 0.0) as weight,
+      coalesce(round(pow(s, exponent) / (select sum(pow(s, exponent)) from shares) / s, 9), 1.0) as reads
+    from chosen, totals left join shares on shares.source is not distinct from totals.source),
+  dealt as (
+    select d.*, total, exponent, weight, reads, blocks, {dealt} % blocks as block
+    from d join plan on plan.source is not distinct from d.source),
+  placed as (
+    select *, coalesce(sum(tokens) over (partition by source, block
+      order by md5(concat_ws('|', coalesce(doc_id::varchar, 'null'), digest, copy, block, 1)), doc_id, digest, copy
+      rows between unbounded preceding and 1 preceding), 0) as before from dealt),
+  passes as (
+    select source, block, unnest(range(greatest(ceil(reads)::bigint, 1))) as epoch, sum(tokens) as block_tokens
+    from dealt group by source, block, reads),
+  starts as (
+    select *, coalesce(sum(block_tokens) over (partition by source, epoch
+      order by md5(concat_ws('|', block, epoch, 2)), block
+      rows between unbounded preceding and 1 preceding), 0) as start from passes),
+  read as (
+    select placed.*, epoch, epoch * total + start + before as spot, reads * total as quota from placed join starts
+      on starts.source is not distinct from placed.source and starts.block = placed.block)
+  select doc_id, source, tokens, epoch::integer as epoch, block,
+    case when quota > 0 then least(spot / quota, 1 - pow(2, -53)) else 0.0 end as position, exponent, weight
+  from read where epoch + 1 <= reads or spot < quota"""
+
+
+# Halfway from the sources' own shares to equal ones, and no source read more than four times.
+EVENNESS, MAX_REPEATS = 0.5, 4.0
+
+
+@query(mixing_sql(EVENNESS, MAX_REPEATS, mixing.BLOCK_TOKENS, mixing.BLOCK_ROWS))
 def op7_mixing(spark, folder):
-    """As long a stream as the data, no source read more than four times."""
-    return mixing.mixture(table(spark, folder, "documents"), max_repeats=4.0)
+    """A stream as long as the data."""
+    return mixing.mixture(table(spark, folder, "documents"), evenness=EVENNESS, max_repeats=MAX_REPEATS)
 
 
 @query()
