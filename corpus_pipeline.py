@@ -15,8 +15,9 @@ from rosterlane.llm.common import fresh, kept_table, with_shared_folder
 # Shingle words and bits of the near-duplicate stage.
 SHINGLE_WORDS = 4
 MAX_BITS = 4
-# No source is cut, and none is read more often than this.
-MAX_REPEATS = 1.25
+# A quarter of the way from the sources' own shares to equal ones; no source is cut, and none is read
+# more than four times.
+MIXING = {"evenness": 0.25, "max_repeats": 4.0, "budget": None}
 
 # The stages hold a trained model, connected components and a tokenizer: SQL can't express them.
 ORACLE_SQL = None
@@ -42,7 +43,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat documents of small sources up to the limit; every document stays once at least."""
-    return mixing.mixed_documents(docs, max_repeats=MAX_REPEATS, budget=None)
+    return mixing.mixed_documents(docs, **MIXING)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
