@@ -89,6 +89,36 @@ def op8_secrets(spark, folder):
     return secrets.secret_report(table(spark, folder, "documents"))
 
 
+def base_matches_sql(kind: str, place: int, regex: str, group: int, least: int) -> str:
+    """Matches of one kind with their offsets: the lengths of what is between and of those before."""
+    pattern = "'" + regex.replace("'", "''") + "'"
+    return f"""select doc_id, {place} as place, '{kind}' as kind, length(g[i]) >= {least} as found,
+      (list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::bigint as start,
+      length(m[i]) as size
+    from (select doc_id, m, g, gaps, unnest(range(1, len(m) + 1)) as i from (
+      select doc_id, regexp_extract_all(t, {pattern}) as m, regexp_extract_all(t, {pattern}, {group}) as g,
+        string_split_regex(t, {pattern}) as gaps from texts))"""
+
+
+BASE_SPANS_SQL = " union all ".join(
+    base_matches_sql(p.kind, place, p.regex, p.group, p.least) for place, p in enumerate(secrets.BASE)
+)
+BASE_COUNTS_SQL = ", ".join(
+    f"count(*) filter (kind = '{p.kind}') as n_{p.kind}" for p in secrets.BASE
+)
+
+
+@query(f"""with texts as (select doc_id, coalesce(text, '') as t from documents),
+  spans as (select * from ({BASE_SPANS_SQL}) where found)
+  select texts.doc_id, {BASE_COUNTS_SQL}, sha256(coalesce(string_agg(
+    kind || ':' || start || ':' || (start + size), ',' order by start, place), '')) as base_sha256
+  from texts left join spans on spans.doc_id = texts.doc_id group by texts.doc_id""")
+def secret_counts(spark, folder):
+    """The base columns of the report, which SQL can express."""
+    report = secrets.secret_report(table(spark, folder, "documents"))
+    return report.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
 @query("""with v as (
     select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
     from embeddings

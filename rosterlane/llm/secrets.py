@@ -6,7 +6,9 @@ window slides, whose Shannon entropy is kept up by adding the count of the chara
 taking off the one that leaves. A candidate with a window above the threshold of its character class
 is a secret. Windows that touch a match of an allow-list pattern are explained by it and do not count.
 
-Offsets are code points, ends exclusive.
+Offsets are code points, ends exclusive. Texts of any length and with any number of secrets take time
+in proportion: candidates are cut into overlapping pieces of bounded length before a window slides over
+them, lists are built block by block (``scanned``), and texts are taken apart in chunks.
 """
 
 from __future__ import annotations
@@ -85,28 +87,75 @@ ALLOWED = (
 
 SPANS = "array<struct<start:int,place:int,end:int,kind:string>>"
 
+# Elements of a list that is built one by one; longer lists are lists of such blocks.
+BLOCK = 256
+# Characters of a candidate that windows start in, and of a text's chunks.
+PIECE = 108
+CHUNK = 4096
+
+
+def literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def bound(value: str, name: str, body: str) -> str:
+    """SQL of ``body`` in which ``name`` stands for a value that is computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def scanned(items: str, state: str, step: str, kind: str) -> str:
+    """SQL of the array that a pass over ``items`` collects.
+
+    ``step`` is SQL over the state ``a.state`` and the element ``x``: a struct of the next ``state`` and
+    of ``out``, an array of type ``kind`` to add. Adding to a list copies it, so the pass fills blocks
+    and adds those to a list of blocks.
+    """
+    empty = f"cast(array() as {kind})"
+    added = bound(step, "y", "named_struct('state', y.state, 'out', a.out || y.out)")
+    filled = f"aggregate(b, named_struct('state', o.state, 'out', {empty}), (a, x) -> {added})"
+    merged = bound(filled, "f", "named_struct('state', f.state, 'out', o.out || array(f.out))")
+    blocks = bound(
+        items,
+        "all",
+        f"transform(sequence(0, greatest(size(all) - 1, 0) div {BLOCK}), n -> slice(all, n * {BLOCK} + 1, {BLOCK}))",
+    )
+    start = f"named_struct('state', {state}, 'out', cast(array() as array<{kind}>))"
+    return f"aggregate({blocks}, {start}, (o, b) -> {merged}, o -> flatten(o.out))"
+
 
 def matches(text: str, regex: str, condition: str, place: int, kind: str, group: int = 0) -> str:
     """SQL of the array of spans (start, place, end, kind) of a pattern's matches.
 
     What lies between matches gives their offsets: a match starts where the parts before it end.
-    ``condition`` is SQL over ``m``, the match, and ``g``, its group.
+    ``condition`` is SQL over ``z``, the match ``z.m`` and its group ``z.g``.
     """
-    pattern = "'" + regex.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    pattern = literal(regex)
     found = f"regexp_extract_all({text}, {pattern}, 0)"
     groups = found if group == 0 else f"regexp_extract_all({text}, {pattern}, {group})"
     zipped = f"arrays_zip(slice(split({text}, {pattern}, -1), 1, size({found})), {found}, {groups})"
-    step = (
-        "named_struct('at', a.at + length(x.`0`) + length(x.`1`), 'spans',"
-        " a.spans || transform(filter(array(x), y -> exists(array(named_struct('m', y.`1`, 'g',"
-        f" y.`2`)), z -> {condition})), y -> named_struct('start', a.at + length(y.`0`), 'place',"
-        f" {place}, 'end', a.at + length(y.`0`) + length(y.`1`), 'kind', '{kind}')))"
+    span = (
+        f"named_struct('start', a.state + length(x.`0`), 'place', {place},"
+        f" 'end', a.state + length(x.`0`) + length(x.`1`), 'kind', '{kind}')"
     )
-    start = f"named_struct('at', 0, 'spans', cast(array() as {SPANS}))"
-    return (
-        f"if({text} rlike {pattern}, aggregate({zipped}, {start}, (a, x) -> {step}, a -> a.spans),"
-        f" cast(array() as {SPANS}))"
+    # In an array of one, so that the condition can name the match and its group.
+    kept = f"exists(array(named_struct('m', x.`1`, 'g', x.`2`)), z -> {condition})"
+    step = (
+        "named_struct('state', a.state + length(x.`0`) + length(x.`1`), 'out',"
+        f" if({kept}, array({span}), cast(array() as {SPANS})))"
     )
+    return f"if({text} rlike {pattern}, {scanned(zipped, '0', step, SPANS)}, cast(array() as {SPANS}))"
+
+
+def pieces(candidate: str) -> str:
+    """SQL of overlapping pieces of a string that have all its windows, and no others."""
+    tail = WINDOW - 1
+    grown = f"transform(ps, (p, i) -> concat(p, left(coalesce(get(ps, i + 1), ''), {tail})))"
+    cut = bound(f"regexp_extract_all({candidate}, '(?s).{{1,{PIECE}}}', 0)", "ps", grown)
+    return f"filter({cut}, p -> length(p) >= least({WINDOW}, length({candidate})))"
 
 
 def window_entropy(candidate: str, alphabet: str, window: int = WINDOW) -> str:
@@ -149,10 +198,6 @@ def window_entropy(candidate: str, alphabet: str, window: int = WINDOW) -> str:
     return f"aggregate(sequence(1, length({candidate})), {start}, (a, i) -> {step}, a -> a.best)"
 
 
-def literal(regex: str) -> str:
-    return "'" + regex.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def secret_condition(
     kind: CharacterClass, before: Sequence[CharacterClass], allowed: Sequence[str]
 ) -> str:
@@ -164,7 +209,8 @@ def secret_condition(
     if allowed:
         explained = "|".join(f"(?:{pattern})" for pattern in allowed)
         parts = f"filter(split(z.m, {literal(explained)}, -1), w -> length(w) >= {WINDOW})"
-    random = f"exists({parts}, w -> {window_entropy('w', kind.alphabet)} > {kind.bits})"
+    windows = f"exists({pieces('w')}, p -> {window_entropy('p', kind.alphabet)} > {kind.bits})"
+    random = f"exists({parts}, w -> {windows})"
     return " and ".join([*tests, random])
 
 
@@ -180,7 +226,8 @@ def secret_spans(
 
     Base spans all stay; an entropy span is added unless a base span or a longer entropy span covers
     it. Null texts count as empty and have no spans. Rows and their other columns stay as they are,
-    repeated rows too.
+    repeated rows too; an empty table stays empty. A single run of any length, and any number of spans in
+    a text, are searched whole.
     """
     body, found, random = fresh(docs, f"{name} body", f"{name} base", f"{name} random")
     base = [
@@ -197,43 +244,75 @@ def secret_spans(
         )
         for i, c in enumerate(classes)
     ]
-    searched = docs.withColumn(body, F.expr(f"coalesce(`{text}`, '')")).withColumns(
+    searched = docs.withColumn(body, F.expr(f"coalesce({quoted(text)}, '')")).withColumns(
         {
             found: F.expr(f"concat({', '.join(base)})"),
             random: F.expr(f"concat({', '.join(added)})"),
         }
     )
-    uncovered = (
-        f"filter(`{random}`, r -> not exists(`{found}`, b -> b.start <= r.start and"
-        f" b.end >= r.end) and not exists(`{random}`, b -> b.start <= r.start and"
-        " b.end >= r.end and b.end - b.start > r.end - r.start))"
-    )
-    spans = F.expr(f"sort_array(concat(`{found}`, {uncovered}))")
+    spans = F.expr(f"sort_array(concat(`{found}`, {uncovered(quoted(found), quoted(random))}))")
     return searched.withColumn(name, spans).drop(body, found, random)
 
 
+def uncovered(base: str, random: str) -> str:
+    """SQL of the entropy spans that neither a base span nor a longer entropy span covers.
+
+    In the order of starts, longer ones first and base spans before all, a span is covered if one
+    before it reaches as far. Equal entropy spans don't cover each other.
+    """
+
+    def marked(spans: str, late: int) -> str:
+        return (
+            f"transform({spans}, r -> named_struct('start', r.start, 'late', {late}, 'less', -r.end,"
+            " 'place', r.place, 'end', r.end, 'kind', r.kind))"
+        )
+
+    ordered = f"sort_array(concat({marked(base, 0)}, {marked(random, 1)}))"
+    same = "x.start = a.state.start and x.end = a.state.end"
+    reach = f"if({same}, a.state.reach, greatest(a.state.reach, a.state.end))"
+    span = "named_struct('start', x.start, 'place', x.place, 'end', x.end, 'kind', x.kind)"
+    after_base = (
+        "named_struct('base', greatest(a.state.base, x.end), 'reach', a.state.reach,"
+        " 'start', a.state.start, 'end', a.state.end)"
+    )
+    after_random = f"named_struct('base', a.state.base, 'reach', {reach}, 'start', x.start, 'end', x.end)"
+    kept = f"x.late = 1 and x.end > a.state.base and x.end > {reach}"
+    step = (
+        f"named_struct('state', if(x.late = 0, {after_base}, {after_random}),"
+        f" 'out', if({kept}, array({span}), cast(array() as {SPANS})))"
+    )
+    state = "named_struct('base', 0, 'reach', 0, 'start', -1, 'end', -1)"
+    return f"if(size({random}) = 0, {random}, {scanned(ordered, state, step, SPANS)})"
+
+
 def redacted(docs: DataFrame, text: str = "text", mask: str = "[secret]") -> DataFrame:
     """The documents with every secret of their text replaced by ``mask``; others stay unchanged.
 
     Overlapping spans become one. A null text stays null.
     """
-    spans, parts, body = fresh(docs, "secret spans", "secret parts", "secret text")
-    merged = (
-        f"aggregate(`{spans}`, cast(array() as array<struct<start:int,end:int>>), (a, s) ->"
-        " if(size(a) > 0 and a[size(a) - 1].end >= s.start,"
-        " slice(a, 1, size(a) - 1) || array(named_struct('start', a[size(a) - 1].start, 'end',"
-        " greatest(a[size(a) - 1].end, s.end))), a || array(named_struct('start', s.start, 'end',"
-        " s.end))))"
+    spans, gaps, body = fresh(docs, "secret spans", "secret gaps", "secret text")
+    # What is kept before each group of overlapping or touching spans, and behind the last.
+    step = (
+        "named_struct('state', named_struct('end', greatest(a.state.end, x.end), 'any', true), 'out',"
+        " if(a.state.any and x.start <= a.state.end, cast(array() as array<struct<start:int,end:int>>),"
+        " array(named_struct('start', a.state.end, 'end', x.start))))"
     )
-    last = f"if(i = 0, 0, get(`{parts}`, i - 1).end)"
-    kept = (
-        f"array_join(transform(`{parts}`, (s, i) -> substring(`{body}`, {last} + 1, s.start -"
-        f" {last})), '{mask}') || '{mask}' || substring(`{body}`, element_at(`{parts}`, -1).end + 1)"
+    state = "named_struct('end', 0, 'any', false)"
+    between = scanned(f"`{spans}`", state, step, "array<struct<start:int,end:int>>")
+    last = f"named_struct('start', array_max(transform(`{spans}`, s -> s.end)), 'end', length(`{body}`))"
+    first = f"greatest(g.start - c * {CHUNK}, 0)"
+    chunk = f"substring(get(cs, c), {first} + 1, least(g.end - c * {CHUNK}, {CHUNK}) - {first})"
+    part = f"array_join(transform(sequence(g.start div {CHUNK}, (g.end - 1) div {CHUNK}), c -> {chunk}), '')"
+    kept = bound(
+        f"regexp_extract_all(`{body}`, '(?s).{{1,{CHUNK}}}', 0)",
+        "cs",
+        f"array_join(transform(`{gaps}`, g -> if(g.start >= g.end, '', {part})), {literal(mask)})",
     )
     # The text under a name that no variable of the expressions has.
-    found = secret_spans(docs.withColumn(body, F.col(f"`{text}`")), body, name=spans)
-    cleaned = F.expr(f"if(size(`{parts}`) > 0, {kept}, `{body}`)")
-    return found.withColumn(parts, F.expr(merged)).withColumn(text, cleaned).drop(spans, parts, body)
+    found = secret_spans(docs.withColumn(body, F.col(quoted(text))), body, name=spans)
+    cleaned = F.expr(f"if(size(`{spans}`) > 0, {kept}, `{body}`)")
+    cut = found.withColumn(gaps, F.expr(f"if(size(`{spans}`) > 0, {between} || array({last}), null)"))
+    return cut.withColumn(text, cleaned).drop(spans, gaps, body)
 
 
 def joined(spans: Column) -> Column:

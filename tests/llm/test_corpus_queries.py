@@ -25,4 +25,4 @@ def test_query_equals_sql(spark, documents, monkeypatch, name):
 
 
 def test_all_queries_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")) == list(range(1, 14))
