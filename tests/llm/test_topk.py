@@ -86,7 +86,7 @@ def test_few_exact_vectors_are_read(spark, monkeypatch):
     monkeypatch.setattr(topk, "scored", lambda met, f=topk.scored: read.append(met.count()) or f(met))
     found = got(vectors, 50, 5)
     asked = len({r[0] for r in found})
-    assert sum(read) < 0.25 * asked * vectors.count()
+    assert sum(read) < 0.1 * asked * vectors.count()
 
 
 def test_ties_nulls_and_few_rows(spark):
@@ -106,8 +106,10 @@ def test_bounds_hold(scale):
     rng = np.random.default_rng(0)
     vectors = rng.integers(-300, 300, (200, 16)) * scale
     queries = rng.integers(-300, 300, (9, 16)) * scale
-    about, slack = topk.bounds(queries, *topk.quantised(vectors, 3))
-    assert (np.abs(queries @ vectors.T - about) <= slack[:, None]).all()
+    for bits in (3, 8):
+        below, above = topk.bounds(queries, *topk.quantised(vectors, bits))
+        exact = queries @ vectors.T
+        assert (below <= exact).all() and (exact <= above).all()
 
 
 @pytest.mark.parametrize("bits", range(1, 9))
