@@ -3,6 +3,7 @@
 from catalog import (
     aggregates,
     columns,
+    days,
     edges,
     joins,
     ordered,
@@ -19,6 +20,7 @@ __all__ = [
     "QUERIES",
     "aggregates",
     "columns",
+    "days",
     "edges",
     "joins",
     "ordered",

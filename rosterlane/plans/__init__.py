@@ -12,8 +12,12 @@ from rosterlane.plans.report import (
     build_base,
     build_detail,
     build_trend,
+    daily_changes,
+    lay_out_sides,
+    publish_trend,
     report_day,
     run_report,
+    trend_over_days,
 )
 from rosterlane.plans.steps import (
     enrich_contacts,
@@ -29,15 +33,19 @@ __all__ = [
     "build_base",
     "build_detail",
     "build_trend",
+    "daily_changes",
     "enrich_contacts",
     "form_choice",
     "inperson_participation",
+    "lay_out_sides",
     "page_account",
     "participation_flags",
     "payer_list",
     "portal_state",
+    "publish_trend",
     "report_day",
     "run_report",
     "status_by_plan",
+    "trend_over_days",
     "webinar_participation",
 ]

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +13,8 @@ from rosterlane import fixed_values as V
 from rosterlane.functions.dates import export_stamp, report_date
 from rosterlane.functions.text import trim_ws
 from rosterlane.operators.aggregates import conditional_distinct, marks_by_key
+from rosterlane.operators.bitmaps import NUMBER, bitmap_counts, metric_bitmaps, number_keys
+from rosterlane.operators.changes import table_changes
 from rosterlane.operators.columns import quoted, rename_columns, stringify_all, union_ragged
 from rosterlane.operators.joins import left_join
 from rosterlane.operators.ordered import first_per_key
@@ -22,7 +24,9 @@ from rosterlane.plans.participation import (
     participation_flags,
 )
 from rosterlane.plans.steps import (
+    PAYER_ID,
     attach_payers,
+    clean_payers,
     enrich_contacts,
     form_choice,
     payer_list,
@@ -30,9 +34,9 @@ from rosterlane.plans.steps import (
     status_by_plan,
 )
 from rosterlane.schemas import DETAIL, FLAGS, row_order
-from rosterlane.sinks.files import EVENT_DATE, export_report, shared_folder
-from rosterlane.sinks.published import publish_day
-from rosterlane.sources.tables import inperson_engagements, portals
+from rosterlane.sinks.files import EVENT_DATE, export_report, lay_out, quote, shared_folder
+from rosterlane.sinks.published import publish_day, published_runs, read_published
+from rosterlane.sources.tables import inperson_engagements, learning_enrolments, portals
 
 ID = V.ROSTER_COLUMNS[V.ROSTER_TAX_ID]
 WAVE = V.ROSTER_COLUMNS[V.ROSTER_WAVE]
@@ -40,10 +44,17 @@ CHOICE, PORTAL_CREATED = "EVV_SYSTEM_CHOICE", "PORTAL_CREATED"
 STATUS, STATUS_HELP = V.DETAIL_ENROLMENT
 FORM_KEY = "FORM_TAX_ID"
 
+# What a day publishes.
+DETAIL_PRODUCT, TREND_PRODUCT = "detail", "trend"
+NUMBERS_PRODUCT, BITMAPS_PRODUCT = "numbers", "bitmaps"
+
 
 @dataclass(frozen=True)
 class CampaignInputs:
-    """The tables of one run; ``participation`` is what ``webinar_participation`` returns."""
+    """The tables of one run; ``participation`` is what ``webinar_participation`` returns.
+
+    ``laid_out``: enrolments, payers and portals are what ``lay_out_sides`` has made of them.
+    """
 
     roster: DataFrame
     form: DataFrame
@@ -54,6 +65,26 @@ class CampaignInputs:
     enrolments: DataFrame
     engagements: DataFrame
     portal_dim: DataFrame
+    laid_out: bool = False
+
+
+def lay_out_sides(inputs: CampaignInputs, prefix: str, buckets: int, folder: str) -> CampaignInputs:
+    """Write enrolments, payers and portals, cleaned and reduced to what the report reads, as tables
+    bucketed by id; returns the inputs with these tables in their place.
+
+    A report over them aggregates and joins every side where its buckets are, without a shuffle, if there
+    are as many buckets as shuffle partitions or more; so they are laid out once and read every day. The
+    tables lie in the folder, are named with the prefix, and replaced if they exist.
+    """
+    plans = (V.PLAN_HEALTH, V.PLAN_HELP)
+    enrolments = learning_enrolments(inputs.enrolments, plans)
+    sides = {
+        "enrolments": (enrolments, "AGENCY_TAX_ID"),
+        "payers": (clean_payers(inputs.payers), PAYER_ID),
+        "portal_dim": (portals(inputs.portal_dim), "TAX_ID"),
+    }
+    tables = {name: lay_out(df, f"{prefix}_{name}", key, buckets, folder) for name, (df, key) in sides.items()}
+    return replace(inputs, laid_out=True, **tables)
 
 
 def build_base(inputs: CampaignInputs) -> DataFrame:
@@ -74,7 +105,7 @@ def build_base(inputs: CampaignInputs) -> DataFrame:
         base, inputs.enrolments, ID, {V.PLAN_HEALTH: STATUS, V.PLAN_HELP: STATUS_HELP}
     )
     base = attach_payers(base, payer_list(inputs.payers), ID, WAVE)
-    return portal_state(base, portals(inputs.portal_dim), ID)
+    return portal_state(base, inputs.portal_dim if inputs.laid_out else portals(inputs.portal_dim), ID)
 
 
 def build_detail(base: DataFrame, forms: DataFrame, event_date: str) -> DataFrame:
@@ -132,20 +163,60 @@ def build_trend(base: DataFrame, forms: DataFrame, event_date: str) -> DataFrame
     choices are reduced to marks per id before the join, which counts the same as joining all of
     them and keeps one row per provider and wave.
     """
-    rows = left_join(base, form_marks(forms), ID, FORM_KEY, unique=True, even=True)
-    counts = conditional_distinct(rows, ID, trend_metrics())
+    counts = conditional_distinct(_trend_rows(base, forms), ID, trend_metrics())
     return counts.select(F.to_date(F.lit(event_date), V.REPORT_DATE).alias(EVENT_DATE), "*")
 
 
+def _trend_rows(base: DataFrame, forms: DataFrame) -> DataFrame:
+    return left_join(base, form_marks(forms), ID, FORM_KEY, unique=True, even=True)
+
+
+def trend_products(
+    base: DataFrame, forms: DataFrame, known: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """What a day keeps so that its counts can be merged with those of other days: the numbers of ids
+    that ``known`` (of all days, this one's earlier runs too) does not have, and a bitmap per metric."""
+    rows = _trend_rows(base, forms)
+    new = number_keys(base, ID, known).checkpoint()
+    numbers = new if known is None else new.unionByName(known.select(ID, NUMBER))
+    return {NUMBERS_PRODUCT: new, BITMAPS_PRODUCT: metric_bitmaps(rows, ID, numbers, trend_metrics())}
+
+
+def publish_trend(
+    spark: SparkSession, store: str, day: str, base: DataFrame, forms: DataFrame
+) -> dict[str, DataFrame]:
+    """Publish the day's numbers and bitmaps (see ``trend_products``) to a store of their own.
+
+    A number that was given stays: a day that is published again keeps those it gave before.
+    """
+    days = published_runs(spark, store, NUMBERS_PRODUCT)
+    known = read_published(spark, store, NUMBERS_PRODUCT) if days else None
+    products = trend_products(base, forms, known)
+    if quote(day) in days:
+        own = read_published(spark, store, NUMBERS_PRODUCT, [day])
+        products[NUMBERS_PRODUCT] = products[NUMBERS_PRODUCT].unionByName(own)
+    return publish_day(spark, store, day, products)
+
+
+def trend_over_days(spark: SparkSession, store: str, days: Iterable[str] | None = None) -> DataFrame:
+    """One row: the 45 distinct counts over the given days together, from their bitmaps alone."""
+    return bitmap_counts(read_published(spark, store, BITMAPS_PRODUCT, days), trend_metrics())
+
+
+def daily_changes(
+    spark: SparkSession, store: str, before: str, after: str, product: str = "detail"
+) -> DataFrame:
+    """What was added, removed or changed between the details of two published days, by wave and id."""
+    one, other = (read_published(spark, store, product, [day]).drop(EVENT_DATE) for day in (before, after))
+    return table_changes(one, other, [WAVE, ID])
+
+
 def report_day(spark: SparkSession, moment: datetime) -> tuple[str, str]:
     """The date of a run in the report's zone, as the snapshots and as the report's name have it."""
     instant = F.timestamp_seconds(F.lit(moment.timestamp()))
     return tuple(spark.range(1).select(report_date(instant), export_stamp(instant)).first())
 
 
-DETAIL_PRODUCT, TREND_PRODUCT = "detail", "trend"
-
-
 def check_pair(products: Mapping[str, DataFrame]) -> None:
     """The counts of the trend that the detail rows can show have to agree with them."""
     detail, trend = products[DETAIL_PRODUCT], products[TREND_PRODUCT].collect()

@@ -27,6 +27,8 @@ from rosterlane.operators.ordered import (
 from rosterlane.schemas import row_order
 from rosterlane.sources.tables import crm_contacts, learning_enrolments
 
+PAYER_ID = "PAYER_TAX_ID"
+
 
 def enrich_contacts(
     roster: DataFrame, contact: DataFrame, account: DataFrame, only_blank: bool = True
@@ -97,13 +99,18 @@ def status_by_plan(
     return joined.fillna(label, subset=list(plans.values()))
 
 
-def payer_list(payers: DataFrame) -> DataFrame:
-    """Per clean id its distinct payers and its distinct waves, each as one text."""
+def clean_payers(payers: DataFrame) -> DataFrame:
+    """(PAYER_TAX_ID, Payer, Wave): the payer sheet with clean ids."""
     kind = payers.schema[V.ROSTER_TAX_ID].dataType
-    clean = payers.select(
-        normalize_id(F.col(V.ROSTER_TAX_ID), kind).alias("PAYER_TAX_ID"), "Payer", V.ROSTER_WAVE
-    )
-    return distinct_concat(clean, "PAYER_TAX_ID", {"Payer": "PAYERS", V.ROSTER_WAVE: "PAYER_WAVE"})
+    clean = normalize_id(F.col(V.ROSTER_TAX_ID), kind).alias(PAYER_ID)
+    return payers.select(clean, "Payer", V.ROSTER_WAVE)
+
+
+def payer_list(payers: DataFrame) -> DataFrame:
+    """Per clean id its distinct payers and its distinct waves, each as one text; of the sheet, or of
+    what ``clean_payers`` has made of it."""
+    clean = payers if PAYER_ID in payers.columns else clean_payers(payers)
+    return distinct_concat(clean, PAYER_ID, {"Payer": "PAYERS", V.ROSTER_WAVE: "PAYER_WAVE"})
 
 
 def attach_payers(df: DataFrame, payers: DataFrame, on: str, wave: str) -> DataFrame:

@@ -39,6 +39,17 @@ def write_snapshot(
             remove(spark, folder)
 
 
+def lay_out(df: DataFrame, table: str, key: str, buckets: int, folder: str) -> DataFrame:
+    """Write a table bucketed and sorted by the key, one file per bucket, below the folder; read it.
+
+    The table is replaced if there is one of its name.
+    """
+    laid = df.repartition(buckets, F.col(key))
+    writer = laid.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    writer.option("path", f"{folder.rstrip('/')}/{table}").saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def quote(value: str) -> str:
     """A partition value as it stands in a folder's name."""
     return "".join(f"%{ord(c):02X}" if c in PATH_ESCAPES or ord(c) < 32 else c for c in value)

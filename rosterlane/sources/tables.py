@@ -16,6 +16,7 @@ from rosterlane.functions.ids import normalize_id
 from rosterlane.functions.text import any_of, contains_ci, trim_ws
 from rosterlane.operators.columns import quoted
 from rosterlane.operators.joins import keep_matching
+from rosterlane.operators.prefilter import prefiltered
 from rosterlane.sources.sheets import read_sheets
 
 
@@ -68,12 +69,18 @@ def portals(portal_dim: DataFrame) -> DataFrame:
 
 
 def crm_contacts(
-    contact: DataFrame, account: DataFrame, ids: DataFrame, id_column: str
+    contact: DataFrame, account: DataFrame, ids: DataFrame, id_column: str, prefilter: bool = False
 ) -> DataFrame:
-    """Contacts with an email whose account has one of the given ids: id, role, email."""
+    """Contacts with an email whose account has one of the given ids: id, role, email.
+
+    ``prefilter``: where few of very many contacts are wanted, most are left out by a Bloom filter of
+    the wanted accounts ahead of the shuffle.
+    """
     accounts = account.select(F.col("ID"), trim_ws(F.col("TAX_ID_C")).alias("TAX_ID_C"))
     wanted = keep_matching(accounts, ids, "TAX_ID_C", id_column, even=True)
     with_email = contact.where(F.col("email").isNotNull())
+    if prefilter:
+        with_email = prefiltered(with_email, wanted, ["account_id"], ["ID"])
     return with_email.join(wanted, with_email["account_id"] == wanted["ID"], "inner").select(
         "TAX_ID_C", "CONTACT_ROLE_C", "email"
     )
