@@ -26,8 +26,10 @@ from rosterlane.llm.words import mix, text_bytes, word_hashes
 
 WINDOW = 20
 FIRST = 5
-# Documents with ids of one such range form a chunk.
+# Documents that form a chunk, where ids are spread evenly: their range of ids is taken from the data.
 CHUNK_IDS = 256
+# Bytes of text whose hashes go to one bucket.
+BUCKET_BYTES = 32 << 20
 # Rows and bytes of text of a chunk at most; a longer text is a chunk by itself.
 CHUNK_ROWS = 4096
 CHUNK_BYTES = 16 << 20
@@ -36,7 +38,11 @@ PREFIX = 1000
 QUESTION = "bucket long, chunk long, part long, hashes binary"
 ANSWER = "chunk long, part long, hashes binary"
 RESULT = "doc_id long, n_words long, removed_spans array<struct<start:int,end:int>>, text string"
-LEFT, RIGHT = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+# Of the two kinds of hashes.
+FACTORS = (
+    (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)),
+    (np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)),
+)
 
 
 def levels(window: int, first: int) -> list[int]:
@@ -51,22 +57,51 @@ def levels(window: int, first: int) -> list[int]:
     return found
 
 
-def hashes_of(codes: np.ndarray, lengths: list[int]) -> list[np.ndarray]:
+def hashes_of(codes: np.ndarray, lengths: list[int], kind: int = 0) -> list[np.ndarray]:
     """Per level the hash of the window that starts at each word (as far as there is one)."""
+    left, right = FACTORS[kind]
     size = lengths[0]
     count = max(0, len(codes) - size + 1)
     first = np.zeros(count, np.uint64)
     for j in range(size):
-        first = mix(first * LEFT + codes[j : j + count])
+        first = mix(first * left + codes[j : j + count])
     out = [first]
     for length in lengths[1:]:
         last, step = out[-1], length - size
         count = max(0, len(codes) - length + 1)
-        out.append(mix(last[:count] * LEFT + last[step : step + count] * RIGHT))
+        out.append(mix(last[:count] * left + last[step : step + count] * right))
         size = length
     return out
 
 
+def window_hashes(codes: np.ndarray, lengths: list[int]) -> np.ndarray:
+    """The 128-bit hashes of the windows of full length: a row of two numbers each."""
+    return np.column_stack([hashes_of(codes, lengths, kind)[-1] for kind in range(2)])
+
+
+def different(rows: np.ndarray) -> np.ndarray:
+    """The different rows, sorted."""
+    if rows.shape[1] == 1:
+        return np.unique(rows)[:, None]
+    rows = rows[np.lexsort(rows.T[::-1])]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+    return rows[new]
+
+
+def seen_before(rows: np.ndarray) -> np.ndarray:
+    """Which rows are equal to an earlier one."""
+    _, first, number = np.unique(rows[:, 0], return_index=True, return_inverse=True)
+    first = first[number.ravel()]
+    if (rows != rows[first]).any():
+        # Two windows share the first number by chance.
+        order = np.lexsort(rows.T[::-1])
+        again = np.zeros(len(rows), bool)
+        again[order[1:]] = (rows[order[1:]] == rows[order[:-1]]).all(axis=1)
+        return again
+    return first != np.arange(len(rows))
+
+
 def lowest(values: np.ndarray, width: int) -> np.ndarray:
     """The minimum of every ``width`` values in a row."""
     have = 1
@@ -77,16 +112,23 @@ def lowest(values: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
-def within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which values are in the sorted array."""
+def within(rows: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which rows are among the sorted different rows ``known``."""
+    found = np.zeros(len(rows), bool)
     if not len(known):
-        return np.zeros(len(values), bool)
-    place = np.minimum(np.searchsorted(known, values), len(known) - 1)
-    return known[place] == values
+        return found
+    values, heads = rows[:, 0], np.ascontiguousarray(known[:, 0])
+    place = np.searchsorted(heads, values)
+    # As many rows as share a first number, which is one but for chance.
+    same = np.flatnonzero(np.diff(heads, prepend=~heads[:1]))
+    for step in range(int(np.diff(same, append=len(heads)).max())):
+        at = np.minimum(place + step, len(heads) - 1)
+        found |= (known[at] == rows).all(axis=1)
+    return found
 
 
-def unpacked(blobs: list[bytes]) -> np.ndarray:
-    return np.unique(np.frombuffer(b"".join(blobs), np.uint64))
+def unpacked(blobs: list[bytes], width: int) -> np.ndarray:
+    return different(np.frombuffer(b"".join(blobs), np.uint64).reshape(-1, width))
 
 
 def in_order(ids: list[int | None], texts: list[str | None]) -> list[int]:
@@ -98,8 +140,8 @@ def in_order(ids: list[int | None], texts: list[str | None]) -> list[int]:
 
 def sent(key: tuple, hashes: np.ndarray, buckets: int) -> pa.Table:
     """A chunk's distinct hashes, a row per bucket."""
-    hashes = np.unique(hashes)
-    bucket = (hashes >> np.uint64(33)) % np.uint64(buckets)
+    hashes = different(hashes)
+    bucket = (hashes[:, 0] >> np.uint64(33)) % np.uint64(buckets)
     order = np.argsort(bucket, kind="stable")
     hashes, bucket = hashes[order], bucket[order]
     used, starts = np.unique(bucket, return_index=True)
@@ -113,23 +155,24 @@ def sent(key: tuple, hashes: np.ndarray, buckets: int) -> pa.Table:
     })
 
 
-def answered(table: pa.Table, later_only: bool) -> pa.Table:
-    """Of a bucket's hashes, those that several chunks have, a row per chunk that hears of any.
+def answered(table: pa.Table, later_only: bool, width: int) -> pa.Table:
+    """Of a bucket's hashes (of ``width`` numbers), those that several chunks have, a row per chunk
+    that hears of any.
 
     ``later_only``: the first of the chunks does not hear of a hash.
     """
     blobs = table["hashes"].to_pylist()
     places = np.column_stack([table["chunk"].to_numpy(), table["part"].to_numpy()])
     places, number = np.unique(places, axis=0, return_inverse=True)
-    chunks = np.repeat(number.ravel(), [len(b) // 8 for b in blobs])
-    hashes = np.frombuffer(b"".join(blobs), np.uint64)
-    order = np.lexsort((chunks, hashes))
+    chunks = np.repeat(number.ravel(), [len(b) // (8 * width) for b in blobs])
+    hashes = np.frombuffer(b"".join(blobs), np.uint64).reshape(-1, width)
+    order = np.lexsort((chunks, *hashes.T[::-1]))
     hashes, chunks = hashes[order], chunks[order]
     # A chunk may have been sent in parts.
     new = np.ones(len(hashes), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (chunks[1:] != chunks[:-1])
+    new[1:] = (hashes[1:] != hashes[:-1]).any(axis=1) | (chunks[1:] != chunks[:-1])
     hashes, chunks = hashes[new], chunks[new]
-    same = hashes[1:] == hashes[:-1]
+    same = (hashes[1:] == hashes[:-1]).all(axis=1)
     told = np.zeros(len(hashes), bool)
     told[1:] |= same
     if not later_only:
@@ -155,22 +198,34 @@ def covered(removed: np.ndarray, window: int, n_words: int) -> np.ndarray:
     return np.cumsum(edges[:-1]) > 0
 
 
+def width_of(level: int, lengths: list[int]) -> int:
+    """Numbers of a hash on a level."""
+    return 2 if level == len(lengths) - 1 else 1
+
+
 def questions(table: pa.Table, told: pa.Table | None, lengths: list[int], level: int) -> np.ndarray:
     """The hashes that a chunk asks about on a level: of every window that is still a candidate the
-    smallest hash of the level's windows inside it. ``told`` answers the level before."""
-    window = lengths[-1]
-    known = unpacked(told["hashes"].to_pylist()) if told is not None else None
-    picked = [np.empty(0, np.uint64)]
+    smallest hash of the level's windows inside it, and on the last level its own. ``told`` answers the
+    level before."""
+    window, width = lengths[-1], width_of(level, lengths)
+    known = unpacked(told["hashes"].to_pylist(), 1) if told is not None else None
+    picked = [np.empty((0, width), np.uint64)]
     for data in text_bytes(table["text"]):
         codes = word_hashes(data)[2]
         if len(codes) < window:
             continue
         every = hashes_of(codes, lengths[: level + 1])
-        seeds = lowest(every[level], window - lengths[level] + 1)
+        candidate = None
         if known is not None:
             before = lowest(every[level - 1], window - lengths[level - 1] + 1)
-            seeds = seeds[within(before, known)]
-        picked.append(np.unique(seeds))
+            candidate = within(before[:, None], known)
+            if not candidate.any():
+                continue
+        if width == 2:
+            seeds = window_hashes(codes, lengths)
+        else:
+            seeds = lowest(every[level], window - lengths[level] + 1)[:, None]
+        picked.append(different(seeds if candidate is None else seeds[candidate]))
     return np.concatenate(picked)
 
 
@@ -192,12 +247,13 @@ def asking_on(lengths: list[int], buckets: int, level: int):
     return ask
 
 
-def answered_all(table: pa.Table) -> pa.Table:
-    return answered(table, later_only=False)
+def answering(lengths: list[int], level: int):
+    """What a bucket says on a level."""
 
+    def answer(table: pa.Table) -> pa.Table:
+        return answered(table, level == len(lengths) - 1, width_of(level, lengths))
 
-def answered_last(table: pa.Table) -> pa.Table:
-    return answered(table, later_only=True)
+    return answer
 
 
 def cleaned(table: pa.Table, told: pa.Table, lengths: list[int]) -> pa.Table:
@@ -206,12 +262,10 @@ def cleaned(table: pa.Table, told: pa.Table, lengths: list[int]) -> pa.Table:
     ids, texts = table["doc_id"].to_pylist(), list(text_bytes(table["text"]))
     order = in_order(ids, table["text"].to_pylist())
     codes = [word_hashes(texts[i])[2] for i in order]
-    windows = [hashes_of(c, lengths)[-1] for c in codes]
+    windows = [window_hashes(c, lengths) for c in codes]
     bounds = np.concatenate([[0], np.cumsum([len(w) for w in windows])]).astype(int)
-    flat = np.concatenate([np.empty(0, np.uint64), *windows])
-    repeated = np.ones(len(flat), bool)
-    repeated[np.unique(flat, return_index=True)[1]] = False
-    repeated |= within(flat, unpacked(told["hashes"].to_pylist()))
+    flat = np.concatenate([np.empty((0, 2), np.uint64), *windows])
+    repeated = seen_before(flat) | within(flat, unpacked(told["hashes"].to_pylist(), 2))
     n_words, spans, kept = [], [], []
     for place, i in enumerate(order):
         words = texts[i].tobytes().split()
@@ -252,10 +306,23 @@ def numbering(rows_at_most: int, bytes_at_most: int):
     return number
 
 
+def range_of_ids(docs: DataFrame, chunk_ids: int) -> int:
+    """How many ids in a row belong to about ``chunk_ids`` documents, where most of them lie: as many
+    for dense ids, more for hashed ones. Ranges that hold far more documents are cut anyhow."""
+    ids = F.col("doc_id").cast("long")
+    bounds = F.percentile_approx(ids, [0.1, 0.9], 1000).alias("bounds")
+    rows, bounds = docs.where(ids.isNotNull()).agg(F.count("*"), bounds).first()
+    if not rows:
+        return chunk_ids
+    width = -(-chunk_ids * (bounds[1] - bounds[0]) * 10 // (8 * rows))
+    return min(max(chunk_ids, width), 1 << 62)
+
+
 def in_chunks(
     docs: DataFrame, chunk_ids: int, chunk_rows: int, chunk_bytes: int
-) -> DataFrame:
-    """(doc_id, text, chunk, part): every row's chunk and the part of it, ordered as documents are.
+) -> tuple[DataFrame, int]:
+    """(doc_id, text, chunk, part): every row's chunk and the part of it, ordered as documents are;
+    and the bytes of all texts.
 
     Chunks within the bounds are one part. The rows of others are dealt by ranges of the order, sorted,
     and numbered in turn. Range bounds hold a text's first characters; rows equal in id and text, if
@@ -263,19 +330,22 @@ def in_chunks(
     several ranges. These rows are written to the shared folder, as numbers must not change.
     """
     spark = docs.sparkSession
-    chunk = F.coalesce(F.floor(F.col("doc_id") / chunk_ids), F.lit(-(1 << 62))).cast("long")
+    # Division that rounds down, in whole numbers: a double does not hold every id.
+    width = range_of_ids(docs, chunk_ids)
+    chunk = F.coalesce(
+        F.expr(f"doc_id div {width}L - if(doc_id % {width}L < 0, 1L, 0L)"), F.lit(-(1 << 62))
+    ).cast("long")
     body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("chunk", chunk)
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    large = (
-        body.groupBy("chunk")
-        .agg(F.count("*").alias("rows"), F.sum(size).alias("bytes"))
-        .where((F.col("rows") > 1) & ((F.col("rows") > chunk_rows) | (F.col("bytes") > chunk_bytes)))
-    )
-    rows, total = large.agg(F.sum("rows"), F.sum("bytes")).first()
+    sizes = body.groupBy("chunk").agg(F.count("*").alias("rows"), F.sum(size).alias("bytes"))
+    is_large = (F.col("rows") > 1) & ((F.col("rows") > chunk_rows) | (F.col("bytes") > chunk_bytes))
+    rows, total, all_bytes = sizes.agg(
+        F.sum(F.when(is_large, F.col("rows"))), F.sum(F.when(is_large, F.col("bytes"))), F.sum("bytes")
+    ).first()
     whole = body.withColumn("part", F.lit(0).cast("long"))
     if not rows:
-        return whole
-    large = kept_table(large.select("chunk"), "large-chunks")
+        return whole, all_bytes or 0
+    large = kept_table(sizes.where(is_large).select("chunk"), "large-chunks")
     known = F.coalesce("text", F.lit(""))
     ranges = min(partitions(spark), 1 + rows // chunk_rows + total // chunk_bytes)
     sized = body.join(large, "chunk", "left_semi").select(
@@ -298,7 +368,7 @@ def in_chunks(
         numbering(chunk_rows, chunk_bytes), "doc_id long, text string, chunk long, part long"
     )
     small = whole.join(large, "chunk", "left_anti").select("doc_id", "text", "chunk", "part")
-    return small.unionByName(kept_table(cut, "cut-chunks"))
+    return small.unionByName(kept_table(cut, "cut-chunks")), all_bytes
 
 
 def without_repeats(
@@ -317,16 +387,16 @@ def without_repeats(
     ranges of removed words (start, end; end exclusive) and ``text`` the kept words joined by one
     space. Null texts count as empty; every row comes back.
 
-    Windows are compared by 64-bit hashes. Documents are shuffled once, by chunk, and every level
+    Windows are compared by 128-bit hashes. Documents are shuffled once, by chunk, and every level
     reads that shuffle again. A task works on one chunk at a time, of ``chunk_rows`` rows and
     ``chunk_bytes`` bytes of text at most, or of one text.
     """
     spark = docs.sparkSession
     lengths = levels(window, first)
-    # Two for each task, to even out what a task gets.
-    buckets = 2 * partitions(spark)
     place = ["chunk", "part"]
-    rows = in_chunks(docs, chunk_ids, chunk_rows, chunk_bytes)
+    rows, size = in_chunks(docs, chunk_ids, chunk_rows, chunk_bytes)
+    # As many as the texts need, and two for each task at least, to even out what a task gets.
+    buckets = max(2 * partitions(spark), size // BUCKET_BYTES)
     by_chunk = rows.repartition(partitions(spark), *place).groupBy(*place)
     answers = None
     for level in range(len(lengths)):
@@ -336,8 +406,7 @@ def without_repeats(
             asked = by_chunk.cogroup(answers.groupBy(*place)).applyInArrow(
                 asking_on(lengths, buckets, level), QUESTION
             )
-        answering = answered_last if level == len(lengths) - 1 else answered_all
-        answers = asked.groupBy("bucket").applyInArrow(answering, ANSWER)
+        answers = asked.groupBy("bucket").applyInArrow(answering(lengths, level), ANSWER)
 
     def clean(key: tuple, texts: pa.Table, told: pa.Table) -> pa.Table:
         return cleaned(texts, told, lengths)

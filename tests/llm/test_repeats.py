@@ -4,6 +4,7 @@ import pytest
 from helpers_llm import ordered, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from rosterlane.llm import repeats
 from rosterlane.llm import words as w
 
@@ -69,7 +70,7 @@ def test_hot_ids_are_cut(spark, chunk_rows, chunk_bytes):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     bounds = {"chunk_ids": 4, "chunk_rows": chunk_rows, "chunk_bytes": chunk_bytes}
     parts = {}
-    for r in repeats.in_chunks(docs, **bounds).collect():
+    for r in repeats.in_chunks(docs, **bounds)[0].collect():
         parts.setdefault((r["chunk"], r["part"]), []).append(r)
     for found in parts.values():
         assert len(found) <= chunk_rows
@@ -83,6 +84,33 @@ def test_hot_ids_are_cut(spark, chunk_rows, chunk_bytes):
     assert got(docs, **bounds) == brute(rows, 20)
 
 
+def test_hashed_ids_make_no_more_chunks_than_dense_ones(spark, documents):
+    hashed = documents.withColumn("doc_id", F.expr("xxhash64(doc_id)"))
+    rows = [(r["doc_id"], r["text"]) for r in hashed.select("doc_id", "text").collect()]
+    assert got(hashed, chunk_ids=16) == brute(rows, 20)
+
+    def chunks(df):
+        return repeats.in_chunks(df, 16, 1 << 20, 1 << 40)[0].select("chunk", "part").distinct().count()
+
+    assert chunks(hashed) <= 3 * chunks(documents)
+    # Ends of the range of ids, and ids below zero.
+    edge = [(-(1 << 63), "a " * 30), (1 << 62, "a " * 30), (-1, "b " * 30), (0, "b " * 30), (1, None)]
+    for some in (edge, edge[:2], edge[-1:]):
+        assert got(spark.createDataFrame(some, "doc_id long, text string"), chunk_ids=2) == brute(some, 20)
+
+
+def test_hashes_of_128_bits():
+    """Rows that share their first number are told apart by the second."""
+    rows = np.array([[1, 1], [1, 2], [1, 1], [2, 1], [1, 2], [3, 9]], np.uint64)
+    assert repeats.seen_before(rows).tolist() == [False, False, True, False, True, False]
+    assert repeats.seen_before(rows[[0, 3, 5, 0]]).tolist() == [False, False, False, True]
+    known = repeats.different(rows)
+    assert known.tolist() == [[1, 1], [1, 2], [2, 1], [3, 9]]
+    asked = np.array([[1, 1], [1, 2], [1, 3], [0, 1], [2, 1], [3, 9], [3, 8], [9, 9]], np.uint64)
+    assert repeats.within(asked, known).tolist() == [True, True, False, False, True, True, False, False]
+    assert repeats.within(asked, known[:0]).tolist() == [False] * 8
+
+
 def test_levels_double():
     assert repeats.levels(20, 5) == [5, 10, 20]
     assert repeats.levels(20, 6) == [6, 12, 20]
