@@ -136,7 +136,16 @@ def op9_topk(spark, folder):
     return topk.exact_top_k(vectors, F.col("vec_id") % 50 == 0)
 
 
-@query()
+# Base 32 of a hexadecimal digest: five digits are twenty bits, or four characters.
+BASE32_SQL = """array_to_string(list_transform(range(8), lambda g: array_to_string(list_transform([15, 10, 5, 0],
+  lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr({0}, g * 5 + 1, 5))::integer >> s) % 32 + 1, 1)), '')), '')"""
+
+
+@query(f"""with p as (select page_id, coalesce(html, '') as body from pages),
+  grouped as (select page_id, body, sha1(body) as digest, max(page_id) over (partition by body) as last from p)
+  select page_id, strlen(body)::bigint as payload_bytes, {BASE32_SQL.format("digest")} as payload_digest,
+    case when page_id = last then 'response' else 'revisit' end as record_type,
+    case when page_id <> last then last end as refers_to from grouped""")
 def op5_warc(spark, folder):
     pages = table(spark, folder, "pages")
     records = warc.archived(pages, work_folder(spark, "warc"))

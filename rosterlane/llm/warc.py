@@ -284,19 +284,25 @@ class Index:
 def find_captures(wanted: DataFrame, index: DataFrame, folder: str) -> DataFrame:
     """(file, offset, length) of all captures of the pages (url, page_id) that ``wanted`` holds.
 
-    Look-ups are sorted, so that a task opens few index files. ``index`` has one row per index file
-    and is the only thing each task gets whole.
+    Look-ups are dealt and sorted by the key that the index is sorted by, so a task opens few index
+    files and reads each block once. ``index`` has one row per index file and is the only thing each
+    task gets whole.
     """
     spark = wanted.sparkSession
     files = sorted((r.first, r.last, r.file) for r in index.toLocalIterator())
-    by_key = wanted.select("url", "page_id").distinct()
-    dealt = by_key.repartitionByRange(partitions(spark), "url", "page_id")
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pages = zip(batch["url"].to_pylist(), batch["page_id"].to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array([reversed_key(*page) for page in pages], pa.string())], ["key"])
+
+    by_key = wanted.select("url", "page_id").mapInArrow(key, "key string").distinct()
+    dealt = by_key.repartitionByRange(partitions(spark), "key").sortWithinPartitions("key")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where = Index(folder, files)
         for batch in batches:
-            keys = sorted({reversed_key(r["url"], r["page_id"]) for r in batch.to_pylist()})
-            rows = [capture for key in keys for capture in where.find(key)]
+            rows = [capture for key in batch["key"].to_pylist() for capture in where.find(key)]
             columns = list(zip(*rows, strict=True)) or [[], [], []]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()), strict=True)],

@@ -89,6 +89,22 @@ def test_index_finds_what_it_holds(spark, tmp_path):
         assert list(lookup.find(key)) == []
 
 
+def test_look_ups_go_through_the_index_in_its_order(spark, tmp_path, monkeypatch):
+    """Every block is read once by a task, whatever order the pages come in."""
+    rows = [(i, f"{'https' if i % 2 else 'http'}://h{i * 7 % 50}.example{i % 3}.org/p{i}", "x") for i in range(600)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    folder = warc.qualified(spark, str(tmp_path))
+    captures = warc.write_archives(pages.selectExpr("page_id", "url", "html as payload", "'d' as digest", "cast(null as long) as refers_to"), f"{folder}/a")
+    index = warc.write_index(captures, f"{folder}/i", block_lines=10)
+    assert warc.find_captures(pages, index, f"{folder}/i").count() == 600
+    lookup = warc.Index(f"{folder}/i", sorted((r["first"], r["last"], r["file"]) for r in index.collect()))
+    blocks = []
+    for key in sorted(warc.reversed_key(u, i) for i, u, _ in rows):
+        assert len(list(lookup.find(key))) == 1
+        blocks.append((lookup.name, lookup.block))
+    assert len(set(blocks)) == 1 + sum(a != b for a, b in zip(blocks, blocks[1:]))
+
+
 def test_keys_sort_hosts_together():
     keys = [warc.reversed_key(u, 1) for u in ("http://b.a.com/x", "https://a.com/", "http://A.com:8080/", "http://c.org")]
     assert [k.split(" ")[0] for k in keys] == ["com,a,b)/x", "com,a)/", "com,a:8080)/", "org,c)/"]
