@@ -282,7 +282,8 @@ class Index:
 
 
 def find_captures(wanted: DataFrame, index: DataFrame, folder: str) -> DataFrame:
-    """(file, offset, length) of all captures of the pages (url, page_id) that ``wanted`` holds.
+    """(file, offset, length) of all captures of the index keys (column key) that ``wanted`` holds; for a
+    page's key see ``reversed_key``.
 
     Look-ups are dealt and sorted by the key that the index is sorted by, so a task opens few index
     files and reads each block once. ``index`` has one row per index file and is the only thing each
@@ -290,13 +291,7 @@ def find_captures(wanted: DataFrame, index: DataFrame, folder: str) -> DataFrame
     """
     spark = wanted.sparkSession
     files = sorted((r.first, r.last, r.file) for r in index.toLocalIterator())
-
-    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pages = zip(batch["url"].to_pylist(), batch["page_id"].to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array([reversed_key(*page) for page in pages], pa.string())], ["key"])
-
-    by_key = wanted.select("url", "page_id").mapInArrow(key, "key string").distinct()
+    by_key = wanted.select("key").distinct()
     dealt = by_key.repartitionByRange(partitions(spark), "key").sortWithinPartitions("key")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,7 +380,7 @@ def archived(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
     folder = qualified(pages.sparkSession, folder)
     captures = write_archives(with_revisits(pages, min_bytes), f"{folder}/archives")
     index = write_index(captures, f"{folder}/index")
-    found = kept_table(find_captures(pages, index, f"{folder}/index"), "found")
+    found = kept_table(find_captures(captures.select("page_id", "key"), index, f"{folder}/index"), "found")
     n_written, n_found = captures.count(), found.count()
     if n_found != n_written:
         raise ValueError(f"{n_written} records archived, but {n_found} found by the index")

@@ -96,7 +96,7 @@ def test_look_ups_go_through_the_index_in_its_order(spark, tmp_path, monkeypatch
     folder = warc.qualified(spark, str(tmp_path))
     captures = warc.write_archives(pages.selectExpr("page_id", "url", "html as payload", "'d' as digest", "cast(null as long) as refers_to"), f"{folder}/a")
     index = warc.write_index(captures, f"{folder}/i", block_lines=10)
-    assert warc.find_captures(pages, index, f"{folder}/i").count() == 600
+    assert warc.find_captures(captures, index, f"{folder}/i").count() == 600
     lookup = warc.Index(f"{folder}/i", sorted((r["first"], r["last"], r["file"]) for r in index.collect()))
     blocks = []
     for key in sorted(warc.reversed_key(u, i) for i, u, _ in rows):
