@@ -77,13 +77,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder that this operator has written, on whatever file system it is."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def join_unique(
     left: DataFrame, right: DataFrame, key: str, rows: int, heavy_count: str = "key_rows"
 ) -> DataFrame:

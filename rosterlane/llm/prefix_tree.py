@@ -57,7 +57,7 @@ class PrefixTree:
 
 
 def numbered(df: DataFrame, key: str, order: list[Column], name: str) -> DataFrame:
-    """Add the place of each row among those of its key, from 0; also returns no task a whole key.
+    """Add the place of each row among those of its key, from 0. No task gets a whole key.
 
     Rows are dealt by ranges of (key, order), equal rows by where they were read. Each range numbers its
     rows, and the ranges of one key are put behind one another. The rows of the ranges are written.
