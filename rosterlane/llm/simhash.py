@@ -3,13 +3,15 @@
 A text's fingerprint has 64 bits; texts are near when few bits differ. The bits are cut into the
 fewest segments of which one must differ in at most one bit (three for four bits). Every segment is
 indexed once per wildcard, with that one bit left out: fingerprints that agree in a segment but for
-one bit share the variant that leaves it out. An equality join on the variants finds all candidates,
-and the whole distance is verified in the join.
+one bit share the variant that leaves it out. So that few unrelated fingerprints meet, the key also
+holds a piece of the other bits: they are cut so that one piece must be equal. An equality join on
+the variants finds all candidates, and the whole distance is verified in the join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -84,38 +86,98 @@ def signed(number: int) -> int:
     return number - (1 << 64) if number >= 1 << 63 else number
 
 
+def cut_mask(bits: Sequence[int], parts: int) -> list[int]:
+    """The bits in ``parts`` masks of about equal width; one empty mask if there are too few bits."""
+    if len(bits) < parts:
+        return [0]
+    edges = [len(bits) * i // parts for i in range(parts + 1)]
+    return [sum(1 << bit for bit in bits[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+
+
+@dataclass(frozen=True)
+class Scheme:
+    """The pairs whose first near segment is ``segment`` (a mask), where they differ in exactly the
+    wildcard bit or, without ``wildcards``, not at all. One of ``pieces`` (masks) is equal then."""
+
+    segment: int
+    wildcards: tuple[int, ...]
+    pieces: tuple[int, ...]
+    earlier: tuple[int, ...]
+
+
+def schemes(distance: int) -> list[Scheme]:
+    """All ways in which a pair within ``distance`` bits can be found, each pair by one of them.
+
+    Segments before the first near one differ in two bits or more. What is left of the distance
+    goes to the others: cut into one piece more than that, one piece has to be equal. Of all other
+    segments and the later ones alone, those that make wider pieces are cut.
+    """
+    cuts = [range(first, first + bits) for first, bits in segments(distance)]
+    masks = [sum(1 << bit for bit in cut) for cut in cuts]
+    found = []
+    for k, cut in enumerate(cuts):
+        for differing in (0, 1):
+            left = distance - differing - 2 * k
+            if left < 0:
+                continue
+            later = [bit for other in cuts[k + 1 :] for bit in other]
+            others = [bit for other in cuts[:k] for bit in other] + later
+            ways = [cut_mask(others, left + 2 * k + 1), cut_mask(later, left + 1)]
+            pieces = max(ways, key=lambda way: min(mask.bit_count() for mask in way))
+            wildcards = tuple(cut) if differing else ()
+            found.append(Scheme(masks[k], wildcards, tuple(pieces), tuple(masks[:k])))
+    return found
+
+
 def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(a, b), a < b: every pair of distinct fingerprints (column fp) within ``distance`` bits, once.
 
-    A pair may share many variants; it counts only in the first segment that is near, at the bit that
-    differs there or, if none does, at the segment's first bit.
+    The key of a variant is its segment without the wildcard bit, and one piece of the other bits. A
+    pair may share many keys; it counts only in the first segment that is near, at the bit that
+    differs there, and in the first piece that is equal. Keys of a single fingerprint leave before
+    the join, so the index is shuffled once.
     """
-    variants, tests, earlier = [], [], []
+    ways = schemes(distance)
+    variants, tests = [], []
     difference = "(x.fp ^ y.fp)"
-    for first, bits in segments(distance):
-        mask = ((1 << bits) - 1) << first
-        inside = f"({difference} & {signed(mask)}L)"
-        variants += [
-            f"named_struct('wildcard', {bit}Y, 'rest', fp & {signed(mask & ~(1 << bit))}L)"
-            for bit in range(first, first + bits)
-        ]
-        here = (
-            f"({inside} = shiftleft(1L, x.wildcard) or ({inside} = 0 and x.wildcard = {first}))"
-        )
-        apart = [f"bit_count({other}) > 1" for other in earlier]
-        tests.append(
-            f"(x.wildcard between {first} and {first + bits - 1} and "
-            + " and ".join([here, *apart])
-            + ")"
+
+    def differing(mask: int) -> str:
+        return f"({difference} & {signed(mask)}L)"
+
+    def named(scheme: int, wildcard: int, piece: int) -> int:
+        return (piece * BITS + wildcard) * len(ways) + scheme
+
+    for number, way in enumerate(ways):
+        for piece, also in enumerate(way.pieces):
+            for wildcard in way.wildcards or (None,):
+                kept = way.segment | also
+                if wildcard is not None:
+                    kept &= ~(1 << wildcard)
+                variants.append((named(number, wildcard or 0, piece), signed(kept)))
+        wildcard = f"shiftleft(1L, x.variant div {len(ways)} % {BITS})" if way.wildcards else "0L"
+        first = " ".join(
+            f"when {differing(mask)} = 0 then {piece}" for piece, mask in enumerate(way.pieces)
         )
-        earlier.append(inside)
-    indexed = prints.select("fp").selectExpr("fp", f"inline(array({', '.join(variants)}))")
+        test = [
+            f"x.variant % {len(ways)} = {number}",
+            f"{differing(way.segment)} = {wildcard}",
+            f"x.variant div {BITS * len(ways)} = case {first} end",
+            *(f"bit_count({differing(mask)}) > 1" for mask in way.earlier),
+        ]
+        tests.append(f"({' and '.join(test)})")
+    # The masks are a constant: as expressions of their own they would be too much code to compile.
+    masks = ", ".join(f"struct({name} as variant, {mask}L as mask)" for name, mask in variants)
+    indexed = prints.select("fp").selectExpr("fp", f"inline(array({masks}))")
+    indexed = indexed.selectExpr("fp", "variant", "fp & mask as rest")
     near = F.expr(
-        "x.wildcard = y.wildcard and x.rest = y.rest and x.fp < y.fp and"
+        "x.variant = y.variant and x.rest = y.rest and x.fp < y.fp and"
         f" bit_count({difference}) <= {distance} and ({' or '.join(tests)})"
     )
-    # The optimizer takes the index for as small as the fingerprints, and would broadcast it.
-    one, other = indexed.alias("x").hint("merge"), indexed.alias("y").hint("merge")
+    # Most keys have one fingerprint; the others are written, so that both sides read them.
+    alike = Window.partitionBy("variant", "rest")
+    met = indexed.withColumn("prints", F.count("*").over(alike)).where("prints > 1").drop("prints")
+    shared = kept_table(met, "shared-variants")
+    one, other = shared.alias("x").hint("merge"), shared.alias("y").hint("merge")
     return one.join(other, near).selectExpr("x.fp as a", "y.fp as b")
 
 

@@ -66,23 +66,24 @@ def test_empty_table(odd):
     assert simhash.one_per_group(nothing).count() == 0
 
 
-def test_every_pair_within_the_distance_is_linked_once(spark):
+@pytest.mark.parametrize("distance", [0, 1, 2, 3, 4, 5, 8])
+def test_every_pair_within_the_distance_is_linked_once(spark, distance):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, 20, dtype=np.uint64)
     prints = set()
     for p in base.tolist():
         for _ in range(12):
-            flips = rng.choice(64, rng.integers(0, 7), replace=False)
+            flips = rng.choice(64, rng.integers(0, distance + 3), replace=False)
             prints.add(p ^ sum(1 << int(b) for b in flips))
     prints = sorted(prints)
     want = {
         frozenset((a, b))
         for i, a in enumerate(prints)
         for b in prints[i + 1 :]
-        if (a ^ b).bit_count() <= 4
+        if (a ^ b).bit_count() <= distance
     }
     frame = spark.createDataFrame([(simhash.signed(p),) for p in prints], "fp long")
-    rows = simhash.links(frame, 4).collect()
+    rows = simhash.links(frame, distance).collect()
     found = [frozenset((r["a"] % 2**64, r["b"] % 2**64)) for r in rows]
     assert len(found) == len(set(found)) and set(found) == want
 
@@ -94,6 +95,16 @@ def test_the_index_is_never_broadcast(spark):
     assert "SortMergeJoin" in final and "Broadcast" not in final
 
 
+def test_keys_are_wide_and_pieces_suffice():
+    ways = simhash.schemes(4)
+    assert sum(len(way.pieces) * max(1, len(way.wildcards)) for way in ways) == 141
+    for way in ways:
+        bits = way.segment.bit_count() - bool(way.wildcards)
+        assert min(bits + piece.bit_count() for piece in way.pieces) >= 29
+        assert all(piece & way.segment == 0 for piece in way.pieces)
+        assert sum(piece.bit_count() for piece in way.pieces) == sum(way.pieces).bit_count()
+
+
 def test_segments():
     assert simhash.segments(4) == [(0, 21), (21, 21), (42, 22)]
     assert len(simhash.segments(3)) == 2
