@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterlane.llm.common import fresh, join_unique, kept_table
+from rosterlane.llm.common import fresh, join_unique, kept_table, partitions
 from rosterlane.llm.components import components
 
 BITS = 64
@@ -167,7 +167,9 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
         tests.append(f"({' and '.join(test)})")
     # The masks are a constant: as expressions of their own they would be too much code to compile.
     masks = ", ".join(f"struct({name} as variant, {mask}L as mask)" for name, mask in variants)
-    indexed = prints.select("fp").selectExpr("fp", f"inline(array({masks}))")
+    # Every row becomes many: dealt over all tasks first, as few files hold the fingerprints.
+    dealt = prints.select("fp").repartition(partitions(prints.sparkSession), "fp")
+    indexed = dealt.selectExpr("fp", f"inline(array({masks}))")
     indexed = indexed.selectExpr("fp", "variant", "fp & mask as rest")
     near = F.expr(
         "x.variant = y.variant and x.rest = y.rest and x.fp < y.fp and"
