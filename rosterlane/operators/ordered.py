@@ -14,6 +14,9 @@ from rosterlane.operators.skew import HOT_ROWS, HotKeys, equal, hot_parts
 FORWARD = "ffill_bfill"
 BACKWARD = "bfill_ffill"
 
+# Bits of ``monotonically_increasing_id`` that number the rows of a partition.
+PLACE_BITS = 33
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row per key; null keys count as equal.
@@ -54,8 +57,8 @@ def fill_within_group(
     Groups of ``hot_rows`` rows and more (found when the fill is made, by one pass over the group
     columns) are cut along the order into runs of about half as many rows. Each run is filled on its
     own, and what crosses the edge of a run comes from a small table with the first and the last value
-    of every run. So no task sees a whole hot group. The runs are a range partitioning of the hot
-    groups' rows, which are written once, to the folder ``spark.checkpoint.dir`` names.
+    of every run. So no task sees a whole hot group. The runs are pieces of a range partitioning of the
+    hot groups' rows, which are written once, to the folder ``spark.checkpoint.dir`` names.
     """
     keys = [group] if isinstance(group, str) else list(group)
     hot = hot_parts(df, keys, hot_rows)
@@ -120,16 +123,23 @@ def _cut_into_runs(
 ) -> DataFrame:
     """The rows of the hot groups with their run, which never decreases along the order of a group.
 
-    The runs are the partitions of a range partitioning, whose bounds come from a sample of the rows:
-    so they are even in rows, whatever values the order has: numbers far apart, fractions, ties of the
-    leading column, nulls. They are written, as everything else refers to them.
+    The rows go through a range partitioning, whose bounds come from a sample of them, and each range is
+    sorted and cut after every so many rows: so runs are even in rows, whatever values the order has:
+    numbers far apart, fractions, ties of the leading column, nulls. There are no more ranges than
+    shuffle partitions, so neither tasks nor the sample grow with the rows; a range is only sorted and
+    streamed. The runs are written, as everything else refers to them.
     """
     hot = hot or hot_parts(df, keys, hot_rows)
     names = [f"hot {k}" for k in keys]
     of_hot = df.join(F.broadcast(hot.parts.toDF(*names, "parts")), equal(keys, names), "semi")
-    runs = -(-hot.rows // max(1, hot_rows // 2))
-    ranged = of_hot.repartitionByRange(runs, *(F.col(quoted(c)) for c in (*keys, *order)))
-    return ranged.withColumn("fill run", F.spark_partition_id().cast("long")).checkpoint()
+    each = max(1, hot_rows // 2)
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [F.col(quoted(c)) for c in (*keys, *order)]
+    ranged = of_hot.repartitionByRange(min(most, -(-hot.rows // each)), *by).sortWithinPartitions(*by)
+    # The upper bits of such a number are the partition's, the lower ones the row's place in it.
+    placed = ranged.withColumn("fill run", F.monotonically_increasing_id())
+    start = f"`fill run` - `fill run` % {1 << PLACE_BITS}L % {each}L"
+    return placed.withColumn("fill run", F.expr(start)).checkpoint()
 
 
 def _seeds(

@@ -101,6 +101,18 @@ def test_runs_are_even_in_rows_whatever_the_order(spark):
         assert late.where("struct(a.o, a.i) >= struct(b.o, b.i)").count() == 0, name
 
 
+def test_tasks_of_a_cut_do_not_grow_with_the_runs(spark):
+    """Runs are as many as the rows ask for, the tasks that cut them no more than shuffle partitions."""
+    from rosterlane.operators.ordered import _cut_into_runs
+
+    df = spark.range(4000).selectExpr("1 as g", "id as i")
+    cut = _cut_into_runs(df, ["g"], ["i"], 20)
+    assert cut.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    runs = cut.groupBy("fill run").agg(F.count("*").alias("n"), F.min("i").alias("a"), F.max("i").alias("b"))
+    assert runs.count() >= 400 and runs.agg(F.max("n")).first()[0] <= 10
+    assert runs.where("b - a + 1 <> n").count() == 0
+
+
 def test_a_hot_group_is_never_gathered(spark, monkeypatch):
     """Neither its rows nor its cuts come together in one row or one broadcast."""
     df = spark.range(2000).selectExpr("if(id % 3 = 0, 1, id) as g", "if(id % 50 = 0, id, null) as v", "id as i")
