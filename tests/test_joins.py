@@ -11,7 +11,7 @@ from rosterlane.operators import (
     lookup_override,
     merge_suffixed,
 )
-from rosterlane.operators.skew import hot_parts, spread
+from rosterlane.operators.skew import gridded, hot_parts, spread
 
 
 def test_exists_flag(spark):
@@ -79,6 +79,32 @@ def test_hot_rows_are_dealt_even_if_they_are_alike(spark):
     assert dealt.agg(F.max("count")).first()[0] <= 200
 
 
+def test_repeated_rows_of_a_key_hot_on_both_sides_do_not_grow_with_the_product(spark):
+    cells = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for n in (1000, 4000):
+        left = spark.range(n).selectExpr("if(id % 2 = 0, 1, -id - 1) as k", "id as n")
+        right = spark.range(n // 5).selectExpr("if(id % 2 = 0, 1, id + 10) as r", "id as m")
+        one, other = gridded(hot_parts(left, ["k"], 10), hot_parts(right, ["r"], 10), ["k"], ["r"])
+        counts = [
+            spread(left, ["k"], one, other, "own", "other").where("k = 1").count(),
+            spread(right, ["r"], other, one, "own", "other").where("r = 1").count(),
+        ]
+        # 6 n / 10 rows of the key in all.
+        assert sum(counts) <= cells * 6 * n / 10
+        joined = left_join(left, right, "k", "r", hot_rows=10)
+        assert joined.count() == n // 2 * (n // 10) + n // 2
+        assert joined.where("k = 1").agg(F.countDistinct("n", "m")).first()[0] == n // 2 * (n // 10)
+
+
+def test_only_keys_that_are_hot_on_both_sides_get_fewer_parts(spark):
+    cells = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    left = spark.range(900 * cells).selectExpr("id % 3 as k")
+    right = spark.range(60).selectExpr("cast(if(id % 2 = 0, 1, id + 10) as int) as r")
+    one, other = gridded(hot_parts(left, ["k"], 10), hot_parts(right, ["r"], 10), ["k"], ["r"])
+    assert rows(one.parts) == [(0, 30 * cells), (1, cells), (2, 30 * cells)]
+    assert rows(other.parts) == [(1, 1)]
+
+
 @pytest.mark.parametrize("hot_rows", [2, 1000])
 def test_columns_of_any_type(spark, hot_rows):
     """Maps, variants, arrays and structs on both sides; none of them is a key."""
