@@ -10,6 +10,8 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
+        # Plans name whole paths, however long the folder of a run is.
+        .config("spark.sql.maxMetadataStringLength", "1000")
         .getOrCreate()
     )
     if session.sparkContext.getCheckpointDir() is None:
