@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -66,6 +67,10 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = self.plain_letters()
+        self.ascii_as_is = self.letters is not None and all(
+            self.letters[ord(c)] == c for c in string.ascii_lowercase
+        )
+        self.tail = self.tail_signs()
         self.known: dict[str, bytes] = {}
 
     def plain_letters(self) -> dict[int, str] | None:
@@ -80,31 +85,58 @@ class WordIds:
         whole = [p for p, _ in cut.pre_tokenize_str(lowered)]
         return spelled if whole == [lowered.translate(spelled)] else None
 
+    def tail_signs(self) -> str:
+        """Signs that are tokens of their own after a Latin letter, whatever follows among them. Those
+        that a token added to the vocabulary has are left out, as it is taken out of a text first."""
+        added = "".join(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        signs = "".join(c for c in string.punctuation if c not in added)
+        if self.letters is None or self.tokenizer.normalizer.normalize_str(signs) != signs:
+            return TAIL
+
+        def pieces(text: str) -> list[str]:
+            return [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+
+        apart = all(
+            pieces(chr(c) + tail) == pieces(chr(c)) + pieces(tail)
+            for c in self.letters
+            for tail in (*signs, signs)
+        )
+        return signs if apart else TAIL
+
     def learn(self, words: list[str]) -> None:
         known, spelled, others = self.known, self.letters, []
+        tokenize, as_is = self.model.tokenize, self.ascii_as_is
         for word in words:
-            if spelled is not None and word.isalpha() and max(word) <= "\xff":
-                tokens = self.model.tokenize(word.lower().translate(spelled))
-                known[word] = array("I", [t.id for t in tokens]).tobytes()
+            if spelled is not None and word.isalpha() and (word.isascii() or max(word) <= "\xff"):
+                low = word.lower()
+                if not (as_is and low.isascii()):
+                    low = low.translate(spelled)
+                known[word] = array("I", [t.id for t in tokenize(low)]).tobytes()
             else:
                 others.append(word)
-        for word, ids in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            known[word] = array("I", ids.ids).tobytes()
+        if others:
+            for word, ids in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
+                known[word] = array("I", ids.ids).tobytes()
 
     def encode(self, words: list[str]) -> bytes:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        known = self.known
-        new = set(words).difference(known)
-        if new:
+        known, tail = self.known, self.tail
+        ids = list(map(known.get, words))
+        gaps = [i for i, found in enumerate(ids) if found is None]
+        if gaps:
+            new = {words[i] for i in gaps}
             # Signs after a letter are tokens of their own.
-            cores = {w: w.rstrip(TAIL) for w in new if w[-1] in TAIL}
-            cores = {w: c for w, c in cores.items() if c and c[-1].isascii() and c[-1].isalpha()}
+            cores = {w: w.rstrip(tail) for w in new if w[-1] in tail}
+            last = "\x7f" if self.letters is None else "\xff"
+            cores = {w: c for w, c in cores.items() if c and c[-1].isalpha() and c[-1] <= last}
             tails = {w[len(c) :] for w, c in cores.items()}
             self.learn([*(new - cores.keys()).union(cores.values(), tails).difference(known)])
             for word, core in cores.items():
                 known[word] = known[core] + known[word[len(core) :]]
-        return b"".join(map(known.__getitem__, words))
+            for i in gaps:
+                ids[i] = known[words[i]]
+        return b"".join(ids)
 
     def of_text(self, text: str) -> Iterator[bytes]:
         """The ids of a text as little-endian unsigned 32-bit numbers, slice by slice."""

@@ -113,3 +113,17 @@ def test_groups_have_equal_cardinality():
     counts = np.bincount([9] * 9 + [8] * 3 + [5] * 8)
     assert packing.linear_groups(counts, 2) == [[(9, 9), (8, 1)], [(8, 2), (5, 8)]]
     assert packing.linear_groups(counts, 3) == [[(9, 9)], [(8, 3)], [(5, 8)]]
+
+
+def test_signs_after_a_word_are_no_new_word(tokenizer):
+    """What is learned are words and runs of signs, not every pair of them; added tokens stay whole."""
+    words = packing.WordIds(public_tokenizers.path(packing.TOKENIZER))
+    learned = []
+    learn = words.learn
+    words.learn = lambda new: (learned.extend(new), learn(new))
+    text = "Word&&& \u00c9t\u00e9, word*** \u00e9t\u00e9### word's' Word&&& a<|endoftext|> b<|endoftext|>, c|> d<"
+    ids = b"".join(words.of_text(text))
+    assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert {"Word", "&&&", "\u00c9t\u00e9", "***", "a<|endoftext|>"} <= set(learned)
+    assert not {"Word&&&", "\u00c9t\u00e9,", "word***", "\u00e9t\u00e9###"} & set(learned)
+    assert len(learned) == len(set(learned))
