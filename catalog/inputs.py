@@ -183,10 +183,11 @@ def webinar_pages(t: Tables) -> WebinarPages:
     catalogue = hours.selectExpr(
         f"array(named_struct('id', id, 'topic', array({texts})[cast(id as int)])) as webinars"
     )
-    instances = (
-        events.select("webinar_id", "uuid")
-        .distinct()
-        .selectExpr("webinar_id", "array(named_struct('uuid', uuid)) as webinars")
+    # Made distinct before they are written as text.
+    days = t.events.selectExpr("hour(ts) as hour", "to_date(ts) as day").distinct()
+    uuid = "concat(hour, '/', date_format(day, 'yyyyMMdd'))"
+    instances = days.selectExpr(
+        "cast(hour as string) as webinar_id", f"array(named_struct('uuid', {uuid})) as webinars"
     )
     participant = (
         "named_struct('registrant_id', cast(event_id as string), 'status',"

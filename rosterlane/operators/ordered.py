@@ -62,9 +62,12 @@ def fill_within_group(
     """
     keys = [group] if isinstance(group, str) else list(group)
     hot = hot_parts(df, keys, hot_rows)
-    # Rows without a group need no neighbours and are spread over all tasks.
+    # Rows without a group need no neighbours; where they are many, they are spread over all tasks.
     loose = " or ".join(f"{quoted(k)} is null" for k in keys)
     alone = f"if({loose}, xxhash64({_list(order)}), 0L) as `fill run`"
+    if not hot:
+        # Partitioned by the group alone, which what follows per group can use without a shuffle.
+        return _filled(df, keys, columns, order, run=())
     if hot.parts is None:
         return _filled(df.selectExpr("*", alone), keys, columns, order).select(*map(quoted, df.columns))
     cut = _cut_into_runs(df, keys, order, hot_rows, hot)
@@ -84,11 +87,12 @@ def _filled(
     columns: Mapping[str, str],
     order: Sequence[str],
     seeds: DataFrame | None = None,
+    run: Sequence[str] = ("fill run",),
 ) -> DataFrame:
-    """Fill every run on its own and, where it has none, from its seed."""
+    """Fill every run on its own and, where it has none, from its seed; without ``run``, every group."""
     values = []
     for column, mode in columns.items():
-        span = f"partition by {_list(keys)}, `fill run` order by {_sorted(order, mode)} rows"
+        span = f"partition by {_list([*keys, *run])} order by {_sorted(order, mode)} rows"
         start = "between unbounded preceding and"
         near = f"last({quoted(column)}, true) over ({span} {start} current row)"
         far = f"first({quoted(column)}, true) over ({span} {start} unbounded following)"

@@ -34,7 +34,15 @@ from rosterlane.plans.steps import (
     status_by_plan,
 )
 from rosterlane.schemas import DETAIL, FLAGS, row_order
-from rosterlane.sinks.files import EVENT_DATE, export_report, lay_out, quote, shared_folder
+from rosterlane.sinks.files import (
+    EVENT_DATE,
+    MAX_ROWS_PER_FILE,
+    export_report,
+    kept,
+    lay_out,
+    quote,
+    shared_folder,
+)
 from rosterlane.sinks.published import publish_day, published_runs, read_published
 from rosterlane.sources.tables import inperson_engagements, learning_enrolments, portals
 
@@ -236,7 +244,7 @@ def run_report(
 ) -> dict[str, DataFrame]:
     """Build both products of the day of ``moment``, publish them together and export the detail.
 
-    What both share is computed once and checkpointed, to the folder that all executors share; a
+    What both share is computed once and written, to the folder that all executors share; a
     session that names none (``spark.checkpoint.dir``) raises. The detail is written once, and checked
     and exported from what was written. A rerun replaces the day's products, also when it has no rows;
     one that dies leaves those that were there (see ``publish_day``).
@@ -244,12 +252,13 @@ def run_report(
     spark = inputs.roster.sparkSession
     shared_folder(spark)
     event_date, stamp = report_day(spark, moment)
-    base = build_base(inputs).checkpoint()
-    forms = form_choice(inputs.form).checkpoint()
+    base = kept(build_base(inputs), "base")
+    forms = kept(form_choice(inputs.form), "forms")
     products = {
         DETAIL_PRODUCT: build_detail(base, forms, event_date),
         TREND_PRODUCT: build_trend(base, forms, event_date),
     }
     written = publish_day(spark, store, stamp, products, check_pair)
-    export_report(written[DETAIL_PRODUCT], export_folder, name, stamp)
+    # What is published was evened out when it was written.
+    export_report(written[DETAIL_PRODUCT], export_folder, name, stamp, MAX_ROWS_PER_FILE, True)
     return written

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,9 @@ EVENT_DATE = "EVENT_DATE"
 # Characters that Spark escapes in the names of partition folders.
 PATH_ESCAPES = "\"#%'*/:=?\\\x7f{[]^"
 
+# Rows of a part file of a report.
+MAX_ROWS_PER_FILE = 1_000_000
+
 
 def write_snapshot(
     df: DataFrame, path: str, date_column: str = EVENT_DATE, dates: Iterable[str] = ()
@@ -71,16 +75,22 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def export_report(
-    df: DataFrame, folder: str, name: str, stamp: str, max_rows_per_file: int = 1_000_000
+    df: DataFrame,
+    folder: str,
+    name: str,
+    stamp: str,
+    max_rows_per_file: int = MAX_ROWS_PER_FILE,
+    even: bool = False,
 ) -> str:
     """Write ``df`` as CSV with a header to the folder ``<name> - <stamp>`` and return its path.
 
-    The report is a folder of part files, written by all tasks: nothing passes through one task.
+    The report is a folder of part files, written by all tasks: nothing passes through one task. ``even``:
+    ``df`` is read from files that were evened out, so its rows are written by the tasks that read them.
     """
     path = f"{folder.rstrip('/')}/{name} - {stamp}"
+    rows = df if even else df.hint("rebalance")
     (
-        df.hint("rebalance")
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .options(
             header=True,
             maxRecordsPerFile=max_rows_per_file,
@@ -93,6 +103,15 @@ def export_report(
     return path
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: its lineage ends there, as with checkpoint().
+    Unlike a checkpoint, the columns that are not asked for are not read again."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors see, as the session's ``spark.checkpoint.dir`` names it."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

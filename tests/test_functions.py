@@ -125,3 +125,10 @@ def test_text_of_other_types(spark):
         "a",
         "None",
     ]
+
+
+def test_booleans_are_text_without_case_mapping(spark):
+    df = spark.createDataFrame([(True,), (False,), (None,)], "v boolean")
+    text = df.select(R.python_text(F.col("v"), T.BooleanType()).alias("t"))
+    assert "initcap" not in text._jdf.queryExecution().toString().lower()
+    assert sorted(r[0] for r in text.collect()) == ["False", "True", "nan"]

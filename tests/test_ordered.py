@@ -144,6 +144,21 @@ def test_fill_by_two_group_columns(spark):
     assert [r.v for r in filled.orderBy("i").collect()] == [5, 5, None, None]
 
 
+def test_what_follows_a_fill_per_group_needs_no_shuffle(spark):
+    data = [(1, 7, 1), (1, None, 2), (1, 8, 3), (2, None, 1), (None, 5, 1), (None, None, 2)]
+    df = spark.createDataFrame(data, "g int, v int, i int")
+    filled = fill_within_group(df, "g", {"v": FORWARD}, ["i"])
+    assert rows(filled, "g", "i", "v") == rows(
+        spark.createDataFrame(
+            [(1, 1, 7), (1, 2, 7), (1, 3, 8), (2, 1, None), (None, 1, None), (None, 2, None)],
+            "g int, i int, v int",
+        )
+    )
+    first = first_per_key(filled, ["g", "v"], ["i"])
+    assert rows(first.where("g = 1"), "v", "i") == [(7, 1), (8, 3)]
+    assert plan(first).split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+
+
 def test_first_per_key_treats_null_keys_as_equal(spark):
     data = [(None, 1, 1), (None, 1, 2), ("a", 1, 3), ("a", 1, 4)]
     df = spark.createDataFrame(data, "k string, w int, seq int")

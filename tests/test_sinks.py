@@ -1,7 +1,8 @@
 import datetime
+from pathlib import Path
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from rosterlane.sinks import (
@@ -12,6 +13,7 @@ from rosterlane.sinks import (
     shared_folder,
     write_snapshot,
 )
+from rosterlane.sinks.files import kept
 
 
 def snapshot(spark, values):
@@ -134,3 +136,18 @@ def test_publication(spark, tmp_path):
     # The run that is read and the one before it, no more.
     assert len(list((tmp_path / "store" / "a" / "d1").iterdir())) == 2
     assert len(list((tmp_path / "store" / "published" / "d1").iterdir())) <= 2
+
+
+def test_rows_read_from_even_files_are_exported_where_they_are(spark, tmp_path):
+    df = spark.range(1000, numPartitions=3).selectExpr("id as a", "id * 2 as b")
+    path = export_report(df, str(tmp_path), "r", "s", 400, True)
+    assert len(list(Path(path).glob("part-*"))) == 3
+    back = spark.read.option("header", True).csv(path)
+    assert back.count() == back.distinct().count() == 1000
+
+
+def test_what_is_kept_is_read_by_column(spark):
+    df = spark.createDataFrame([(1, "x", None), (None, "y", True)], "`a b` int, c string, d boolean")
+    back = kept(df, "rows")
+    assert rows(back) == rows(df) and back.schema == df.schema
+    assert "ReadSchema: struct<c:string>" in plan(back.select("c"))
