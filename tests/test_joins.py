@@ -105,6 +105,33 @@ def test_only_keys_that_are_hot_on_both_sides_get_fewer_parts(spark):
     assert rows(other.parts) == [(1, 1)]
 
 
+def test_product_of_a_key_hot_on_both_sides_takes_little_disk(spark, tmp_path):
+    left = spark.range(200).selectExpr("if(id % 2 = 0, 1, -id) as k", "id * 7919 as n")
+    right = spark.range(80_000).selectExpr("if(id % 2 = 0, 1, id + 10) as r", "id * 7919 as m")
+    joined = left_join(left, right, "k", "r", hot_rows=10)
+    # The join hands on pairs of blocks; its generated code would hold all rows that come of them.
+    assert plan(joined).index("Generate inline") < plan(joined).index("Coalesce") < plan(joined).index("Join [")
+    joined.write.parquet(f"{tmp_path}/joined")
+    size = sum(f.stat().st_size for f in tmp_path.glob("joined/*.parquet"))
+    got = spark.read.parquet(f"{tmp_path}/joined")
+    assert got.where("k = 1").agg(F.count("*"), F.countDistinct("n", "m")).first() == (4_000_000, 4_000_000)
+    assert got.where("k <> 1 and m is null").count() == 100 and got.count() == 4_000_100
+    assert size < 4_000_000 / 2
+
+
+@pytest.mark.parametrize("rows_of_a_block", [1, 3, 128])
+def test_blocks_keep_rows_and_values_as_they_are(spark, monkeypatch, rows_of_a_block):
+    """Keys of either type, a zero with a sign, rows that are alike, columns of odd names."""
+    monkeypatch.setattr("rosterlane.operators.joins.BLOCK_ROWS", rows_of_a_block)
+    left = spark.range(150).selectExpr("cast(if(id < 100, '-0.0', string(id)) as float) as `k.1`", "id % 2 as n")
+    right = spark.range(150).selectExpr("cast(if(id < 90, 0, id - 20) as double) as r", "id % 3 as `m``x`")
+    got = left_join(left, right, "k.1", "r", hot_rows=4)
+    assert got.columns == ["k.1", "n", "r", "m`x"]
+    want = [("-0.0", i % 2, 0.0, j % 3) for i in range(100) for j in range(90)]
+    want += [(f"{i}.0", i % 2, float(i) if i < 130 else None, (i + 20) % 3 if i < 130 else None) for i in range(100, 150)]
+    assert rows(got.withColumn("k.1", F.col("`k.1`").cast("string"))) == sorted(want, key=repr)
+
+
 @pytest.mark.parametrize("hot_rows", [2, 1000])
 def test_columns_of_any_type(spark, hot_rows):
     """Maps, variants, arrays and structs on both sides; none of them is a key."""
